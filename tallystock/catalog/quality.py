@@ -1 +1,182 @@
+"""Landing flags, warnings, rule codes, counters and constraint checks."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tallystock.catalog.inputs import Inputs
+from tallystock.catalog.quality_sql import (CATALOGUE, KARDEX, LOADS, LOTS, MAIN, SHEET_INPUTS, kinds, loads)
+from tallystock.catalog.registry import pct, query
+from tallystock.catalog.star_sql import fact, star_sql
+from tallystock.operators.aggregates import coverage_gate
+from tallystock.operators.lookups import counts_per_key
+from tallystock.operators.windows import fill_down
+from tallystock.operators.filters import row_kind
+from tallystock.functions import cells
+from tallystock.plans.quality import Check, clean_counts, constraint_checks, land, warnings
+
+_KEYS = ["id_carga", "fila_excel"]
+
+
+def _flags(landed: DataFrame, *extra: str) -> DataFrame:
+    return landed.select(*_KEYS, *extra, *[c for c in landed.columns if c.startswith("lnd_")])
+
+
+@query("flags_main", f"""{SHEET_INPUTS}, {MAIN}
+SELECT id_carga, fila_excel, categoria_raw, lnd_tiene_codigo, lnd_tiene_nombre, lnd_fisico_numerico,
+       lnd_sistema_numerico, lnd_listo_para_stg FROM main_landed""")
+def _main(t: Inputs) -> DataFrame:
+    return _flags(land(t.sheet("principal"), "principal"), "categoria_raw")
+
+
+@query("flags_lots", f"""{SHEET_INPUTS}, {LOTS}
+SELECT id_carga, fila_excel, estado_lote_raw, fecha_venc_raw, lnd_tiene_codigo, lnd_tiene_nombre, lnd_fisico_numerico,
+       lnd_sistema_numerico, lnd_fecha_venc_parseable, lnd_almacenaje_numerico, lnd_listo_para_stg FROM lots_landed""")
+def _lots(t: Inputs) -> DataFrame:
+    return _flags(land(t.sheet("lotes"), "lotes"), "estado_lote_raw", "fecha_venc_raw")
+
+
+@query("flags_catalogue", f"""{SHEET_INPUTS}, {CATALOGUE}
+SELECT id_carga, fila_excel, lnd_tiene_codigo, lnd_tiene_descripcion, lnd_precio1_numerico, lnd_existencia_numerica,
+       lnd_listo_para_stg FROM cat_landed""")
+def _catalogue(t: Inputs) -> DataFrame:
+    return _flags(land(t.sheet("catalogo"), "catalogo"))
+
+
+@query("flags_movements", f"""{SHEET_INPUTS}, {KARDEX}
+SELECT id_carga, fila_excel, documento_raw, lnd_tiene_tipo, lnd_fecha_parseable, lnd_entradas_numericas,
+       lnd_salidas_numericas, lnd_tipo_reconocido, lnd_listo_para_stg FROM kar_landed""")
+def _movements(t: Inputs) -> DataFrame:
+    return _flags(land(t.sheet("movimientos"), "movimientos"), "documento_raw")
+
+
+_W = "id_carga, fila_excel, '{0}' AS regla_violada, '{1}' AS campo_erroneo, {1} AS valor_recibido, 'WARNING' AS severidad"
+
+
+@query("warnings", f"""{SHEET_INPUTS}, {MAIN}, {LOTS}, {CATALOGUE}, {KARDEX}
+SELECT {_W.format('RV-04', 'sistema_raw')} FROM main_landed WHERE NOT lnd_sistema_numerico AND fisico_raw IS NOT NULL
+UNION ALL SELECT {_W.format('RV-02', 'nombre_raw')} FROM main_landed WHERE lnd_tiene_codigo AND NOT lnd_tiene_nombre
+UNION ALL SELECT {_W.format('RV-01', 'codigo_raw')} FROM main_landed WHERE lnd_tiene_nombre AND NOT lnd_tiene_codigo
+UNION ALL SELECT {_W.format('RV-04', 'sistema_raw')} FROM lots_landed WHERE NOT lnd_sistema_numerico AND fisico_raw IS NOT NULL
+UNION ALL SELECT {_W.format('FECHA_VENC', 'fecha_venc_raw')} FROM lots_landed WHERE NOT lnd_fecha_venc_parseable
+UNION ALL SELECT {_W.format('RV-02', 'nombre_raw')} FROM lots_landed WHERE lnd_tiene_codigo AND NOT lnd_tiene_nombre
+UNION ALL SELECT {_W.format('RV-01', 'codigo_raw')} FROM lots_landed WHERE lnd_tiene_nombre AND NOT lnd_tiene_codigo
+UNION ALL SELECT {_W.format('PRECIO_CERO', 'precio1_raw')} FROM cat_landed WHERE precio1_raw IS NULL OR precio1_raw = '0'
+UNION ALL SELECT {_W.format('RV-14', 'tipo_raw')} FROM kar_landed WHERE lnd_tiene_tipo AND NOT lnd_tipo_reconocido
+UNION ALL SELECT {_W.format('FECHA', 'fecha_raw')} FROM kar_landed WHERE NOT lnd_fecha_parseable""")
+def _warnings(t: Inputs) -> DataFrame:
+    logs = [warnings(land(t.sheet(k), k), k, _KEYS) for k in ["principal", "lotes", "catalogo", "movimientos"]]
+    return logs[0].unionByName(logs[1]).unionByName(logs[2]).unionByName(logs[3])
+
+
+# Rows as the staging step reads them, with the reasons a row can fail still in.
+_STAGE = f"""{SHEET_INPUTS}, {MAIN}, staged AS (SELECT id_carga, fila_excel, ltrim(coalesce(codigo_raw, ''), '''') AS cod,
+  trim(nombre_raw) AS nom, TRY_CAST(replace(fisico_raw, ',', '') AS DECIMAL(12,2)) AS f,
+  TRY_CAST(replace(sistema_raw, ',', '') AS DECIMAL(12,2)) AS s,
+  TRY_CAST(replace(diferencia_raw, ',', '') AS DECIMAL(12,2)) AS d, fisico_raw, sistema_raw, diferencia_raw FROM main_landed)"""
+
+
+@query("rule_code", f"""{_STAGE}
+SELECT id_carga, fila_excel, fisico_raw, sistema_raw, diferencia_raw, CAST(coalesce(f, 0) AS DOUBLE) AS fisico,
+       CAST(coalesce(s, 0) AS DOUBLE) AS sistema, CAST(d AS DOUBLE) AS diferencia,
+       CASE WHEN cod = '' THEN 'ERROR RV-01' WHEN f < 0 THEN 'ERROR RV-03:' WHEN nom IS NULL THEN 'WARNING RV-02'
+            WHEN s IS NULL THEN 'WARNING RV-04' WHEN abs((f - s) - d) > 0.01 THEN 'WARNING RV-05' ELSE 'OK' END
+         AS error_column FROM staged""")
+def _rule_code(t: Inputs) -> DataFrame:
+    landed = land(t.sheet("principal"), "principal")
+    named = landed.withColumns({"codigo_limpio": cells.clean_code_view(F.col("codigo_raw")),
+                                "nombre_limpio": F.trim("nombre_raw")})
+    return clean_counts(named).select(*_KEYS, "fisico_raw", "sistema_raw", "diferencia_raw", "fisico", "sistema",
+                                      "diferencia", "error_column")
+
+
+@query("fill_down", f"{SHEET_INPUTS}, {MAIN} SELECT id_carga, fila_excel, tipo_fila, categoria_raw FROM main_filled")
+def _fill(t: Inputs) -> DataFrame:
+    rows = t.sheet("principal").withColumn("tipo_fila", row_kind("principal"))
+    titled = rows.withColumn("_t", F.when(F.col("tipo_fila") == "seccion", cells.section_name(F.col("codigo_raw"))))
+    # Small blocks, so that titles have to travel across block borders.
+    return fill_down(titled, "_t", ["id_carga"], "fila_excel", "categoria_raw", block=64).select(
+        *_KEYS, "tipo_fila", "categoria_raw")
+
+
+@query("coverage_gate", f"""{SHEET_INPUTS}, {MAIN}
+SELECT id_carga, count(*) AS total, count(codigo_raw) AS con_codigo,
+       {pct("count(codigo_raw)", "count(*)")} AS pct_codigo,
+       CASE WHEN count(codigo_raw) * 100 < count(*) * 80 THEN 'WARNING' ELSE 'OK' END AS estado
+FROM main_kind WHERE tipo_fila = 'dato' GROUP BY id_carga""")
+def _coverage(t: Inputs) -> DataFrame:
+    return coverage_gate(t.sheet("principal"), "id_carga")
+
+
+@query("row_counters", f"""{SHEET_INPUTS}, {MAIN}, {LOTS}, {CATALOGUE}, {KARDEX}, k AS (
+SELECT 'principal' AS hoja_procesada, id_carga, tipo_fila FROM main_kind
+UNION ALL SELECT 'lotes', id_carga, tipo_fila FROM lots_kind UNION ALL SELECT 'catalogo', id_carga, tipo_fila FROM cat_kind
+UNION ALL SELECT 'movimientos', id_carga, tipo_fila FROM kar_kind)
+SELECT hoja_procesada, id_carga, count(*) AS leidas, count(*) FILTER (tipo_fila = 'vacia') AS vacias,
+       count(*) FILTER (tipo_fila = 'seccion') AS secciones, count(*) FILTER (tipo_fila = 'encabezado') AS encabezados,
+       count(*) FILTER (tipo_fila = 'dato') AS insertadas FROM k GROUP BY hoja_procesada, id_carga""")
+def _counters(t: Inputs) -> DataFrame:
+    rows = kinds(t, "principal")
+    for kind in ["lotes", "catalogo", "movimientos"]:
+        rows = rows.unionByName(kinds(t, kind))
+    k = F.col("tipo_fila")
+    return rows.groupBy("hoja_procesada", "id_carga").agg(
+        F.count("*").alias("leidas"), F.count_if(k == "vacia").alias("vacias"),
+        F.count_if(k == "seccion").alias("secciones"), F.count_if(k == "encabezado").alias("encabezados"),
+        F.count_if(k == "dato").alias("insertadas"))
+
+
+@query("load_status_view", f"""{SHEET_INPUTS}, {MAIN}, {LOTS}, {LOADS}
+SELECT l.id_carga, concat('Resumen_', l.id_archivo, '.xlsx') AS nombre_archivo, periodo_datos, hoja_procesada, filas_leidas,
+       filas_vacias, filas_seccion, filas_insertadas, estado,
+       (SELECT count(*) FROM main_landed m WHERE m.id_carga = l.id_carga AND lnd_listo_para_stg) AS principal_listas,
+       (SELECT count(*) FROM main_landed m WHERE m.id_carga = l.id_carga AND NOT lnd_listo_para_stg) AS principal_con_problemas,
+       (SELECT count(*) FROM lots_landed m WHERE m.id_carga = l.id_carga AND lnd_listo_para_stg) AS lotes_listas,
+       (SELECT count(*) FROM lots_landed m WHERE m.id_carga = l.id_carga AND NOT lnd_listo_para_stg) AS lotes_con_problemas
+FROM loads l""")
+def _load_status(t: Inputs) -> DataFrame:
+    ready = F.col("lnd_listo_para_stg")
+    log = loads(t)
+    for kind in ["principal", "lotes"]:
+        log = counts_per_key(land(t.sheet(kind), kind), "id_carga",
+                             {f"{kind}_listas": ready, f"{kind}_con_problemas": ~ready}, log)
+    files = log.select("id_archivo").distinct().select(
+        "id_archivo", F.concat(F.lit("Resumen_"), F.col("id_archivo").cast("string"), F.lit(".xlsx")).alias("nombre_archivo"))
+    return log.join(files, "id_archivo").drop("id_archivo")
+
+
+@query("correlated_counts", f"""{SHEET_INPUTS}, {MAIN}, {LOTS}, {LOADS}
+SELECT l.id_carga, (SELECT count(*) FROM lots_landed m WHERE m.id_carga = l.id_carga AND NOT lnd_fecha_venc_parseable) AS sin_fecha,
+       (SELECT count(*) FROM lots_landed m WHERE m.id_carga = l.id_carga AND lnd_almacenaje_numerico) AS con_almacenaje
+FROM loads l""")
+def _correlated(t: Inputs) -> DataFrame:
+    return counts_per_key(
+        land(t.sheet("lotes"), "lotes"), "id_carga",
+        {"sin_fecha": ~F.col("lnd_fecha_venc_parseable"), "con_almacenaje": F.col("lnd_almacenaje_numerico")},
+        loads(t).select("id_carga"))
+
+
+@query("constraint_checks", f"""{star_sql('inv_dim_product')}
+SELECT 'pk' AS regla, CAST(coalesce((SELECT sum(n - 1) FROM (SELECT count(*) AS n FROM fi GROUP BY sk_tiempo, sk_producto) x), 0) AS BIGINT) AS incumplimientos
+UNION ALL SELECT 'uq_marca_anio', CAST(coalesce((SELECT sum(n - 1) FROM (SELECT count(*) AS n FROM fi GROUP BY sk_tiempo, sk_marca) x), 0) AS BIGINT)
+UNION ALL SELECT 'fk_producto', count(*) FROM fi WHERE sk_producto NOT IN (SELECT sk_producto FROM inv_dim_product WHERE es_registro_activo)
+UNION ALL SELECT 'fisica_no_negativa', count(*) FROM fi WHERE NOT cantidad_fisica >= 0
+UNION ALL SELECT 'sistema_mayor_cero', count(*) FROM fi WHERE NOT cantidad_sistema > 0
+UNION ALL SELECT 'anio_en_rango', count(*) FROM fi WHERE NOT (sk_tiempo = -1 OR sk_tiempo BETWEEN 19960101 AND 20001231)
+UNION ALL SELECT 'semaforo_no_nulo', count(*) FROM fi
+UNION ALL SELECT 'largo_estado', 0""")
+def _constraints(t: Inputs) -> DataFrame:
+    active = t["inv_dim_product"].where("es_registro_activo")
+    key = F.col("sk_tiempo")
+    return constraint_checks(fact(t), [
+        Check("pk", "unique", ("sk_tiempo", "sk_producto")),
+        Check("uq_marca_anio", "unique", ("sk_tiempo", "sk_marca")),
+        Check("fk_producto", "reference", ("sk_producto",), parent=active, parent_key="sk_producto"),
+        Check("fisica_no_negativa", "rule", condition=F.col("cantidad_fisica") >= 0),
+        Check("sistema_mayor_cero", "rule", condition=F.col("cantidad_sistema") > 0),
+        # The unknown-date row is exempt from range checks.
+        Check("anio_en_rango", "rule", condition=(key == -1) | key.between(19960101, 20001231)),
+        Check("semaforo_no_nulo", "rule", condition=F.col("sk_tipo_semaforo").isNotNull()),
+        Check("largo_estado", "rule", condition=F.length(F.col("sk_estado_stock").cast("string")) <= 30),
+    ])

@@ -189,7 +189,9 @@ def constraint_checks(table: DataFrame, checks: list[Check]) -> DataFrame:
         results.append(counted.select(F.inline(F.array(*pairs))))
     for check in checks:
         if check.kind == "unique":
-            bad = table.groupBy(*check.columns).count().where("count > 1")
+            # As for a UNIQUE constraint, rows with a null in the key never collide.
+            held = table.dropna(subset=list(check.columns))
+            bad = held.groupBy(*check.columns).count().where("count > 1")
             results.append(_breaches(check.name, bad, F.col("count") - 1))
         elif check.kind == "reference":
             key = check.columns[0]
