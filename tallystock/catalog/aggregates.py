@@ -13,6 +13,7 @@ from tallystock.catalog.star_sql import discrepancy, fact, star_sql
 from tallystock.functions.measures import count_if, ratio_pct, shortage, surplus
 from tallystock.operators.aggregates import dedupe_by_key, detail_plus_total, version_stats
 from tallystock.operators.lookups import join_dimensions
+from tallystock.operators.ordering import any_row, sort_rows
 from tallystock.operators.windows import latest_per_key, number_rows, running_total, share_of_total
 from tallystock.plans.history import first_versions, scd2_merge
 from tallystock.plans.masters import classify_products
@@ -167,14 +168,14 @@ def _latest(t: Inputs) -> DataFrame:
 @query("sort_multi", f"""{MOVEMENT_INPUTS}, {MOVEMENTS}
 SELECT id_producto, CAST(fecha_movimiento AS VARCHAR) AS fecha_movimiento, CAST(cantidad AS DOUBLE) AS cantidad FROM moves""")
 def _sort(t: Inputs) -> DataFrame:
-    return movements(t).select("id_producto", "fecha_movimiento", "cantidad").orderBy(
-        F.col("id_producto").asc(), F.col("fecha_movimiento").desc())
+    rows = movements(t).select("id_producto", "fecha_movimiento", "cantidad")
+    return sort_rows(rows, F.col("id_producto").asc(), F.col("fecha_movimiento").desc())
 
 
 @query("order_result", f"""{_STAR} SELECT sk_tiempo, sk_producto, CAST({_D} AS DOUBLE) AS diferencia FROM fi WHERE flag_discrepancia""")
 def _order(t: Inputs) -> DataFrame:
     rows = fact(t).where("flag_discrepancia").select("sk_tiempo", "sk_producto", F.col(_D).alias("diferencia"))
-    return rows.orderBy(F.abs("diferencia").desc())
+    return sort_rows(rows, F.abs("diferencia").desc())
 
 
 @query("limit_one", f"""{with_inputs('inv_file')}
@@ -183,6 +184,5 @@ SELECT EXISTS (SELECT 1 FROM inv_file WHERE hash_md5 IN (SELECT hash_md5 FROM in
 def _limit(t: Inputs) -> DataFrame:
     every = t["inv_file"]
     old = F.col("id_archivo_log") % 10 == 0
-    # An existence probe needs one row only.
-    repeated = every.where(~old).join(every.where(old).select("hash_md5").distinct(), "hash_md5", "left_semi").limit(1)
-    return repeated.agg((F.count("*") > 0).alias("hay_duplicado"))
+    logged = every.where(old).select("hash_md5").distinct()
+    return any_row(every.where(~old).join(logged, "hash_md5", "left_semi"), "hay_duplicado")

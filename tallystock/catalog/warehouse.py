@@ -5,17 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallystock.catalog.inputs import AS_OF, Inputs, with_inputs
+from tallystock.catalog.inputs import AS_OF, COUNT_KEY, Inputs, with_inputs
 from tallystock.catalog.registry import query
 from tallystock.catalog.reports import LIGHT, MOVEMENT_INPUTS, MOVEMENTS, light, movements
 from tallystock.catalog.rules_sql import CLASSIFIED, REVIEW
-from tallystock.catalog.star_sql import BAND, discrepancy, star_sql
+from tallystock.catalog.star_sql import BAND, ONE_COUNT, discrepancy, fact, star_sql
 from tallystock.functions.rules import recode_category
+from tallystock.operators.filters import snapshot_filter
 from tallystock.operators.lookups import lookup_or_null
 from tallystock.plans import history as H
 from tallystock.plans import masters as M
 from tallystock.plans.star import build_fact_inventory, discrepancy_cause, generated_measures, stock_status
+from tallystock.session import new_path
 from tallystock.sources.seeds import lights
+from tallystock.sources.tables import write_fact
 
 _PRODUCTS = f"{with_inputs('inv_product')}, {CLASSIFIED}"
 _STAR = star_sql("inv_brand")
@@ -139,6 +142,16 @@ def _fact(t: Inputs) -> DataFrame:
     return build_fact_inventory(lit, load_id=7)
 
 
+@query("write_fact", f"""{_STAR}
+SELECT sk_tiempo, sk_producto, CAST(cantidad_fisica AS DOUBLE) AS cantidad_fisica, CAST(diferencia_unids AS DOUBLE) AS diferencia_unids
+FROM fi WHERE {ONE_COUNT}""")
+def _write_fact(t: Inputs) -> DataFrame:
+    path = new_path(t.spark, "fact")
+    write_fact(fact(t), path, files_per_count=2)
+    return snapshot_filter(t.spark.read.parquet(path), COUNT_KEY).select(
+        "sk_tiempo", "sk_producto", "cantidad_fisica", "diferencia_unids")
+
+
 @query("build_fact_discrepancy", f"""{_STAR}
 SELECT sk_tiempo, sk_producto, sk_categoria, sk_marca, sk_tipo_disc, CAST(abs(diferencia_unids) AS DOUBLE) AS unidades_diferencia,
        CASE WHEN diferencia_unids > 0 THEN '+' ELSE '-' END AS signo_diferencia, CAST(cantidad_fisica AS DOUBLE) AS cantidad_fisica,

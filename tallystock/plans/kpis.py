@@ -14,10 +14,16 @@ from tallystock.functions.measures import count_if, goal_mark, ratio_pct, shorta
 from tallystock.operators.aggregates import detail_plus_total
 from tallystock.operators.filters import active_between, positive_stock_filter, snapshot_filter
 from tallystock.operators.lookups import join_dimensions, join_keys
+from tallystock.operators.ordering import sort_rows
 from tallystock.operators.windows import running_total, share_of_total
 
-DIFFERENT = F.col("flag_discrepancia")
-EMPTY = F.col("flag_stock_cero")
+
+def _different() -> Column:
+    return F.col("flag_discrepancia")
+
+
+def _empty() -> Column:
+    return F.col("flag_stock_cero")
 
 
 def _count(fact: DataFrame, sk_tiempo: int | None) -> DataFrame:
@@ -27,7 +33,7 @@ def _count(fact: DataFrame, sk_tiempo: int | None) -> DataFrame:
 def kpi_ira(fact: DataFrame, dates: DataFrame, categories: DataFrame, sk_tiempo: int | None = None) -> DataFrame:
     """Record accuracy per count and category, with goal mark and unit totals."""
     by_key = _count(fact, sk_tiempo).groupBy("sk_tiempo", "sk_categoria").agg(
-        F.count("*").alias("n"), count_if(~DIFFERENT).alias("exact"), count_if(DIFFERENT).alias("diff"),
+        F.count("*").alias("n"), count_if(~_different()).alias("exact"), count_if(_different()).alias("diff"),
         F.sum("cantidad_fisica").alias("f"), F.sum("cantidad_sistema").alias("s"), F.sum("diferencia_unids").alias("d"))
     joined = join_dimensions(
         by_key,
@@ -52,9 +58,9 @@ STOCKOUT_SUMS = ["total_skus", "skus_sin_stock", "skus_con_stock", "agotados_no_
 
 def _stockout_counts(fact: DataFrame, dates: DataFrame, categories: DataFrame, sk_tiempo: int | None) -> DataFrame:
     by_key = _count(fact, sk_tiempo).groupBy("sk_tiempo", "sk_categoria").agg(
-        F.count("*").alias("total_skus"), count_if(EMPTY).alias("skus_sin_stock"),
-        count_if(~EMPTY).alias("skus_con_stock"),
-        count_if(EMPTY & (F.col("cantidad_sistema") > 0)).alias("agotados_no_reconocidos"))
+        F.count("*").alias("total_skus"), count_if(_empty()).alias("skus_sin_stock"),
+        count_if(~_empty()).alias("skus_con_stock"),
+        count_if(_empty() & (F.col("cantidad_sistema") > 0)).alias("agotados_no_reconocidos"))
     joined = join_dimensions(
         by_key, (dates.select("sk_tiempo", F.col("fecha_completa").alias("fecha_toma")), "sk_tiempo"),
         (categories.select("sk_categoria", "nombre_categoria"), "sk_categoria"))
@@ -64,17 +70,18 @@ def _stockout_counts(fact: DataFrame, dates: DataFrame, categories: DataFrame, s
 
 def expiry_risk(products: DataFrame, brands: DataFrame, categories: DataFrame) -> DataFrame:
     """Active products that expire within a year, with the months left."""
-    return join_dimensions(
+    risk = join_dimensions(
         active_between(products), (brands.select("sk_marca", "nombre_marca"), "sk_marca"),
         (categories.select("sk_categoria", "nombre_categoria"), "sk_categoria"),
     ).select("nk_codigo_producto", "nombre_producto", "nombre_marca", "nombre_categoria", "fecha_vencimiento",
              "dias_para_vencer", "clasificacion_venc",
              days_to_months(F.col("dias_para_vencer")).alias("meses_restantes"))
+    return risk
 
 
 def ira_ranked(fact: DataFrame, dates: DataFrame, categories: DataFrame, sk_tiempo: int) -> DataFrame:
     """Accuracy of one count, worst category first."""
-    return kpi_ira(fact, dates, categories, sk_tiempo).orderBy("ira_pct")
+    return sort_rows(kpi_ira(fact, dates, categories, sk_tiempo), F.col("ira_pct"))
 
 
 def direction(difference: Column) -> Column:
@@ -90,11 +97,12 @@ def discrepancies(fact: DataFrame, discrepancy: DataFrame, products: DataFrame,
         (categories.select("sk_categoria", "nombre_categoria"), "sk_categoria"),
         (brands.select("sk_marca", "nombre_marca"), "sk_marca"))
     named = joined.join(F.broadcast(causes.select("sk_tipo_disc", "nombre_tipo", "impacto_financiero")), "sk_tipo_disc")
-    return named.select(
+    listed = named.select(
         F.col("nk_codigo_producto").alias("codigo"), "nombre_producto", "nombre_categoria", "nombre_marca",
         "cantidad_fisica", "cantidad_sistema", "diferencia_unids",
         direction(F.col("diferencia_unids")).alias("tipo_diferencia"), F.col("nombre_tipo").alias("causa"),
-        "impacto_financiero", "observacion_texto").orderBy(F.abs("diferencia_unids").desc())
+        "impacto_financiero", "observacion_texto")
+    return sort_rows(listed, F.abs("diferencia_unids").desc())
 
 
 def _fact_pair(fact: DataFrame, discrepancy: DataFrame, sk_tiempo: int) -> DataFrame:
@@ -125,20 +133,20 @@ def expiring_stock(fact: DataFrame, products: DataFrame, brands: DataFrame, cate
     stock = positive_stock_filter(snapshot_filter(fact, sk_tiempo)).select(
         "sk_producto", F.col("cantidad_fisica").alias("stock_disponible"))
     held = products.where("es_registro_activo").select("sk_producto", F.col(on).alias("_on")).join(stock, "sk_producto")
-    return risk.join(held, F.col(on) == F.col("_on")).drop("_on", "sk_producto").orderBy("dias_para_vencer")
+    return sort_rows(risk.join(held, F.col(on) == F.col("_on")).drop("_on", "sk_producto"), F.col("dias_para_vencer"))
 
 
 def brand_share(fact: DataFrame, brands: DataFrame, sk_tiempo: int) -> DataFrame:
     """Stock per brand and its share of all stock in one count, largest first."""
     by_key = snapshot_filter(fact, sk_tiempo).groupBy("sk_marca").agg(
         F.countDistinct("sk_producto").alias("n"), F.sum("cantidad_fisica").alias("f"),
-        F.sum("cantidad_sistema").alias("s"), count_if(DIFFERENT).alias("d"))
+        F.sum("cantidad_sistema").alias("s"), count_if(_different()).alias("d"))
     # A product has one row per count and one brand, so its distinct counts add up over brand keys.
     groups = join_dimensions(by_key, (brands.select("sk_marca", "nombre_marca", "tipo_proveedor"), "sk_marca")).groupBy(
         "nombre_marca", "tipo_proveedor").agg(
         F.sum("n").alias("num_skus"), F.sum("f").alias("total_stock_fisico"),
         F.sum("s").alias("total_stock_sistema"), F.sum("d").alias("skus_con_discrepancia"))
-    return share_of_total(groups, "total_stock_fisico", "pct_del_total").orderBy(F.desc("total_stock_fisico"))
+    return sort_rows(share_of_total(groups, "total_stock_fisico", "pct_del_total"), F.desc("total_stock_fisico"))
 
 
 def pending_running(fact: DataFrame, discrepancy: DataFrame, products: DataFrame, categories: DataFrame,
@@ -161,9 +169,9 @@ def dashboard(fact: DataFrame, dates: DataFrame, sk_tiempo: int) -> DataFrame:
     d = F.col("diferencia_unids")
     day = dates.where(F.col("sk_tiempo") == sk_tiempo).select("fecha_completa").scalar()
     sums = snapshot_filter(fact, sk_tiempo).agg(
-        F.count("*").alias("total_skus"), count_if(~DIFFERENT).alias("_exact"),
-        count_if(DIFFERENT).alias("skus_con_discrepancia"), count_if(EMPTY).alias("skus_sin_stock"),
-        count_if(~DIFFERENT & ~EMPTY).alias("skus_ok"), F.sum("cantidad_fisica").alias("total_unidades_fisicas"),
+        F.count("*").alias("total_skus"), count_if(~_different()).alias("_exact"),
+        count_if(_different()).alias("skus_con_discrepancia"), count_if(_empty()).alias("skus_sin_stock"),
+        count_if(~_different() & ~_empty()).alias("skus_ok"), F.sum("cantidad_fisica").alias("total_unidades_fisicas"),
         F.sum("cantidad_sistema").alias("total_unidades_sistema"), F.sum(d).alias("diferencia_neta_total"),
         surplus(d).alias("total_sobrante_uds"), shortage(d).alias("total_faltante_uds"))
     return sums.select(

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallystock.functions import rules
 from tallystock.operators.aggregates import distinct_values
 from tallystock.operators.columns import add_columns
 from tallystock.operators.lookups import lookup_keep_original
+from tallystock.operators.windows import number_rows
 
 
 def classify_products(staging: DataFrame, code: str = "codigo_raw", name: str = "nombre_raw",
@@ -23,15 +24,21 @@ def classify_products(staging: DataFrame, code: str = "codigo_raw", name: str =
     })
 
 
+MASTER_COLUMNS = ["categoria_jerarquizada", "unidad", "marca"]
+
+
 def master_values(classified: DataFrame, order: str) -> DataFrame:
     """Distinct categories, units and brands with ids in the order they were first seen.
 
-    All three lists come from one scan. Numbering runs per list over its distinct values,
-    which the keyword rules and the section titles keep short.
+    All three lists come from one scan. They are numbered as one ordered list without
+    gathering it in a task; a list's ids are its numbers less those before it.
     """
-    values = distinct_values(classified, ["categoria_jerarquizada", "unidad", "marca"], order)
-    w = Window.partitionBy("columna").orderBy("primera_fila", "valor")
-    return values.withColumn("id", F.row_number().over(w))
+    values = distinct_values(classified, MASTER_COLUMNS, order)
+    numbered = number_rows(values, [F.col("columna"), F.col("primera_fila"), F.col("valor")], "_n")
+    starts = numbered.groupBy("columna").agg(F.min("_n").alias("_start"))
+    # One row per list, three in all.
+    return numbered.join(F.broadcast(starts), "columna").select(
+        "columna", "valor", "primera_fila", (F.col("_n") - F.col("_start") + 1).cast("int").alias("id"))
 
 
 def master_table(values: DataFrame, column: str, id_name: str, name: str) -> DataFrame:

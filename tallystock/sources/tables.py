@@ -57,15 +57,22 @@ def bulk_insert(df: DataFrame, target: str, source: str = "parquet", batch_rows:
         writer.save(target)
 
 
-def write_fact(df: DataFrame, path: str, key: str = "sk_tiempo") -> None:
-    """Facts are laid out by count date, so a report on one count reads one folder."""
-    df.repartition(F.col(key), F.pmod(F.hash("sk_producto"), F.lit(64))).write.mode("overwrite").partitionBy(
-        key).parquet(path)
+def write_fact(df: DataFrame, path: str, files_per_count: int = 64, key: str = "sk_tiempo") -> None:
+    """Facts are laid out by count date, so a report on one count reads one folder.
+
+    Each date is spread over ``files_per_count`` writers by product, however large it is.
+    """
+    slot = F.pmod(F.xxhash64("sk_producto"), F.lit(files_per_count))
+    df.repartition(F.col(key), slot).write.mode("overwrite").partitionBy(key).parquet(path)
 
 
 def insert_if_absent(target: DataFrame, seed: DataFrame, key: str) -> DataFrame:
-    """Target plus the seed rows whose natural key it does not hold yet."""
-    return target.unionByName(anti_join_new_keys(seed, target, [key]), allowMissingColumns=True)
+    """Target plus the seed rows whose natural key it does not hold yet.
+
+    ``seed`` is a constant table: its keys go to the target, so the target is not shuffled.
+    """
+    held = target.select(key).join(F.broadcast(seed.select(key)), key, "left_semi")
+    return target.unionByName(anti_join_new_keys(seed, held, [key]), allowMissingColumns=True)
 
 
 def anti_join_new_keys(candidates: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
