@@ -249,12 +249,16 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def path(self, table: str) -> str:
         return f"{self.sf_dir}/{table}.parquet"
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """A table; its schema is read once however often a query uses it."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(self.path(name))
+        return self._tables[name]
 
     def __getitem__(self, name: str) -> DataFrame:
         return self._select(name, {})
@@ -262,10 +266,11 @@ class Inputs:
     def _select(self, name: str, where: dict[str, str]) -> DataFrame:
         """Input by name; ``where`` adds a filter that reaches the scan of a table."""
         inputs = with_inputs(name)
+        used = [t for t in TABLES if f"FROM {t}" in inputs or f"JOIN {t}" in inputs]
         tables = ",\n".join(
-            f"{t} AS (SELECT * FROM parquet.`{self.path(t)}`{' WHERE ' + where[t] if t in where else ''})"
-            for t in TABLES if f"FROM {t}" in inputs or f"JOIN {t}" in inputs)
-        return self.spark.sql(f"WITH {tables},\n{inputs.removeprefix('WITH ')} SELECT * FROM {name}")
+            f"{t} AS (SELECT * FROM {{{t}}}{' WHERE ' + where[t] if t in where else ''})" for t in used)
+        text = f"WITH {tables},\n{inputs.removeprefix('WITH ')} SELECT * FROM {name}"
+        return self.spark.sql(text, **{t: self.table(t) for t in used})
 
     def count_of(self, year: int = COUNT_YEAR) -> DataFrame:
         """One yearly count; the year is a range of days the scan can skip by."""

@@ -9,10 +9,12 @@ from tallystock import fixed_values as V
 
 # A decimal or scientific literal; single underscores between digits count as part of it.
 _DIGITS = r"\d+(_\d+)*"
-NUMERIC_PATTERN = rf"^[+-]?({_DIGITS}\.?({_DIGITS})?|\.{_DIGITS})([eE][+-]?{_DIGITS})?$"
+_BLANK = f"[{V.WHITESPACE}]*"
+NUMERIC_PATTERN = rf"^{_BLANK}[+-]?({_DIGITS}\.?({_DIGITS})?|\.{_DIGITS})([eE][+-]?{_DIGITS})?{_BLANK}$"
 
 
 def strip(c: Column) -> Column:
+    """Remove white space of any kind at both ends."""
     return F.btrim(c, F.lit(V.WHITESPACE))
 
 
@@ -45,19 +47,32 @@ def clean_name(c: Column) -> Column:
 
 def is_numeric(c: Column) -> Column:
     """True where the comma-free text is a finite number; never null."""
-    return F.coalesce(strip(F.replace(c, F.lit(","), F.lit(""))).rlike(NUMERIC_PATTERN), F.lit(False))
+    return F.coalesce(F.replace(c, F.lit(","), F.lit("")).rlike(NUMERIC_PATTERN), F.lit(False))
+
+
+# Day-first, month-first and year-first shapes; the year 0 does not exist.
+_YEAR = r"(?!0000)\d{4}"
+_DAY_SLASH = rf"^\d{{1,2}}/\d{{1,2}}/{_YEAR}$"
+_DAY_DASH = rf"^\d{{1,2}}-\d{{1,2}}-{_YEAR}$"
+_YEAR_DASH = rf"^{_YEAR}-\d{{1,2}}-\d{{1,2}}$"
+
+
+def _date(c: Column, separator: str, day_first: bool = True) -> Column:
+    """Date from three numbers around a separator. The parts are put in year-month-day order
+    and cast: a date parser would raise and catch an exception for every bad cell."""
+    first = F.substring_index(c, separator, 1)
+    second = F.substring_index(F.substring_index(c, separator, 2), separator, -1)
+    day, month = (first, second) if day_first else (second, first)
+    return F.concat_ws("-", F.substring_index(c, separator, -1), month, day).try_cast("date")
 
 
 def is_date_parseable(c: Column) -> Column:
     """A missing date counts as parseable; otherwise the first ten characters must be a date."""
     head = F.substring(c, 1, 10)
-    ymd = head.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$")
-    dmy_slash = head.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$")
-    dmy_dash = head.rlike(r"^\d{1,2}-\d{1,2}-\d{4}$")
     parsed = (
-        F.when(ymd, F.try_to_date(head, "yyyy-M-d"))
-        .when(dmy_slash, F.coalesce(F.try_to_date(head, "d/M/yyyy"), F.try_to_date(head, "M/d/yyyy")))
-        .when(dmy_dash, F.try_to_date(head, "d-M-yyyy"))
+        F.when(head.rlike(_YEAR_DASH), head.try_cast("date"))
+        .when(head.rlike(_DAY_SLASH), F.coalesce(_date(head, "/"), _date(head, "/", day_first=False)))
+        .when(head.rlike(_DAY_DASH), _date(head, "-"))
     )
     absent = c.isNull() | (c == "") | F.upper(c).isin(V.DATE_NULL_TOKENS)
     return absent | parsed.isNotNull()
@@ -85,7 +100,7 @@ def text_to_number(c: Column, type_: str = "decimal(12,2)") -> Column:
 
 def text_to_date(c: Column) -> Column:
     """Day/month/year text, with or without leading zeros; null if it is no date."""
-    return F.try_to_date(c, "d/M/yyyy")
+    return F.when(c.rlike(_DAY_SLASH), _date(c, "/"))
 
 
 def zero_fill(c: Column) -> Column:

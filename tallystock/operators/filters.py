@@ -16,12 +16,13 @@ ROW_CELLS = {
 
 
 def empty_row(kind: str) -> Column:
-    return cells.all_empty(*[F.col(c) for c in ROW_CELLS[kind]])
+    """All cells that matter are empty. Cells come trimmed, with null for empty, from the scan."""
+    return F.coalesce(*[F.col(c) for c in ROW_CELLS[kind]]).isNull()
 
 
 def header_row(kind: str) -> Column:
     if kind == "movimientos":
-        return F.coalesce(F.lower(cells.strip(F.col("tipo_raw"))) == "tipo", F.lit(False))
+        return F.coalesce(F.lower("tipo_raw") == "tipo", F.lit(False))
     return cells.is_header_word(F.col("codigo_raw"))
 
 

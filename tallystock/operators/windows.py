@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallystock.functions.measures import ratio_pct
 from tallystock.session import materialize
 
 _POSITION_BITS = 33  # monotonically_increasing_id: partition above, row below
@@ -84,8 +85,11 @@ def fill_down(df: DataFrame, value: str, keys: list[str], order: str, name: str,
 
 
 def share_of_total(groups: DataFrame, value: str, name: str) -> DataFrame:
-    """Share of each group in the total of ``value``; the total is a scalar, not a window."""
-    from tallystock.functions.measures import ratio_pct
+    """Share of each group in the total of ``value``.
 
-    total = groups.agg(F.sum(value).alias("_total")).scalar()
-    return groups.withColumn(name, ratio_pct(F.col(value), total))
+    The grouped rows are stored, so the rows below them are read once and not again for
+    the total, and no task has to hold all groups.
+    """
+    stored = materialize(groups, "groups")
+    total = stored.agg(F.sum(value).alias("_total")).scalar()
+    return stored.withColumn(name, ratio_pct(F.col(value), total))

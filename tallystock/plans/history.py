@@ -113,12 +113,12 @@ def incremental_rows(rows: DataFrame, date: str, control: DataFrame, process: st
 
 
 def move_mark(control: DataFrame, rows: DataFrame, date: str, process: str) -> DataFrame:
-    """Control table after a good load: newest date kept and counter raised for the process."""
+    """Control table after a good load of ``rows``: their newest date becomes the mark (none
+    new keeps it) and the counter of the process goes up."""
     newest = rows.agg(F.max(date).alias("m")).scalar()
     mine = F.col("nombre_proceso") == process
     moved = control.withColumns({
-        "ultima_fecha_dato": F.when(mine, F.greatest(newest, F.col("ultima_fecha_dato"))).otherwise(
-            F.col("ultima_fecha_dato")),
+        "ultima_fecha_dato": F.when(mine, F.coalesce(newest, "ultima_fecha_dato")).otherwise(F.col("ultima_fecha_dato")),
         "total_cargas": F.col("total_cargas") + F.when(mine, 1).otherwise(0),
         "estado_ultimo": F.when(mine, F.lit("Completado")).otherwise(F.col("estado_ultimo")),
     })
