@@ -169,7 +169,7 @@ def _latest(t: Inputs) -> DataFrame:
 SELECT id_producto, CAST(fecha_movimiento AS VARCHAR) AS fecha_movimiento, CAST(cantidad AS DOUBLE) AS cantidad FROM moves""")
 def _sort(t: Inputs) -> DataFrame:
     rows = movements(t).select("id_producto", "fecha_movimiento", "cantidad")
-    return sort_rows(rows, F.col("id_producto").asc(), F.col("fecha_movimiento").desc())
+    return sort_rows(rows, F.col("id_producto").asc(), F.col("fecha_movimiento").desc(), copies=True)
 
 
 @query("order_result", f"""{_STAR} SELECT sk_tiempo, sk_producto, CAST({_D} AS DOUBLE) AS diferencia FROM fi WHERE flag_discrepancia""")

@@ -6,15 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallystock.catalog.inputs import Inputs
-from tallystock.catalog.quality_sql import (CATALOGUE, KARDEX, LOADS, LOTS, MAIN, SHEET_INPUTS, kinds, loads)
+from tallystock.catalog.quality_sql import CATALOGUE, KARDEX, LOADS, LOTS, MAIN, SHEET_INPUTS, loads
 from tallystock.catalog.registry import pct, query
+from tallystock.catalog.reports import MOVEMENT_INPUTS, MOVEMENTS, movements
 from tallystock.catalog.star_sql import fact, star_sql
 from tallystock.operators.aggregates import coverage_gate
 from tallystock.operators.lookups import counts_per_key
 from tallystock.operators.windows import fill_down
 from tallystock.operators.filters import row_kind
 from tallystock.functions import cells
-from tallystock.plans.quality import Check, clean_counts, constraint_checks, land, warnings
+from tallystock.plans.quality import Check, clean_counts, constraint_checks, declared_checks, land, row_counters, staging_loads, warnings
 
 _KEYS = ["id_carga", "fila_excel"]
 
@@ -109,22 +110,46 @@ def _coverage(t: Inputs) -> DataFrame:
     return coverage_gate(t.sheet("principal"), "id_carga")
 
 
-@query("row_counters", f"""{SHEET_INPUTS}, {MAIN}, {LOTS}, {CATALOGUE}, {KARDEX}, k AS (
-SELECT 'principal' AS hoja_procesada, id_carga, tipo_fila FROM main_kind
-UNION ALL SELECT 'lotes', id_carga, tipo_fila FROM lots_kind UNION ALL SELECT 'catalogo', id_carga, tipo_fila FROM cat_kind
-UNION ALL SELECT 'movimientos', id_carga, tipo_fila FROM kar_kind)
-SELECT hoja_procesada, id_carga, count(*) AS leidas, count(*) FILTER (tipo_fila = 'vacia') AS vacias,
-       count(*) FILTER (tipo_fila = 'seccion') AS secciones, count(*) FILTER (tipo_fila = 'encabezado') AS encabezados,
-       count(*) FILTER (tipo_fila = 'dato') AS insertadas FROM k GROUP BY hoja_procesada, id_carga""")
+_COUNTS = """count(*) AS leidas, count(*) FILTER (tipo_fila = 'vacia') AS vacias,
+  count(*) FILTER (tipo_fila = 'seccion') AS secciones, count(*) FILTER (tipo_fila = 'encabezado') AS encabezados,
+  count(*) FILTER (tipo_fila = 'dato') AS insertadas"""
+_COUNT_WARNINGS = """CAST(sum(CASE WHEN NOT lnd_sistema_numerico AND fisico_raw IS NOT NULL THEN 1 ELSE 0 END
+  + CASE WHEN lnd_tiene_codigo <> lnd_tiene_nombre THEN 1 ELSE 0 END{0}) AS BIGINT) AS warnings"""
+
+
+def _counters_sql(kind: str, kinds_: str, landed: str, raised: str) -> str:
+    return f"""SELECT '{kind}' AS hoja_procesada, k.*, coalesce(w.warnings, 0) AS warnings FROM (
+  SELECT id_carga, {_COUNTS} FROM {kinds_} GROUP BY id_carga) k LEFT JOIN (
+  SELECT id_carga, {raised} FROM {landed} GROUP BY id_carga) w ON w.id_carga = k.id_carga"""
+
+
+@query("row_counters", f"{SHEET_INPUTS}, {MAIN}, {LOTS}, {CATALOGUE}, {KARDEX} " + " UNION ALL ".join([
+    _counters_sql("principal", "main_kind", "main_landed", _COUNT_WARNINGS.format("")),
+    _counters_sql("lotes", "lots_kind", "lots_landed", _COUNT_WARNINGS.format(
+        " + CASE WHEN NOT lnd_fecha_venc_parseable THEN 1 ELSE 0 END")),
+    _counters_sql("catalogo", "cat_kind", "cat_landed",
+                  "CAST(sum(CASE WHEN precio1_raw IS NULL OR precio1_raw = '0' THEN 1 ELSE 0 END) AS BIGINT) AS warnings"),
+    _counters_sql("movimientos", "kar_kind", "kar_landed", """CAST(sum(CASE WHEN lnd_tiene_tipo AND NOT lnd_tipo_reconocido
+      THEN 1 ELSE 0 END + CASE WHEN NOT lnd_fecha_parseable THEN 1 ELSE 0 END) AS BIGINT) AS warnings"""),
+]))
 def _counters(t: Inputs) -> DataFrame:
-    rows = kinds(t, "principal")
-    for kind in ["lotes", "catalogo", "movimientos"]:
-        rows = rows.unionByName(kinds(t, kind))
-    k = F.col("tipo_fila")
-    return rows.groupBy("hoja_procesada", "id_carga").agg(
-        F.count("*").alias("leidas"), F.count_if(k == "vacia").alias("vacias"),
-        F.count_if(k == "seccion").alias("secciones"), F.count_if(k == "encabezado").alias("encabezados"),
-        F.count_if(k == "dato").alias("insertadas"))
+    parts = [row_counters(t.sheet(k), k, ["id_carga"]).select(F.lit(k).alias("hoja_procesada"), "*")
+             for k in ["principal", "lotes", "catalogo", "movimientos"]]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+@query("staging_loads", f"""{SHEET_INPUTS}, {MAIN}, {LOTS}, {LOADS}
+SELECT CAST(id_carga AS INT) AS id_carga, concat('Resumen_', id_archivo, '.xlsx') AS nombre_archivo, hoja_procesada AS hoja,
+       CAST(filas_leidas AS INT) AS total_filas_raw, CAST(filas_vacias AS INT) AS filas_rechazadas,
+       CAST(filas_insertadas AS INT) AS filas_validas, estado FROM loads""")
+def _staging_loads(t: Inputs) -> DataFrame:
+    log = loads(t)
+    return staging_loads(log, _files(log))
+
+
+def _files(log: DataFrame) -> DataFrame:
+    name = F.concat(F.lit("Resumen_"), F.col("id_archivo").cast("string"), F.lit(".xlsx"))
+    return log.select("id_archivo").distinct().select("id_archivo", name.alias("nombre_archivo"))
 
 
 @query("load_status_view", f"""{SHEET_INPUTS}, {MAIN}, {LOTS}, {LOADS}
@@ -141,8 +166,7 @@ def _load_status(t: Inputs) -> DataFrame:
     for kind in ["principal", "lotes"]:
         log = counts_per_key(land(t.sheet(kind), kind), "id_carga",
                              {f"{kind}_listas": ready, f"{kind}_con_problemas": ~ready}, log)
-    files = log.select("id_archivo").distinct().select(
-        "id_archivo", F.concat(F.lit("Resumen_"), F.col("id_archivo").cast("string"), F.lit(".xlsx")).alias("nombre_archivo"))
+    files = _files(log)
     return log.join(files, "id_archivo").drop("id_archivo")
 
 
@@ -180,3 +204,14 @@ def _constraints(t: Inputs) -> DataFrame:
         Check("semaforo_no_nulo", "rule", condition=F.col("sk_tipo_semaforo").isNotNull()),
         Check("largo_estado", "rule", condition=F.length(F.col("sk_estado_stock").cast("string")) <= 30),
     ])
+
+
+@query("declared_constraints", f"""{MOVEMENT_INPUTS}, {MOVEMENTS}
+SELECT 'cantidad > 0' AS regla, count(*) AS incumplimientos FROM moves WHERE NOT cantidad > 0
+UNION ALL SELECT 'id_producto no nulo', count(*) FROM moves WHERE id_producto IS NULL
+UNION ALL SELECT 'id_tipo_mov no nulo', count(*) FROM moves WHERE id_tipo_mov IS NULL
+UNION ALL SELECT 'fecha_movimiento no nulo', count(*) FROM moves WHERE fecha_movimiento IS NULL
+UNION ALL SELECT 'id_producto existe', count(*) FROM moves WHERE id_producto NOT IN (SELECT id_producto FROM inv_product WHERE p_size > 3)""")
+def _declared(t: Inputs) -> DataFrame:
+    stocked = t["inv_product"].where("p_size > 3")
+    return constraint_checks(movements(t), declared_checks("movimiento_inventario", {"id_producto": stocked}))

@@ -159,9 +159,9 @@ def movements(t: Inputs) -> DataFrame:
     return build_movements(t["inv_inflow"], t["inv_inflow_header"], t["inv_outflow"], t["inv_product"])
 
 
-def light(t: Inputs) -> DataFrame:
+def light(t: Inputs, ids: DataFrame | None = None) -> DataFrame:
     control = t["inv_product"].select("id_producto", "codigo_producto")
-    return ageing_light(control, movements(t), LIGHT_DATE)
+    return ageing_light(control, movements(t), LIGHT_DATE, ids)
 
 
 @query("critical_share", f"""{MOVEMENT_INPUTS}, {MOVEMENTS}, {LIGHT}

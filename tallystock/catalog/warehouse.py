@@ -15,6 +15,7 @@ from tallystock.operators.filters import snapshot_filter
 from tallystock.operators.lookups import lookup_or_null
 from tallystock.plans import history as H
 from tallystock.plans import masters as M
+from tallystock.plans.movements import control_rows
 from tallystock.plans.star import build_fact_inventory, discrepancy_cause, generated_measures, stock_status
 from tallystock.session import new_path
 from tallystock.sources.seeds import lights
@@ -61,10 +62,24 @@ def _measures(t: Inputs) -> DataFrame:
 
 
 @query("ageing_light", f"""{MOVEMENT_INPUTS}, {MOVEMENTS}, {LIGHT}
-SELECT id_producto, codigo_producto, CAST(ultima_modificacion AS VARCHAR) AS ultima_modificacion, dias_inventariado,
-       color_semaforo, id_semaforo FROM light""")
+SELECT l.id_producto, l.codigo_producto, CAST(ultima_modificacion AS VARCHAR) AS ultima_modificacion, dias_inventariado,
+       color_semaforo, id_semaforo, p.sk_marca AS id_marca, p.sk_categoria AS id_categoria
+FROM light l JOIN inv_product p USING (id_producto)""")
 def _light(t: Inputs) -> DataFrame:
-    return light(t)
+    ids = t["inv_product"].select("id_producto", F.col("sk_marca").alias("id_marca"), F.col("sk_categoria").alias("id_categoria"))
+    return light(t, ids)
+
+
+@query("control_rows", """
+SELECT p_partkey AS id_producto, CAST(p_partkey AS VARCHAR) AS codigo_producto, p_name AS nombre, CAST(1000 + p_size AS DOUBLE) AS fisico,
+       CASE WHEN p_size % 2 = 0 THEN CAST(p_size AS DOUBLE) END AS sistema, CAST(NULL AS DOUBLE) AS diferencia FROM part""")
+def _control(t: Inputs) -> DataFrame:
+    size = F.col("p_size")
+    staging = t.table("part").select(
+        F.col("p_partkey").alias("id_stg_inv"), F.col("p_partkey").cast("string").alias("codigo_raw"), F.col("p_name").alias("nombre_raw"),
+        F.concat(F.lit("1,"), F.lpad(size.cast("string"), 3, "0")).alias("fisico_raw"),
+        F.when(size % 2 == 0, size.cast("string")).otherwise("-").alias("sistema_raw"), F.lit("#REF!").alias("diferencia_raw"))
+    return control_rows(staging)
 
 
 _RECODE = {

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallystock import fixed_values as V
-from tallystock.functions.cells import text_to_date
+from tallystock.functions.cells import text_to_date, text_to_number
 from tallystock.functions.dates import days_between
 from tallystock.operators.filters import keep_values, remove_values
 from tallystock.operators.lookups import lookup_inner, lookup_or_null
@@ -82,9 +82,24 @@ def light_columns(last: Column, cut_date: str) -> dict[str, Column]:
     return {"dias_inventariado": days, "color_semaforo": pick(1), "id_semaforo": pick(0)}
 
 
-def ageing_light(control: DataFrame, movements: DataFrame, cut_date: str) -> DataFrame:
-    """Control rows (one per product) with their last inflow, days and light."""
+# Staging column -> control column, one row per product of the count.
+CONTROL = {"id_stg_inv": "id_producto", "codigo_raw": "codigo_producto", "nombre_raw": "nombre"}
+
+
+def control_rows(staging: DataFrame) -> DataFrame:
+    """Control rows of the ageing light: typed quantities next to the product they belong to."""
+    quantities = [text_to_number(F.col(f"{q}_raw")).alias(q) for q in ["fisico", "sistema", "diferencia"]]
+    return staging.select(*[F.col(s).alias(t) for s, t in CONTROL.items()], *quantities)
+
+
+def ageing_light(control: DataFrame, movements: DataFrame, cut_date: str,
+                 products: DataFrame | None = None) -> DataFrame:
+    """Control rows (one per product) with their last inflow, days and light, and the brand
+    and category ids of the product where the product master is given."""
     rest = control.drop("color_semaforo")  # the incoming one is replaced by the derived one
     dated = lookup_or_null(rest, "id_producto", last_inflow(movements), "id_producto",
                            {"ultima_modificacion": "ultima_modificacion"})
-    return dated.withColumns(light_columns(F.col("ultima_modificacion"), cut_date))
+    lit = dated.withColumns(light_columns(F.col("ultima_modificacion"), cut_date))
+    if products is None:
+        return lit
+    return lookup_or_null(lit, "id_producto", products, "id_producto", {"id_marca": "id_marca", "id_categoria": "id_categoria"})

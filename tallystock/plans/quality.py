@@ -12,6 +12,7 @@ from tallystock import fixed_values as V
 from tallystock.functions import cells
 from tallystock.operators.filters import row_kind
 from tallystock.operators.windows import fill_down
+from tallystock.sources.tables import bulk_insert, mapped_rows
 
 
 def _has(c: Column) -> Column:
@@ -62,10 +63,22 @@ def with_flags(rows: DataFrame, kind: str) -> DataFrame:
     return rows.withColumns(flags(kind)).withColumn("lnd_listo_para_stg", ready)
 
 
+def _prepared(rows: DataFrame, kind: str) -> DataFrame:
+    """Cells that are rewritten before they are stored."""
+    if kind == "lotes":
+        return rows.withColumns({
+            "estado_lote_raw": cells.normalize_lot_state(F.col("estado_lote_raw")),
+            "fecha_venc_raw": cells.null_tokens(F.col("fecha_venc_raw")),
+        })
+    if kind == "movimientos":
+        return rows.withColumn("documento_raw", cells.clean_code(F.col("documento_raw")))
+    return rows
+
+
 def land(sheet: DataFrame, kind: str, keys: list[str] | None = None) -> DataFrame:
     """Landing rows of one kind of sheet: cleaned cells, section carried down, flags.
 
-    Empty, header and section rows are counted by ``row_kind`` but not stored.
+    Empty, header and section rows are counted by ``row_counters`` but not stored.
     """
     rows = sheet.withColumn("tipo_fila", row_kind(kind))
     if kind == "principal":
@@ -73,18 +86,51 @@ def land(sheet: DataFrame, kind: str, keys: list[str] | None = None) -> DataFram
         title = F.when(F.col("tipo_fila") == "seccion", cells.section_name(F.col("codigo_raw")))
         rows = fill_down(rows.withColumn("_title", title), "_title", keys or ["id_carga"], "fila_excel",
                          "categoria_raw").drop("_title")
-    data = rows.where(F.col("tipo_fila") == "dato").drop("tipo_fila")
-    if kind == "lotes":
-        data = data.withColumns({
-            "estado_lote_raw": cells.normalize_lot_state(F.col("estado_lote_raw")),
-            "fecha_venc_raw": cells.null_tokens(F.col("fecha_venc_raw")),
-        })
-    if kind == "movimientos":
-        data = data.withColumn("documento_raw", cells.clean_code(F.col("documento_raw")))
-    stored = {}
+    data = _prepared(rows.where(F.col("tipo_fila") == "dato").drop("tipo_fila"), kind)
     if kind in ("principal", "lotes"):
-        stored = {"es_fila_seccion": F.lit(False), "es_fila_vacia": F.lit(False)}
-    return with_flags(data.withColumns(stored) if stored else data, kind)
+        data = data.withColumns({"es_fila_seccion": F.lit(False), "es_fila_vacia": F.lit(False)})
+    return with_flags(data, kind)
+
+
+def row_counters(sheet: DataFrame, kind: str, keys: list[str]) -> DataFrame:
+    """Rows read, empty, section, header and inserted, and warnings raised, in one pass."""
+    rows = with_flags(_prepared(sheet.withColumn("tipo_fila", row_kind(kind)), kind), kind)
+    k = F.col("tipo_fila")
+    raised = F.when(k == "dato", sum((F.when(c, 1).otherwise(0) for _, _, c, _ in warning_rules(kind)), F.lit(0)))
+    return rows.groupBy(*keys).agg(
+        F.count("*").alias("leidas"), F.count_if(k == "vacia").alias("vacias"),
+        F.count_if(k == "seccion").alias("secciones"), F.count_if(k == "encabezado").alias("encabezados"),
+        F.count_if(k == "dato").alias("insertadas"),
+        F.coalesce(F.sum(raised), F.lit(0).cast("bigint")).alias("warnings"))
+
+
+def load_sheet(sheet: DataFrame, kind: str, path: str, keys: list[str]) -> DataFrame:
+    """Land one kind of sheet into its table and give one load row per sheet.
+
+    A kind that fails is logged as ``Error`` with its message and does not stop the others.
+    """
+    try:
+        bulk_insert(land(sheet, kind, keys), path)
+    except Exception as failure:  # noqa: BLE001
+        log = sheet.select(*keys).distinct().withColumns({
+            n: F.lit(0).cast("bigint") for n in ["leidas", "vacias", "secciones", "encabezados", "insertadas", "warnings"]})
+        return log.withColumns({"estado": F.lit("Error"), "mensaje_error": F.lit(str(failure)[:1000])})
+    log = row_counters(sheet, kind, keys)
+    return log.withColumns({"estado": F.lit("Completado"), "mensaje_error": F.lit(None).cast("string")})
+
+
+# Load log column -> staging column. Empty rows are stored as rejected ones.
+STAGING_LOAD = {
+    "id_carga": ("id_carga", "int"), "nombre_archivo": ("nombre_archivo", "string"), "hoja_procesada": ("hoja", "string"),
+    "filas_leidas": ("total_filas_raw", "int"), "filas_vacias": ("filas_rechazadas", "int"),
+    "filas_insertadas": ("filas_validas", "int"), "estado": ("estado", "string"),
+}
+
+
+def staging_loads(loads: DataFrame, files: DataFrame, file_key: str = "id_archivo") -> DataFrame:
+    """Load rows in the shape of the staging table, with the file name from the file log."""
+    named = loads.join(files.select(file_key, "nombre_archivo"), file_key)
+    return mapped_rows(named, STAGING_LOAD)
 
 
 def warning_rules(kind: str) -> list[tuple[str, str, Column, Column]]:
@@ -214,3 +260,53 @@ def constraint_checks(table: DataFrame, checks: list[Check]) -> DataFrame:
 def _breaches(name: str, bad: DataFrame, amount: Column) -> DataFrame:
     total = F.coalesce(F.sum(amount), F.lit(0).cast("bigint"))
     return bad.agg(F.lit(name).alias("regla"), total.alias("incumplimientos"))
+
+
+def _in_list(column: str, values: list[str]) -> Column:
+    return F.col(column).isin(values)
+
+
+def declared_checks(table: str, parents: dict[str, DataFrame] | None = None) -> list[Check]:
+    """Constraints the data model declares for a table. ``parents`` maps a key column to the
+    table it points to, which holds the key under the same name."""
+    def rule(name: str, condition: Column) -> Check:
+        return Check(name, "rule", condition=condition)
+
+    def required(*columns: str) -> list[Check]:
+        return [rule(f"{c} no nulo", F.col(c).isNotNull()) for c in columns]
+
+    def positive(*columns: str) -> list[Check]:
+        return [rule(f"{c} >= 0", F.col(c) >= 0) for c in columns]
+
+    def within(column: str, low: int, high: int) -> Check:
+        # The unknown-date row holds zeros on purpose.
+        return rule(f"{column} en rango", (F.col("sk_tiempo") == V.UNKNOWN_KEY) | F.col(column).between(low, high))
+
+    declared = {
+        "dim_tiempo": [Check("sk_tiempo unico", "unique", ("sk_tiempo",)), within("trimestre", 1, 4),
+                       within("mes", 1, 12), within("dia_mes", 1, 31), within("dia_semana", 1, 7)],
+        "dim_marca": [Check("nk_marca unico", "unique", ("nk_marca",)), rule("largo de nombre_marca", F.length("nombre_marca") <= 80),
+                      rule("tipo_proveedor en lista", _in_list("tipo_proveedor", ["Nacional", "Importado", "Desconocido"]))],
+        "dim_categoria": [Check("nk_categoria unico", "unique", ("nk_categoria",)),
+                          Check("nombre_categoria unico", "unique", ("nombre_categoria",)),
+                          rule("tipo_producto en lista", _in_list(
+                              "tipo_producto", ["Granular", "Líquido", "Sustrato-Material", "Desconocido"]))],
+        "dim_producto": [rule("largo de nombre_producto", F.length("nombre_producto") <= 250),
+                         rule("clasificacion_venc en lista", _in_list("clasificacion_venc", [
+                             "Vencido", "Critico", "Alerta", "Vigilancia", "Normal", "Sin Vencimiento"])),
+                         *required("nk_codigo_producto", "nombre_producto", "sk_marca", "sk_categoria")],
+        "fact_inventario": [Check("toma y producto unicos", "unique", ("sk_tiempo", "sk_producto")),
+                            *positive("cantidad_fisica", "cantidad_sistema"),
+                            *required("sk_tiempo", "sk_producto", "sk_categoria", "sk_marca", "sk_estado_stock")],
+        "fact_discrepancia": [Check("toma y producto unicos", "unique", ("sk_tiempo", "sk_producto")),
+                              rule("unidades_diferencia > 0", F.col("unidades_diferencia") > 0),
+                              rule("signo_diferencia en lista", _in_list("signo_diferencia", ["+", "-"])),
+                              rule("largo de observacion_texto", F.length("observacion_texto") <= 500)],
+        "producto": [Check("codigo_producto unico", "unique", ("codigo_producto",)), rule("largo de codigo_producto", F.length("codigo_producto") <= 30),
+                     *required("codigo_producto", "nombre", "id_categoria", "id_marca", "id_unidad")],
+        "movimiento_inventario": [rule("cantidad > 0", F.col("cantidad") > 0), *required("id_producto", "id_tipo_mov", "fecha_movimiento")],
+    }
+    checks = declared[table]
+    for key, parent in (parents or {}).items():
+        checks.append(Check(f"{key} existe", "reference", (key,), parent=parent, parent_key=key))
+    return checks

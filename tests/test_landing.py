@@ -107,3 +107,10 @@ def test_route_sheets(rows):
     assert fate == {(1, "Manvert Jiffy"): "repetida", (1, "Manvert,Jiffy"): "procesar", (1, "Otra"): "desconocida",
                     (2, "Otra"): "desconocida"}
     assert sheets.missing_sheets(books).where("id_archivo = 2").count() == 6
+
+
+def test_failed_kind_is_logged(rows, sheet, tmp_path):
+    ok = Q.load_sheet(sheet, "principal", str(tmp_path / "ok"), ["id_carga"]).first()
+    assert (ok.estado, ok.leidas, ok.insertadas, ok.secciones, ok.warnings) == ("Completado", 10, 6, 2, 4)
+    bad = Q.load_sheet(sheet.drop("nombre_raw"), "principal", str(tmp_path / "bad"), ["id_carga"]).first()
+    assert bad.estado == "Error" and bad.leidas == 0 and bad.mensaje_error

@@ -56,6 +56,8 @@ def test_first_per_key_limits_before_the_shuffle(rows):
 def test_sort_splits_ties(rows):
     df = rows([(1, i) for i in range(5000)] + [(0, -1)], "k int, v int").repartition(8)
     ordered = O.sort_rows(df, F.col("k").desc())
+    copies = O.sort_rows(df.select("k"), F.col("k").desc(), copies=True)
+    assert [r.k for r in copies.collect()] == [1] * 5000 + [0]
     assert [r.k for r in ordered.collect()] == [1] * 5000 + [0]
     assert ordered.columns == ["k", "v"] and "_tie" in plan_of(ordered)
 

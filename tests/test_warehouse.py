@@ -201,3 +201,16 @@ def test_shared_folder_follows_the_cluster():
                 return {"spark.checkpoint.dir": "hdfs://shared/cp/"}.get(key, default)
 
     assert shared_folder(Session()) == "hdfs://shared/cp"
+
+
+@pytest.mark.parametrize("table", ["dim_tiempo", "dim_marca", "dim_producto", "fact_inventario", "fact_discrepancia"])
+def test_declared_checks_hold(spark, inputs, table):
+    from tallystock.plans.quality import declared_checks
+
+    held = {
+        "dim_tiempo": lambda: seeds.date_dimension(spark).unionByName(seeds.unknown_date(spark)),
+        "dim_marca": lambda: seeds.brand_seed(spark), "dim_producto": lambda: products(inputs),
+        "fact_inventario": lambda: fact(inputs), "fact_discrepancia": lambda: discrepancy(inputs)}[table]()
+    parents = {"sk_estado_stock": seeds.stock_states(spark)} if table == "fact_inventario" else None
+    report = constraint_checks(held, declared_checks(table, parents)).collect()
+    assert report and {r.incumplimientos for r in report} == {0}
