@@ -144,7 +144,7 @@ SELECT id_producto, CASE WHEN cantidad > 0 THEN 1 ELSE 2 END, CAST(try_strptime(
 FROM inv_outflow o JOIN inv_product p ON p.codigo_producto = o.serie)"""
 LIGHT = f"""light AS (
 SELECT p.id_producto, p.codigo_producto, last AS ultima_modificacion,
-       DATE '{LIGHT_DATE}' - last AS dias_inventariado,
+       CAST(DATE '{LIGHT_DATE}' - last AS INT) AS dias_inventariado,
        CASE WHEN last IS NULL THEN 'Revisión' WHEN DATE '{LIGHT_DATE}' - last <= 90 THEN 'Verde'
             WHEN DATE '{LIGHT_DATE}' - last <= 365 THEN 'Amarillo' ELSE 'Rojo' END AS color_semaforo,
        CASE WHEN last IS NULL THEN 4 WHEN DATE '{LIGHT_DATE}' - last <= 90 THEN 1

@@ -132,8 +132,9 @@ def _order_days(t: Inputs) -> DataFrame:
 
 @query("date_parts", f"""{_ORDER_DAYS}
 SELECT CAST(strftime(d, '%Y%m%d') AS INT) AS sk_tiempo, strftime(d, '%Y') AS nombre_anio, strftime(d, '%Y-%m') AS anio_mes,
-       strftime(d, '%m-%d') AS mes_dia, year(d) AS anio, quarter(d) AS trimestre, month(d) AS mes, week(d) AS semana_anio,
-       day(d) AS dia_mes, isodow(d) AS dia_semana, pedidos FROM o""")
+       strftime(d, '%m-%d') AS mes_dia, CAST(year(d) AS INT) AS anio, CAST(quarter(d) AS INT) AS trimestre,
+       CAST(month(d) AS INT) AS mes, CAST(week(d) AS INT) AS semana_anio, CAST(day(d) AS INT) AS dia_mes,
+       CAST(isodow(d) AS INT) AS dia_semana, pedidos FROM o""")
 def _date_parts(t: Inputs) -> DataFrame:
     d = F.col("d")
     parts = D.calendar_columns(d)
@@ -162,7 +163,7 @@ def _labels(t: Inputs) -> DataFrame:
 
 
 @query("date_diff_days", f"""{with_inputs('inv_product')}
-SELECT id_producto, fecha_vencimiento - DATE '{AS_OF}' AS dias_para_vencer FROM inv_product""")
+SELECT id_producto, CAST(fecha_vencimiento - DATE '{AS_OF}' AS INT) AS dias_para_vencer FROM inv_product""")
 def _diff(t: Inputs) -> DataFrame:
     return t["inv_product"].select("id_producto", D.days_between(F.col("fecha_vencimiento"), F.lit(AS_OF).cast("date")).alias("dias_para_vencer"))
 

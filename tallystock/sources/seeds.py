@@ -9,8 +9,21 @@ from tallystock import fixed_values as V
 from tallystock.functions.dates import calendar_columns
 
 
+def _literal(value: object) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value).upper()
+
+
 def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    return spark.createDataFrame(rows, schema)
+    """Constant rows as part of the plan: no job, no tasks, known size."""
+    fields = [field.split() for field in schema.split(",")]
+    values = ", ".join("(" + ", ".join(_literal(v) for v in row) + ")" for row in rows)
+    columns = ", ".join(f"CAST(c{i} AS {type_}) AS {name}" for i, (name, type_) in enumerate(fields))
+    names = ", ".join(f"c{i}" for i in range(len(fields)))
+    return spark.sql(f"SELECT {columns} FROM VALUES {values} AS t({names})")
 
 
 def brand_seed(spark: SparkSession) -> DataFrame:

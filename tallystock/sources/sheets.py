@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystock import fixed_values as V
 from tallystock.functions.cells import clean_cell
+from tallystock.sources.seeds import literal_table
 
 # Column positions per kind of sheet, and the first row that holds data.
 LAYOUTS = {
@@ -45,10 +46,8 @@ def scan_sheet(spark: SparkSession, path: str, kind: str) -> DataFrame:
 
 def route_sheets(sheets: DataFrame, file_key: str = "id_archivo", name: str = "hoja") -> DataFrame:
     """Kind and fate of each sheet: ``procesar``, ``repetida`` (a later alias) or ``desconocida``."""
-    spark = sheets.sparkSession
-    aliases = spark.createDataFrame(
-        [(i, alias, kind) for i, (alias, kind) in enumerate(V.SHEET_ALIASES)],
-        "orden int, hoja string, tipo string").withColumnRenamed("hoja", name)
+    rows = [(i, alias, kind) for i, (alias, kind) in enumerate(V.SHEET_ALIASES)]
+    aliases = literal_table(sheets.sparkSession, rows, f"orden int, {name} string, tipo string")
     known = sheets.join(F.broadcast(aliases), name, "left")
     first = known.where(F.col("tipo").isNotNull()).groupBy(file_key, "tipo").agg(F.min("orden").alias("primero"))
     fate = (F.when(F.col("tipo").isNull(), "desconocida")
