@@ -80,7 +80,8 @@ def fill_down(df: DataFrame, value: str, keys: list[str], order: str, name: str,
     entering = summary.select(*whole, F.last("_last", ignorenulls=True).over(earlier).alias("_entering"))
     inside = Window.partitionBy(*whole).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = cut.withColumn("_local", F.last(value, ignorenulls=True).over(inside))
-    return local.join(entering, whole).withColumn(name, F.coalesce("_local", "_entering")).drop(
+    # A left join, so that rows without a group or row number are kept as they are.
+    return local.join(entering, whole, "left").withColumn(name, F.coalesce("_local", "_entering")).drop(
         "_block", "_local", "_entering")
 
 

@@ -22,6 +22,11 @@ def test_fill_down_across_blocks(rows):
     assert got == expected
 
 
+def test_fill_down_keeps_rows_without_a_group(rows):
+    df = W.fill_down(rows([(None, 4, "a"), ("s", None, None), ("s", 5, "b")], "s string, i int, v string"), "v", ["s"], "i", "f")
+    assert df.count() == 3
+
+
 def test_number_rows_is_dense_and_ordered(rows):
     data = [(random.Random(i).randrange(5), i) for i in range(2000)]
     df = W.number_rows(rows(data, "g int, i int"), [F.col("g").desc(), F.col("i")])

@@ -173,6 +173,14 @@ def test_seed_is_inserted_once(spark):
     assert once.count() == 16 and tables.insert_if_absent(once, seed, "nk_marca").count() == 16
 
 
+def test_constant_tables(spark):
+    made = {t: getattr(seeds, t)(spark).count() for t in [
+        "brand_seed", "category_seed", "stock_states", "discrepancy_types", "lights", "load_processes"]}
+    assert made == {"brand_seed": 16, "category_seed": 3, "stock_states": 6, "discrepancy_types": 9, "lights": 4, "load_processes": 8}
+    quoted = seeds.literal_table(spark, [("it's", None, True, 1)], "a string, b string, c boolean, d int").first()
+    assert tuple(quoted) == ("it's", None, True, 1)
+
+
 def test_fact_layout_prunes(inputs, tmp_path):
     path = str(tmp_path / "fact")
     tables.write_fact(fact(inputs), path, files_per_count=2)
