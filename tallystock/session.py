@@ -7,8 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings we rely on at scale. The last one keeps generated methods below the size the
-# JVM still compiles: long keyword chains run about twice as fast with it.
+# Settings we rely on at scale. hugeMethodLimit keeps generated methods below the size the
+# JVM still compiles: long keyword chains run about twice as fast with it. Call-site capture
+# costs several round trips to the JVM per column expression, and plans here have hundreds.
 RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -17,6 +18,7 @@ RECOMMENDED = {
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 _local_folder: str | None = None
