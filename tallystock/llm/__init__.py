@@ -6,16 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallystock.llm import substring_dedup
+from tallystock.llm import jaccard_join, quality_rules, substring_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op7_quality_rules": quality_rules.op7,
         "op9_substring_dedup": substring_dedup.op9,
+        "op10_ngram_jaccard_join": jaccard_join.op10,
     }
 
 
 def oracles() -> dict[str, str]:
     return {
         "op9_substring_dedup": substring_dedup.OP9_SQL,
+        "op10_ngram_jaccard_join": jaccard_join.OP10_SQL,
     }
