@@ -11,7 +11,8 @@ shingle of the first order, must then share one in each further order, and are v
 Groups of thousands of near copies are not paired off. In a few rounds every class is tried against one hub of
 the shingle that it shares most, which joins a group in about as many pairs as it has members. Then all
 remaining pairs that share a prefix shingle and are in different components are tried, so no link between
-components is lost.
+components is lost: for a shingle of up to SHORT_LIST classes as pairs; classes that meet on more common shingles
+are dealt in blocks, and a task counts the overlaps of two blocks at once and returns links alone.
 
 Defined cases: null, empty and blank texts have empty sets, link with nothing and are components of their own; fewer
 than ``width`` words give one shingle, the whole sequence; repeated rows and ids share a class when their
@@ -37,8 +38,10 @@ from tallystock.session import materialize
 
 ORDERS = 3
 HUB_ROUNDS = 2
+SHORT_LIST = 32
+BLOCK_CLASSES, BLOCK_GRAMS = 1024, 1 << 20
 _MEMBERS = "id {id}, _chunk long, n_shingles long, node binary"
-_CLASSES = "node binary, n int, tokens array<long>, places array<int>, {orders}, grams array<long>"
+_CLASSES = "node binary, n int, held double, tokens array<long>, places array<int>, {orders}, grams array<long>"
 
 
 def shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
@@ -102,7 +105,7 @@ def _ragged(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 def _class_rows(width: int, percent: int, orders: int) -> Callable:
     def rows(docs: pa.Table, side: pa.Table) -> pa.Table:
         known, held_by = known_repeats(side)
-        nodes, sizes, columns = [], [], [[] for _ in range(2 + orders)]
+        nodes, sizes, held_most, columns = [], [], [], [[] for _ in range(2 + orders)]
         for node, grams in _class_sets(docs, side, width):
             again, at = lookup(known, grams)
             classes = np.where(again, held_by[at], 1) if len(known) else np.ones(len(grams), np.int64)
@@ -122,14 +125,71 @@ def _class_rows(width: int, percent: int, orders: int) -> Callable:
             columns[1 + orders].append(grams.view(np.int64))
             nodes.append(node)
             sizes.append(len(grams))
+            held_most.append(float(np.log2(classes).mean()))
         kinds = [pa.int64(), *[pa.int32()] * orders, pa.int64()]
         return pa.table(
-            [pa.array(nodes, pa.binary()), pa.array(sizes, pa.int32()),
+            [pa.array(nodes, pa.binary()), pa.array(sizes, pa.int32()), pa.array(held_most, pa.float64()),
              *[_ragged(c, kind) for c, kind in zip(columns, kinds, strict=True)]],
-            ["node", "n", "tokens", "places", *[f"order{k}" for k in range(1, orders)], "grams"])
+            ["node", "n", "held", "tokens", "places", *[f"order{k}" for k in range(1, orders)], "grams"])
     return rows
 
 
+def _overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """How many values each array of ``a`` shares with each of ``b`` (values of one array differ)."""
+    found = np.zeros((len(a), len(b)), np.float32)
+    flat_a, flat_b = np.concatenate(a), np.concatenate(b)
+    shared = np.intersect1d(flat_a, flat_b)
+    row_a, row_b = np.repeat(np.arange(len(a)), [len(x) for x in a]), np.repeat(np.arange(len(b)), [len(x) for x in b])
+    (in_a, at_a), (in_b, at_b) = lookup(shared, flat_a), lookup(shared, flat_b)
+    row_a, at_a, row_b, at_b = row_a[in_a], at_a[in_a], row_b[in_b], at_b[in_b]
+    order_a, order_b = np.argsort(at_a, kind="stable"), np.argsort(at_b, kind="stable")
+    row_a, at_a, row_b, at_b = row_a[order_a], at_a[order_a], row_b[order_b], at_b[order_b]
+    for lo in range(0, len(shared), 4096):
+        width = min(4096, len(shared) - lo)
+        (a0, a1), (b0, b1) = np.searchsorted(at_a, [lo, lo + width]), np.searchsorted(at_b, [lo, lo + width])
+        left, right = np.zeros((len(a), width), np.float32), np.zeros((len(b), width), np.float32)
+        left[row_a[a0:a1], at_a[a0:a1] - lo] = 1
+        right[row_b[b0:b1], at_b[b0:b1] - lo] = 1
+        found += left @ right.T
+    return found.astype(np.int64)
+
+
+def _block_verifier(percent: int, orders: list[str]) -> Callable:
+    def verify(key: tuple, rows: pa.Table) -> pa.Table:
+        i, j = key[1].as_py(), key[2].as_py()
+        block = rows["block"].to_numpy()
+        sides = [np.flatnonzero(block == i), np.flatnonzero(block == j)]
+        if not all(len(s) for s in sides):
+            return pa.table({"x": pa.array([], pa.binary()), "y": pa.array([], pa.binary())})
+
+        def arrays(name: str) -> list[list[np.ndarray]]:
+            whole = rows[name].combine_chunks()
+            return [[whole[k].values.to_numpy() for k in side] for side in sides]
+        names = np.array(rows["component"].to_pylist(), object)
+        _, component = np.unique(names, return_inverse=True)
+        may = component[sides[0]][:, None] != component[sides[1]][None, :]
+        for order in orders:  # a prefix shingle must be shared in every order
+            if not may.any():
+                break
+            may &= _overlaps(*arrays(order)) > 0
+        x, y = np.nonzero(may)
+        if len(x):
+            a, b = arrays("grams")
+            used_a, used_b = np.unique(x), np.unique(y)
+            both = _overlaps([a[k] for k in used_a], [b[k] for k in used_b])
+            both = both[np.searchsorted(used_a, x), np.searchsorted(used_b, y)]
+            size_a, size_b = np.array([len(s) for s in a]), np.array([len(s) for s in b])
+            linked = both * 100 >= (size_a[x] + size_b[y] - both) * percent
+            x, y = x[linked], y[linked]
+        x, y = sides[0][x], sides[1][y]
+        # One link for two components is enough here.
+        pair = np.minimum(component[x], component[y]) * len(block) + np.maximum(component[x], component[y])
+        _, first = np.unique(pair, return_index=True)
+        nodes = rows["node"].combine_chunks()
+        return pa.table({"x": nodes.take(pa.array(x[first])), "y": nodes.take(pa.array(y[first]))})
+    return verify
+
+
 class _Links:
     """Candidate pairs of classes and their verification."""
 
@@ -137,8 +197,8 @@ class _Links:
         self.classes, self.percent = classes, percent
         self.orders = [f"order{k}" for k in range(1, orders)]
         entry = F.explode(F.arrays_zip("tokens", "places"))
-        self.postings = classes.select("node", "n", entry.alias("e")).select(
-            F.col("e.tokens").alias("token"), "node", "n", F.col("e.places").alias("place"))
+        self.postings = classes.select("node", "n", "held", entry.alias("e")).select(
+            F.col("e.tokens").alias("token"), "node", "n", "held", F.col("e.places").alias("place"))
 
     def _sizes_fit(self, a: Column, b: Column) -> Column:
         return F.least(a, b) * 100 >= F.greatest(a, b) * self.percent
@@ -150,10 +210,14 @@ class _Links:
         return self.postings.join(own, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
     def hub_pairs(self, components: DataFrame | None, turn: int) -> DataFrame:
-        """Each class with the hub, outside its component, that it meets on most shingles."""
+        """Each class with the hub, outside its component, that it meets on most shingles.
+
+        The first turn's hub of a shingle is the class whose shingles are most common: it was changed least.
+        """
         entries = self._placed(components)
+        rank = -F.col("held") if turn == 0 else F.xxhash64("node", F.lit(turn))
         hubs = entries.groupBy("token").agg(F.min(F.struct(
-            F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("x"), F.col("n").alias("nx"),
+            rank.alias("h"), F.col("node").alias("x"), F.col("n").alias("nx"),
             F.col("component").alias("cx"))).alias("hub"))
         met = entries.join(hubs, "token").where(
             (F.col("component") != F.col("hub.cx")) & self._sizes_fit(F.col("n"), F.col("hub.nx")))
@@ -161,12 +225,17 @@ class _Links:
         best = counted.groupBy("node").agg(F.max(F.struct("c", "x")).alias("b"))
         return best.select(F.col("b.x").alias("x"), F.col("node").alias("y"))
 
-    def remaining_pairs(self, components: DataFrame) -> DataFrame:
-        """All pairs of different components that share a prefix shingle and can still reach the overlap."""
+    def remaining(self, components: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """What is left between components: pairs (x, y) to verify, and links (x, y) found in blocks."""
         entries = self._placed(components)
-        mixed = entries.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where(
-            "a <> b").select("token")
-        left = materialize(entries.join(mixed, "token", "left_semi"), "entries")
+        mixed = materialize(entries.groupBy("token").agg(
+            F.count("*").alias("m"), F.min("component").alias("a"), F.max("component").alias("b"),
+            F.min("node").alias("hub")).where("a <> b").select("token", "m", "hub"), "mixed")
+        left = materialize(entries.drop("held").join(mixed, "token"), "entries")
+        return self._short_list_pairs(left.where(F.col("m") <= SHORT_LIST)), self._block_links(
+            left.where(F.col("m") > SHORT_LIST), components)
+
+    def _short_list_pairs(self, left: DataFrame) -> DataFrame:
         right = left.select("token", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "place", "component")])
         needed = F.ceil((F.col("n") + F.col("n2")) * self.percent / (100 + self.percent))
         reach = F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2"))
@@ -175,6 +244,21 @@ class _Links:
             & self._sizes_fit(F.col("n"), F.col("n2")) & (reach >= needed)
         ).select(F.col("node").alias("x"), F.col("node2").alias("y")).distinct()
 
+    def _block_links(self, left: DataFrame, components: DataFrame) -> DataFrame:
+        """Links among the classes that common shingles connect, block against block."""
+        groups = connected(left.select(F.col("hub").alias("x"), F.col("node").alias("y")))
+        rows = groups.select("node", F.col("component").alias("gid")).join(self.classes, "node").join(
+            components, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        sizes = groups.select("node", F.col("component").alias("gid")).join(
+            self.classes.select("node", "n"), "node").groupBy("gid").agg(F.ceil(F.greatest(
+                F.count("*") / BLOCK_CLASSES, F.sum("n") / BLOCK_GRAMS)).cast("int").alias("blocks"))
+        rows = rows.join(sizes, "gid").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        dealt = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+            "gid", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node",
+            "component", "tokens", *self.orders, "grams")
+        return dealt.groupBy("gid", "i", "j").applyInArrow(
+            _block_verifier(self.percent, ["tokens", *self.orders]), "x binary, y binary")
+
     def _with(self, pairs: DataFrame, columns: list[str]) -> DataFrame:
         for side in ("x", "y"):
             own = self.classes.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns])
@@ -219,14 +303,14 @@ def jaccard_join(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     links = spark.createDataFrame([], "x binary, y binary")
     tried = links
     components = None
-    for turn in range(hub_rounds + 1):
-        last = turn == hub_rounds
-        pairs = join.remaining_pairs(components) if last and components is not None else join.hub_pairs(
-            components, turn)
+    for turn in range(max(1, hub_rounds) + 1):
+        last = turn == max(1, hub_rounds)
+        pairs, found = join.remaining(components) if last else (join.hub_pairs(components, turn), None)
         unordered = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
         pairs = materialize(unordered.distinct().join(tried, ["x", "y"], "left_anti"), "pairs")
         tried = tried.unionAll(pairs)
-        links = links.unionAll(materialize(join.verified(pairs), "links"))
+        verified = join.verified(pairs)
+        links = links.unionAll(materialize(verified if found is None else verified.unionAll(found), "links"))
         components = connected(links)
     named = stands.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
