@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallystock.llm import jaccard_join, packing, quality_rules, secret_scan, sharding, substring_dedup, token_files
+from tallystock.llm import jaccard_join, packing, quality_rules, secret_scan, sharding, substring_dedup, token_files, top_k
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_secret_scan": secret_scan.op1,
         "op2_best_fit_packing": packing.op2,
         "op3_token_output": token_files.op3,
+        "op4_exact_top_k": top_k.op4,
         "op5_sharding": sharding.op5,
         "op7_quality_rules": quality_rules.op7,
         "op9_substring_dedup": substring_dedup.op9,
@@ -23,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracles() -> dict[str, str]:
     return {
+        "op4_exact_top_k": top_k.OP4_SQL,
         "op9_substring_dedup": substring_dedup.OP9_SQL,
         "op10_ngram_jaccard_join": jaccard_join.OP10_SQL,
     }

@@ -2,7 +2,7 @@
 
 Documents are range-partitioned by id, and each partition cuts its ids into blocks of about BLOCK_IDS, never inside a
 document. In a block, rounds replace all pairs that occur MIN_PAIRS times or more, from left to right and never across
-the end of a document. A block keeps its rules, the number of ids that each rule stands for, the symbols, and how many
+the end of a document, until a round saves little. A block keeps its rules, the number of ids that each rule stands for, the symbols, and how many
 symbols and ids each document has, so one document, or a stretch of one, is read without expanding others.
 Blocks are rows of a Parquet table in the given folder, so that Spark commits, retries and reads them.
 
@@ -33,8 +33,9 @@ from tallystock.llm.words import ragged, slices
 from tallystock.session import new_path
 
 END_ID = 0
-BLOCK_IDS, MIN_PAIRS, MAX_ROUNDS = 1 << 20, 16, 12
-_SLOT_BITS = 20
+BLOCK_IDS, MIN_PAIRS, MAX_ROUNDS = 1 << 18, 8, 8
+MIN_GAIN = 0.01
+_SLOT_BITS = 16
 _MAGIC = b"RPG1"
 
 
@@ -102,45 +103,54 @@ class Grammar:
 
 def compress(ids: np.ndarray, doc_ids: np.ndarray, min_pairs: int = MIN_PAIRS, max_rounds: int = MAX_ROUNDS) -> Grammar:
     """The grammar of ``ids``, which are those of documents of ``doc_ids`` ids each (1 or more)."""
-    symbols = ids.astype(np.int64)
+    symbols = ids.astype(np.uint32)
     last = np.zeros(len(symbols), bool)
     last[np.cumsum(doc_ids) - 1] = True
     base = int(symbols.max(initial=0)) + 1
     left, right, size, rounds = [], [], [], []
     sizes = np.ones(base, np.int64)
     while len(rounds) < max_rounds and len(symbols) > 1:
-        pair = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:].astype(np.uint64)
-        slot = ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
-        open_ = ~last[:-1]
+        # Neighbours as one 64-bit number; the place of a pair in the tables is its hash.
+        pair = symbols[:-1].astype(np.uint64) << np.uint64(32)
+        pair |= symbols[1:]
+        slot = ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOT_BITS)).astype(np.uint16)
+        open_ = np.flatnonzero(~last[:-1])
+        open_slot, open_pair = slot[open_], pair[open_]
         holder = np.zeros(1 << _SLOT_BITS, np.uint64)
-        holder[slot[open_]] = pair[open_]  # a pair hidden by another one in its slot waits for a later round
-        own = open_ & (holder[slot] == pair)
-        counts = np.bincount(slot[own], minlength=1 << _SLOT_BITS)
+        holder[open_slot] = open_pair  # a pair hidden by another one in its slot waits for a later round
+        own = holder[open_slot] == open_pair
+        open_, open_slot = open_[own], open_slot[own]
+        counts = np.bincount(open_slot, minlength=1 << _SLOT_BITS)
         found = np.flatnonzero(counts >= min_pairs)
         if not len(found):
             break
         found = found[np.lexsort((holder[found], -counts[found]))]
-        rule = np.full(1 << _SLOT_BITS, -1, np.int64)
+        rule = np.zeros(1 << _SLOT_BITS, np.uint32)
         rule[found] = np.arange(len(found)) + len(sizes)
-        at = np.flatnonzero(own & (rule[slot] >= 0))
+        new = rule[open_slot]
+        at, new = open_[new > 0], new[new > 0]
         heads = np.flatnonzero(np.diff(at, prepend=-2) > 1)  # of runs of overlapping pairs: every other one is taken
         run_start = np.repeat(at[heads], np.diff(np.append(heads, len(at))))
-        at = at[(at - run_start) % 2 == 0]
+        taken = (at - run_start) % 2 == 0
+        at = at[taken]
         pairs = holder[found]
         left.append((pairs >> np.uint64(32)).astype(np.int64))
         right.append((pairs & np.uint64(0xFFFFFFFF)).astype(np.int64))
         size.append(sizes[left[-1]] + sizes[right[-1]])
         sizes = np.concatenate([sizes, size[-1]])
         rounds.append(len(found))
-        symbols[at] = rule[slot[at]]
+        symbols[at] = new[taken]
         last[at] = last[at + 1]
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
+        before = len(symbols)
         symbols, last = symbols[keep], last[keep]
+        if before - len(symbols) < MIN_GAIN * before:
+            break  # another round would save even less
     joined = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
     doc_symbols = np.diff(np.flatnonzero(last), prepend=-1)
     return Grammar(base, np.array(rounds, np.int64), joined(left), joined(right), joined(size), doc_symbols,
-                   np.asarray(doc_ids, np.int64), symbols)
+                   np.asarray(doc_ids, np.int64), symbols.astype(np.int64))
 
 
 def write_token_files(docs: DataFrame, path: str, id_column: str = "doc_id", text: str = "text",
