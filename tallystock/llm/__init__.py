@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallystock.llm import jaccard_join, packing, quality_rules, secret_scan, sharding, substring_dedup, token_files, top_k
+from tallystock.llm import (
+    html_text, jaccard_join, packing, quality_rules, secret_scan, sentencepiece_ids, sharding, substring_dedup, token_files,
+    top_k)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,7 +18,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_token_output": token_files.op3,
         "op4_exact_top_k": top_k.op4,
         "op5_sharding": sharding.op5,
+        "op6_sentencepiece": sentencepiece_ids.op6,
         "op7_quality_rules": quality_rules.op7,
+        "op8_html_extraction": html_text.op8,
         "op9_substring_dedup": substring_dedup.op9,
         "op10_ngram_jaccard_join": jaccard_join.op10,
     }
