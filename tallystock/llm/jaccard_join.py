@@ -27,7 +27,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallystock.llm.components import connected
@@ -320,6 +320,20 @@ def jaccard_join(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     return found.select("id", "n_shingles", "node", component.alias("component_id")), links
 
 
+def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near copies: of each group the text of the smallest id stays, in one row.
+
+    Rows whose text has no words stay, all of them.
+    """
+    members, _ = jaccard_join(docs, id_column, text)
+    chosen = members.where(F.col("node").isNull() | F.col("id").eqNullSafe(F.col("component_id"))).select(
+        F.col("id").alias("_id"), F.col("node").isNull().alias("_empty")).groupBy("_id").agg(F.max("_empty").alias("_empty"))
+    stay = docs.join(chosen, docs[id_column].eqNullSafe(F.col("_id")))
+    copies = Window.partitionBy("_id", F.xxhash64(text)).orderBy(F.lit(0))
+    blank = ~F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    return stay.withColumn("_copy", F.row_number().over(copies)).where(blank | (F.col("_copy") == 1)).select(*docs.columns)
+
+
 def op10(spark, sf_dir: str) -> DataFrame:
     ship(spark)
     members, _ = jaccard_join(spark.read.parquet(f"{sf_dir}/documents.parquet"))

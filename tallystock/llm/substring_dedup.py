@@ -24,7 +24,7 @@ from pyspark.sql.types import StructType
 from tallystock.llm.repeats import (
     HASH_ROWS, chunk_of, hash_rows, known_repeats, lookup, repeated)
 from tallystock.llm.ship import ship
-from tallystock.llm.words import ragged, slices, words
+from tallystock.llm.words import Words, ragged, slices, words
 
 ADDED = "n_words long, n_removed long, removed array<struct<first:int,end:int>>, kept string"
 
@@ -49,7 +49,18 @@ def _intervals(marked: np.ndarray) -> list[dict]:
     return [{"first": int(a), "end": int(b)} for a, b in zip(edges[::2], edges[1::2], strict=True)]
 
 
-def _remover(width: int, text: str, fields: pa.Schema) -> Callable:
+def _without(w: Words, mask: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """The texts without the marked words and the white space behind them, and where each row's begin."""
+    behind = np.append(w.start[1:], len(w.data))
+    row_end = np.repeat(w.offsets[1:], np.diff(w.first))
+    steps = np.zeros(len(w.data) + 1, np.int64)
+    np.add.at(steps, w.start[mask], 1)
+    np.add.at(steps, np.minimum(behind, row_end)[mask], -1)
+    stay = np.cumsum(steps[:-1]) == 0
+    return w.data[stay].tobytes(), np.concatenate([[0], np.cumsum(stay)])[w.offsets]
+
+
+def _remover(width: int, text: str, fields: pa.Schema, layout: bool) -> Callable:
     def remove(docs: pa.Table, side: pa.Table) -> pa.Table:
         known, _ = known_repeats(side)
         n_words, n_removed, removed, kept = [], [], [], []
@@ -57,6 +68,9 @@ def _remover(width: int, text: str, fields: pa.Schema) -> Callable:
             w = words(part)
             at, hashes = w.windows(width)
             mask = marked_words(w.first, at[lookup(known, hashes)[0]], width)
+            if layout:
+                out, begin = _without(w, mask)
+                kept += [out[a:b].decode() for a, b in zip(begin[:-1], begin[1:], strict=True)]
             # Kept words with one space after each, copied byte by byte in one gather.
             size = w.end - w.start
             stay = np.flatnonzero(~mask)
@@ -64,7 +78,7 @@ def _remover(width: int, text: str, fields: pa.Schema) -> Callable:
             data = np.append(w.data, np.uint8(32))
             places = ragged(w.start[stay], length)
             places[np.cumsum(length) - 1] = len(w.data)
-            out = data[places].tobytes()
+            joined = data[places].tobytes()
             ends = np.concatenate([[0], np.cumsum(length)])
             below = np.concatenate([[0], np.cumsum(~mask)])
             for a, b in zip(w.first[:-1], w.first[1:], strict=True):
@@ -72,22 +86,24 @@ def _remover(width: int, text: str, fields: pa.Schema) -> Callable:
                 n_words.append(b - a)
                 n_removed.append(int(own.sum()))
                 removed.append(_intervals(own) if n_removed[-1] else [])
-                kept.append(out[ends[below[a]]:max(ends[below[a]], ends[below[b]] - 1)].decode())
+                if not layout:
+                    kept.append(joined[ends[below[a]]:max(ends[below[a]], ends[below[b]] - 1)].decode())
         columns = [docs[name] for name in fields.names[:-4]]
         added = [pa.array(v, fields.field(i - 4).type) for i, v in enumerate((n_words, n_removed, removed, kept))]
         return pa.table([*columns, *added], schema=fields)
     return remove
 
 
-def substring_dedup(docs: DataFrame, text: str = "text", width: int = 35) -> DataFrame:
-    """``docs`` with n_words, n_removed, removed (word intervals) and kept (remaining words, one space between)."""
+def substring_dedup(docs: DataFrame, text: str = "text", width: int = 35, layout: bool = False) -> DataFrame:
+    """``docs`` with n_words, n_removed, removed (word intervals) and kept: the remaining words with one space between,
+    or with ``layout`` the text with its own white space, but for what stood behind a removed word."""
     docs = docs.drop("n_words", "n_removed", "removed", "kept", "_chunk")
     chunk, buckets = chunk_of(docs, text, docs.columns)
     dealt = docs.select("*", chunk)
     sent = dealt.groupBy("_chunk").applyInArrow(_sender(width, buckets, text), HASH_ROWS)
     side = repeated(sent)
     schema = StructType([*docs.schema.fields, *StructType.fromDDL(ADDED).fields])
-    remover = _remover(width, text, to_arrow_schema(schema))
+    remover = _remover(width, text, to_arrow_schema(schema), layout)
     return dealt.groupBy("_chunk").cogroup(side.groupBy("chunk")).applyInArrow(remover, schema)
 
 
