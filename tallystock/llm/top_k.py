@@ -118,13 +118,14 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, pivots: int = PIVOTS, qu
     search = _searcher(points, k)
 
     first = numbered.where("c = 0").select("id", "v", "c", spread("q", query_blocks))
-    asked = queries.select("id", "v", "q", F.lit(float("-inf")).alias("beat"))
+    # Both sides come from one table, so one of them gets columns of its own.
+    asked = queries.select(F.col("id").alias("id"), F.col("v").alias("v"), F.col("q").alias("q"), F.lit(float("-inf")).alias("beat"))
     found = materialize(first.groupBy("q").cogroup(asked.groupBy("q")).applyInArrow(search, _FOUND), "first")
     if blocks > 1:
         beat = found.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("least")).where(
             F.col("n") >= k).select(F.col("query_id").alias("id"), F.col("least").cast("double").alias("beat"))
         asked = queries.join(beat, "id", "left").select(
-            "id", "v", "q", F.coalesce("beat", F.lit(float("-inf"))).alias("beat"), F.explode(
+            F.col("id").alias("id"), F.col("v").alias("v"), F.col("q").alias("q"), F.coalesce("beat", F.lit(float("-inf"))).alias("beat"), F.explode(
                 F.sequence(F.lit(1), F.lit(blocks - 1))).alias("c"))
         rest = numbered.where("c > 0").select("id", "v", "c", spread("q", query_blocks))
         found = found.unionAll(rest.groupBy("c", "q").cogroup(asked.groupBy("c", "q")).applyInArrow(search, _FOUND))
