@@ -6,6 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from support import docs, shipped  # noqa: F401
 from tallystock.llm import html_text, jaccard_join, quality_rules, substring_dedup
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")

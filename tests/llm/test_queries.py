@@ -8,6 +8,7 @@ import duckdb
 import numpy as np
 import pytest
 
+from support import shipped  # noqa: F401
 from tallystock import llm
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))

@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
+from support import docs, shipped  # noqa: F401
 from tallystock.llm import sharding, top_k
 from tallystock.llm.components import connected
 

@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+from support import docs, shipped  # noqa: F401
 from tallystock.llm import secret_scan as s
 
 ASSIGN = re.compile(r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.A)

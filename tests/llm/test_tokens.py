@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from support import docs, shipped  # noqa: F401
 from tallystock.llm import packing, sentencepiece_ids, token_files
 from tallystock.llm.token_ids import Encoder, default_tokenizer
 
