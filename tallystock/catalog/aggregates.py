@@ -93,7 +93,7 @@ def _detail(t: Inputs) -> DataFrame:
         F.count("*").alias("filas"), count_if(F.col("flag_discrepancia")).alias("con_diferencia"))
     detail = join_dimensions(counts, (t["inv_category"].select("sk_categoria", "nombre_categoria"), "sk_categoria"))
     return detail_plus_total(
-        detail.drop("sk_categoria"), "nombre_categoria", "TOTAL GLOBAL", ["sk_tiempo"], ["filas", "con_diferencia"],
+        detail.drop("sk_categoria"), counts, "nombre_categoria", "TOTAL GLOBAL", {"sk_tiempo": None}, ["filas", "con_diferencia"],
         {"pct": ratio_pct(F.col("con_diferencia"), F.col("filas"))})
 
 

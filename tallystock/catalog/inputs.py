@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystock.sources.seeds import date_dimension, discrepancy_types
+from tallystock import fixed_values as V
+from tallystock.sources.seeds import date_dimension, discrepancy_types, unknown_date
 from tallystock.sources.sheets import SHEET_WIDTH, positional
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -48,11 +49,14 @@ SELECT p_partkey AS id_producto,
             ELSE CAST(DATE '{AS_OF}' + CAST(p_size * 10 - 60 AS INT) AS DATE) END AS fecha_vencimiento,
        CAST(substr(p_brand, 7) AS INT) AS sk_marca, CAST({_CATEGORY_KEY} AS INT) AS sk_categoria
 FROM part""", []),
-    # Product x yearly count: every stock status but one, both signs, notes and no notes.
+    # Product x yearly count: every stock status but one, both signs, notes and no notes. Every
+    # tenth category and twelfth brand is missing.
     "inv_fact": (f"""
 SELECT CAST(y * 10000 + 1231 AS INT) AS sk_tiempo, k AS sk_producto,
-       CAST({_CATEGORY_KEY} AS INT) AS sk_categoria, CAST(substr(p_brand, 7) AS INT) AS sk_marca,
-       p_type AS nombre_categoria, p_brand AS nombre_marca,
+       CASE WHEN k % 10 <> 3 THEN CAST({_CATEGORY_KEY} AS INT) END AS sk_categoria,
+       CASE WHEN k % 12 <> 5 THEN CAST(substr(p_brand, 7) AS INT) END AS sk_marca,
+       CASE WHEN k % 10 <> 3 THEN p_type ELSE '{V.UNDEFINED_CATEGORY}' END AS nombre_categoria,
+       CASE WHEN k % 12 <> 5 THEN p_brand ELSE 'Sin Marca Definida' END AS nombre_marca,
        CAST(CASE WHEN m = 1 THEN 0 ELSE q END AS DECIMAL(12,2)) AS cantidad_sistema,
        CAST(CASE WHEN m IN (0, 1) THEN 0
                  WHEN m = 2 THEN q + 1 + p_size % 5
@@ -69,19 +73,23 @@ JOIN part ON p_partkey = k""", []),
 SELECT DISTINCT CAST({_CATEGORY_KEY} AS INT) AS sk_categoria, p_type AS nombre_categoria,
        CASE WHEN p_type IN ('MEDIUM', 'STANDARD') THEN 'Granular'
             WHEN p_type IN ('LARGE', 'PROMO') THEN 'Sustrato-Material' ELSE 'Líquido' END AS tipo_producto
-FROM part""", []),
-    "inv_brand": ("""
+FROM part
+UNION ALL SELECT {V.UNKNOWN_KEY}, '{V.UNDEFINED_CATEGORY}', 'Desconocido'""", []),
+    "inv_brand": (f"""
 SELECT DISTINCT CAST(substr(p_brand, 7) AS INT) AS sk_marca, p_brand AS nombre_marca,
        CASE CAST(substr(p_brand, 7) AS INT) % 3 WHEN 0 THEN 'Nacional' WHEN 1 THEN 'Importado'
             ELSE 'Desconocido' END AS tipo_proveedor
-FROM part""", []),
+FROM part
+UNION ALL SELECT {V.UNKNOWN_KEY}, 'Sin Marca Definida', 'Desconocido'""", []),
     # Active names are unique here, as the report that joins back on the name expects.
     "inv_dim_product": ("""
 SELECT id_producto AS sk_producto, codigo_producto AS nk_codigo_producto,
        concat(nombre, ' #', CAST(id_producto AS STRING)) AS nombre_producto, sk_marca, sk_categoria,
        fecha_vencimiento, CASE WHEN p_size % 5 <> 0 THEN p_size * 10 - 60 END AS dias_para_vencer,
        p_size % 11 <> 0 AS es_registro_activo
-FROM inv_product""", ["inv_product"]),
+FROM inv_product
+UNION ALL SELECT -1, 'SIN_PRODUCTO', 'Producto Sin Definir', -1, -1, CAST(NULL AS DATE), CAST(NULL AS INT), TRUE""",
+                        ["inv_product"]),
     # Main count sheet, 500 products per workbook: titles, headers, empty and data rows.
     # Some workbooks lack the first title; one title is not a known section.
     "inv_sheet": (f"""
@@ -175,6 +183,14 @@ SELECT o_orderkey AS codigo,
        concat(CAST(day(o_orderdate) AS STRING), '/', CAST(month(o_orderdate) AS STRING), '/',
               CAST(year(o_orderdate) AS STRING)) AS fecha
 FROM orders""", []),
+    # The same with repeats: codes with a second product, headers with a second, later date.
+    "inv_repeated_product": ("""
+SELECT * FROM inv_product
+UNION ALL SELECT id_producto + 10000000, codigo_producto, nombre, categoria_raw, marca, p_size, fecha_vencimiento, sk_marca, sk_categoria
+FROM inv_product WHERE p_size % 3 = 0""", ["inv_product"]),
+    "inv_repeated_header": ("""
+SELECT * FROM inv_inflow_header UNION ALL SELECT codigo, '31/12/2009' FROM inv_inflow_header WHERE codigo % 3 = 0""",
+                            ["inv_inflow_header"]),
     "inv_outflow": (f"""
 SELECT {_PRODUCT_CODE} AS serie,
        CAST(CASE WHEN l_returnflag = 'A' THEN -l_quantity ELSE l_quantity END AS DECIMAL(12,2)) AS cantidad,
@@ -287,7 +303,9 @@ class Inputs:
         return positional(raw.select(*keys, F.array(*cells).alias("celdas")), kind)
 
     def dates(self) -> DataFrame:
-        return date_dimension(self.spark, "1995-01-01", "2001-12-31")
+        known = date_dimension(self.spark, "1995-01-01", "2001-12-31")
+        return known.unionByName(unknown_date(self.spark).select(*[
+            F.col(f.name).cast(f.dataType).alias(f.name) for f in known.schema]))
 
     def causes(self) -> DataFrame:
         return discrepancy_types(self.spark)

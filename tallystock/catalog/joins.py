@@ -19,13 +19,19 @@ from tallystock.sources.tables import anti_join_new_keys
 _STAR = star_sql("inv_category", "inv_brand", "inv_dim_product")
 
 
-@query("lookup_or_null", f"""{MOVEMENT_INPUTS}
+# First matches of the inputs that repeat their keys.
+_FIRST = f"""{with_inputs('inv_inflow', 'inv_outflow', 'inv_repeated_product', 'inv_repeated_header')},
+first_product AS (SELECT codigo_producto, min(id_producto) AS id_producto FROM inv_repeated_product GROUP BY codigo_producto),
+first_header AS (SELECT codigo, min(CAST(try_strptime(fecha, '%d/%m/%Y') AS DATE)) AS fecha FROM inv_repeated_header GROUP BY codigo)"""
+
+
+@query("lookup_or_null", f"""{_FIRST}
 SELECT codigo, id_producto, count(*) AS filas, CAST(sum(cantidad) AS DOUBLE) AS cantidad
-FROM inv_inflow i LEFT JOIN inv_product p ON p.codigo_producto = i.codigo GROUP BY codigo, id_producto""")
+FROM inv_inflow i LEFT JOIN first_product p ON p.codigo_producto = i.codigo GROUP BY codigo, id_producto""")
 def _or_null(t: Inputs) -> DataFrame:
     # Rows that share a code are added up before they are looked up.
     per_code = t["inv_inflow"].groupBy("codigo").agg(F.count("*").alias("filas"), F.sum("cantidad").alias("cantidad"))
-    return J.lookup_or_null(per_code, "codigo", t["inv_product"], "codigo_producto", {"id_producto": "id_producto"})
+    return J.lookup_or_null(per_code, "codigo", t["inv_repeated_product"], "codigo_producto", {"id_producto": "id_producto"})
 
 
 @query("lookup_keep_original", """
@@ -47,21 +53,22 @@ def _in_place(t: Inputs) -> DataFrame:
     # Text dates inside the calendar become ISO dates, the others stay as typed.
     label = F.concat_ws("/", F.dayofmonth("fecha"), F.month("fecha"), F.year("fecha"))
     days = calendar(t.spark, "1997-01-01", "1999-12-31").select(label.alias("texto"), F.col("fecha").cast("string").alias("iso"))
+    days = days.unionAll(days.where("iso < '1998-06-01'").select("texto", F.concat("iso", F.lit(" again"))))
     return J.lookup_in_place(t["inv_outflow"].select("serie", "fecha"), "fecha", days, "texto", "iso")
 
 
-@query("lookup_inner", f"""{MOVEMENT_INPUTS}
-SELECT serie, id_producto, CAST(cantidad AS DOUBLE) AS cantidad FROM inv_outflow o JOIN inv_product p ON p.codigo_producto = o.serie""")
+@query("lookup_inner", f"""{_FIRST}
+SELECT serie, id_producto, CAST(cantidad AS DOUBLE) AS cantidad FROM inv_outflow o JOIN first_product p ON p.codigo_producto = o.serie""")
 def _inner(t: Inputs) -> DataFrame:
     rows = t["inv_outflow"].select("serie", "cantidad")
-    return J.lookup_inner(rows, "serie", t["inv_product"], "codigo_producto", {"id_producto": "id_producto"})
+    return J.lookup_inner(rows, "serie", t["inv_repeated_product"], "codigo_producto", {"id_producto": "id_producto"})
 
 
-@query("header_detail_join", f"""{MOVEMENT_INPUTS}
-SELECT id_entrada, i.codigo, CAST(cantidad AS DOUBLE) AS cantidad, CAST(CAST(try_strptime(h.fecha, '%d/%m/%Y') AS DATE) AS VARCHAR) AS fecha
-FROM inv_inflow i LEFT JOIN inv_inflow_header h ON h.codigo = i.id_entrada""")
+@query("header_detail_join", f"""{_FIRST}
+SELECT id_entrada, i.codigo, CAST(cantidad AS DOUBLE) AS cantidad, CAST(h.fecha AS VARCHAR) AS fecha
+FROM inv_inflow i LEFT JOIN first_header h ON h.codigo = i.id_entrada""")
 def _header_detail(t: Inputs) -> DataFrame:
-    return header_detail_join(t["inv_inflow"], dated_headers(t["inv_inflow_header"]))
+    return header_detail_join(t["inv_inflow"], dated_headers(t["inv_repeated_header"]))
 
 
 @query("join_using_dims", f"""{_STAR}

@@ -96,8 +96,7 @@ def _rule_code(t: Inputs) -> DataFrame:
 def _fill(t: Inputs) -> DataFrame:
     rows = t.sheet("principal").withColumn("tipo_fila", row_kind("principal"))
     titled = rows.withColumn("_t", F.when(F.col("tipo_fila") == "seccion", cells.section_name(F.col("codigo_raw"))))
-    # Small blocks, so that titles have to travel across block borders.
-    return fill_down(titled, "_t", ["id_carga"], "fila_excel", "categoria_raw", block=64).select(
+    return fill_down(titled, "_t", ["id_carga"], "fila_excel", "categoria_raw").select(
         *_KEYS, "tipo_fila", "categoria_raw")
 
 

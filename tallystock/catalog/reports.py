@@ -78,7 +78,7 @@ def _discrepancies(t: Inputs) -> DataFrame:
 @query("pb03_stockout_total", f"""{_STAR}
 SELECT sk_tiempo, {DAY} AS fecha_toma, c.nombre_categoria, {_OUT}
 FROM fi JOIN inv_category c USING (sk_categoria) WHERE {ONE_COUNT} GROUP BY sk_tiempo, c.nombre_categoria
-UNION ALL SELECT sk_tiempo, {DAY}, 'TOTAL GLOBAL', {_OUT} FROM fi WHERE {ONE_COUNT} GROUP BY sk_tiempo""")
+UNION ALL SELECT {COUNT_KEY}, CAST(make_date({COUNT_KEY} // 10000, 12, 31) AS VARCHAR), 'TOTAL GLOBAL', {_OUT} FROM fi WHERE {ONE_COUNT}""")
 def _stockout_total(t: Inputs) -> DataFrame:
     return kpis.stockout_total(fact(t, True), t.dates(), t["inv_category"], COUNT_KEY)
 

@@ -198,7 +198,7 @@ SELECT coalesce('Brand#' || sk_marca, 'SIN_MARCA') AS nk_marca, coalesce(sk_marc
 FROM codes GROUP BY sk_marca""")
 def _unknown(t: Inputs) -> DataFrame:
     unknown = S.unknown_members(t.spark)
-    brands = t["inv_brand"].select("sk_marca", F.col("nombre_marca").alias("nk_marca")).unionByName(
+    brands = t["inv_brand"].where(F.col("sk_marca") != V.UNKNOWN_KEY).select("sk_marca", F.col("nombre_marca").alias("nk_marca")).unionByName(
         unknown["dim_marca"].select("sk_marca", "nk_marca"))
     product_key = unknown["dim_producto"].select("sk_producto").scalar()
     # Repeats of a code are counted first, then looked up once.

@@ -45,7 +45,7 @@ STATES = """states(sk_estado_stock, nk_estado, nombre_estado, color_semaforo) AS
   (3, 'DISP_SOBRANTE', 'Disponible — Sobrante', 'Amarillo'), (4, 'SIN_STOCK', 'Sin Stock', 'Gris'),
   (5, 'AGOTADO_DESAC', 'Agotado — Sistema Desactualizado', 'Rojo'),
   (6, 'PEND_REVISION', 'Pendiente de Revisión', 'Rojo'))"""
-FACT_COLUMNS = f"""fi AS (SELECT *, cantidad_fisica - cantidad_sistema AS diferencia_unids,
+FACT_COLUMNS = f"""fi AS (SELECT * REPLACE (coalesce(sk_categoria, -1) AS sk_categoria, coalesce(sk_marca, -1) AS sk_marca), cantidad_fisica - cantidad_sistema AS diferencia_unids,
   cantidad_fisica <> cantidad_sistema AS flag_discrepancia, cantidad_fisica = 0 AS flag_stock_cero,
   {STATUS} AS nk_estado, {CAUSE} AS nk_tipo_disc FROM inv_fact)"""
 

@@ -11,14 +11,13 @@ from tallystock.catalog.reports import LIGHT, MOVEMENT_INPUTS, MOVEMENTS, light,
 from tallystock.catalog.rules_sql import CLASSIFIED, REVIEW
 from tallystock.catalog.star_sql import BAND, ONE_COUNT, discrepancy, fact, star_sql
 from tallystock.functions.rules import recode_category
-from tallystock.operators.filters import snapshot_filter
 from tallystock.operators.lookups import lookup_or_null
 from tallystock.plans import history as H
 from tallystock.plans import masters as M
 from tallystock.plans.movements import control_rows
 from tallystock.plans.star import build_fact_inventory, discrepancy_cause, generated_measures, stock_status
 from tallystock.session import new_path
-from tallystock.sources.seeds import lights
+from tallystock.sources.seeds import lights, unknown_members
 from tallystock.sources.tables import write_fact
 
 _PRODUCTS = f"{with_inputs('inv_product')}, {CLASSIFIED}"
@@ -128,7 +127,7 @@ def _scd2(t: Inputs) -> DataFrame:
     return H.scd2_merge(H.first_versions(t["inv_product_v1"], "2001-01-01"), t["inv_product_v2"], AS_OF)
 
 
-@query("expiry_band", f"{with_inputs('inv_dim_product')} SELECT sk_producto, dias_para_vencer, {BAND} AS clasificacion_venc FROM inv_dim_product")
+@query("expiry_band", f"{with_inputs('inv_dim_product')} SELECT sk_producto, dias_para_vencer, {BAND} AS clasificacion_venc FROM inv_dim_product WHERE sk_producto <> -1")
 def _band(t: Inputs) -> DataFrame:
     dated = t["inv_product"].select(F.col("id_producto").alias("sk_producto"), "fecha_vencimiento")
     return H.overwrite_expiry(dated, AS_OF).select("sk_producto", "dias_para_vencer", "clasificacion_venc")
@@ -153,17 +152,20 @@ SELECT sk_tiempo, sk_producto, sk_categoria, sk_marca, sk_estado_stock, l.id_sem
 FROM fi JOIN states USING (nk_estado) LEFT JOIN light l ON l.id_producto = fi.sk_producto""")
 def _fact(t: Inputs) -> DataFrame:
     lit = lookup_or_null(t["inv_fact"], "sk_producto", light(t), "id_producto",
-                         {"id_semaforo": "sk_tipo_semaforo", "dias_inventariado": "dias_inventariados"})
+                         {"id_semaforo": "sk_tipo_semaforo", "dias_inventariado": "dias_inventariados"}, unique=True)
     return build_fact_inventory(lit, load_id=7)
 
 
 @query("write_fact", f"""{_STAR}
 SELECT sk_tiempo, sk_producto, CAST(cantidad_fisica AS DOUBLE) AS cantidad_fisica, CAST(diferencia_unids AS DOUBLE) AS diferencia_unids
-FROM fi WHERE {ONE_COUNT}""")
+FROM fi""")
 def _write_fact(t: Inputs) -> DataFrame:
     path = new_path(t.spark, "fact")
-    write_fact(fact(t), path, files_per_count=2)
-    return snapshot_filter(t.spark.read.parquet(path), COUNT_KEY).select(
+    rows = fact(t)
+    # Two loads in turn: the second one must leave the counts of the first.
+    write_fact(rows.where(F.col("sk_tiempo") != COUNT_KEY), path)
+    write_fact(rows.where(F.col("sk_tiempo") == COUNT_KEY), path)
+    return t.spark.read.parquet(path).select(
         "sk_tiempo", "sk_producto", "cantidad_fisica", "diferencia_unids")
 
 
@@ -204,7 +206,9 @@ UNION ALL SELECT 'dim_producto', CAST(id_producto AS INT), codigo_producto, nomb
 UNION ALL SELECT 'dim_tiempo', CAST(strftime(d, '%Y%m%d') AS INT), CAST(CAST(d AS DATE) AS VARCHAR), 'S' || lpad(CAST(week(d) AS VARCHAR), 2, '0') || '-' || year(d),
        'Q' || quarter(d) || '-' || year(d) FROM generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-12-31', INTERVAL 1 DAY) g(d)
 UNION ALL SELECT * FROM (VALUES ('dim_tipo_semaforo', 1, 'Verde', 'Verde', 'Hasta 90 días'), ('dim_tipo_semaforo', 2, 'Amarillo', 'Amarillo', 'De 91 a 365 días'),
-  ('dim_tipo_semaforo', 3, 'Rojo', 'Rojo', 'Más de 365 días'), ('dim_tipo_semaforo', 4, 'Revisión', 'Revisión', 'Sin entrada')) v""")
+  ('dim_tipo_semaforo', 3, 'Rojo', 'Rojo', 'Más de 365 días'), ('dim_tipo_semaforo', 4, 'Revisión', 'Revisión', 'Sin entrada'),
+  ('dim_categoria', -1, 'ND', 'Sin Categoría', 'Desconocido'), ('dim_marca', -1, 'SIN_MARCA', 'Sin Marca Definida', ''),
+  ('dim_producto', -1, 'SIN_PRODUCTO', 'Producto Sin Definir', ''), ('dim_tiempo', -1, '1900-01-01', 'N/A', 'N/A')) v""")
 def _dims(t: Inputs) -> DataFrame:
     rows = classified(t)
     masters = M.build_masters(rows, "id_producto")
@@ -224,6 +228,13 @@ def _dims(t: Inputs) -> DataFrame:
         shape(t.dates(), "dim_tiempo", "sk_tiempo", "fecha_completa", "nombre_semana", F.col("nombre_trimestre")),
         shape(colours, "dim_tipo_semaforo", "id_tipo_semaforo", "color_semaforo", "color_semaforo", F.col("rango_descripcion")),
     ]
+    # The rows that facts without a known key point to; the calendar has its own.
+    unknown = unknown_members(t.spark)
+    parts += [
+        shape(unknown["dim_categoria"], "dim_categoria", "sk_categoria", "nk_categoria", "nombre_categoria", F.col("tipo_producto")),
+        shape(unknown["dim_marca"], "dim_marca", "sk_marca", "nk_marca", "nombre_marca", F.lit("")),
+        shape(unknown["dim_producto"], "dim_producto", "sk_producto", "nk_codigo_producto", "nombre_producto", F.lit("")),
+    ]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -266,8 +277,9 @@ mark AS (SELECT max(ultima_fecha_dato) AS m FROM inv_control WHERE nombre_proces
 @query("incremental_rows", f"""{_CONTROL}
 SELECT l_orderkey, l_linenumber, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS fecha FROM lineitem, mark WHERE CAST(l_shipdate AS DATE) > m""")
 def _incremental(t: Inputs) -> DataFrame:
-    rows = t.table("lineitem").select("l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("fecha"))
-    return H.incremental_rows(rows, "fecha", t["inv_control"], "ETL_FACT_INVENTARIO")
+    rows = t.table("lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    fresh = H.incremental_rows(rows, "l_shipdate", t["inv_control"], "ETL_FACT_INVENTARIO")
+    return fresh.select("l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("fecha"))
 
 
 @query("incremental_watermark", f"""{_CONTROL}
@@ -277,8 +289,8 @@ SELECT nombre_proceso, total_cargas + CASE WHEN nombre_proceso = 'ETL_FACT_INVEN
                  ELSE ultima_fecha_dato END AS VARCHAR) AS ultima_fecha_dato FROM current""")
 def _watermark(t: Inputs) -> DataFrame:
     control = t["inv_control"]
-    rows = t.table("lineitem").select(F.to_date("l_shipdate").alias("fecha"))
-    fresh = H.incremental_rows(rows, "fecha", control, "ETL_FACT_INVENTARIO")
+    fresh = H.incremental_rows(t.table("lineitem").select("l_shipdate"), "l_shipdate", control, "ETL_FACT_INVENTARIO")
+    fresh = fresh.select(F.to_date("l_shipdate").alias("fecha"))
     return H.move_mark(H.latest_marks(control), fresh, "fecha", "ETL_FACT_INVENTARIO")
 
 

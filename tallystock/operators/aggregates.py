@@ -36,10 +36,17 @@ def coverage_gate(sheet: DataFrame, key: str, minimum: int = 80) -> DataFrame:
     return counted.withColumns({"pct_codigo": pct, "estado": F.when(exact, "WARNING").otherwise("OK")})
 
 
-def detail_plus_total(detail: DataFrame, label: str, total_label: str, keys: list[str], sums: list[str],
-                      derived: dict[str, Column]) -> DataFrame:
-    """Grouped rows plus one total row per remaining key, both from the same aggregate."""
-    total = detail.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums]).withColumn(label, F.lit(total_label))
+def detail_plus_total(detail: DataFrame, base: DataFrame, label: str, total_label: str, keys: dict[str, Column],
+                      sums: list[str], derived: dict[str, Column]) -> DataFrame:
+    """Grouped rows plus total rows over ``base``, the rows before any dimension was joined.
+
+    ``keys`` that are columns of ``base`` give a total row each; constant ones give one row,
+    with zeros where ``base`` has no rows.
+    """
+    grouped = [k for k, v in keys.items() if k in base.columns and v is None]
+    totals = base.groupBy(*grouped).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums])
+    total = totals.select(*[(F.col(k) if k in grouped else v).alias(k) for k, v in keys.items()], *sums,
+                          F.lit(total_label).alias(label))
     return detail.unionByName(total).withColumns(derived)
 
 

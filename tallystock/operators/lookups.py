@@ -13,39 +13,44 @@ from pyspark.sql import functions as F
 from tallystock.operators.windows import first_per_key
 
 
-def _first_match(table: DataFrame, key: str, returns: dict[str, str], order: list[Column] | None) -> DataFrame:
-    """Lookup side with one row per non-null key. ``order`` None means the key is unique."""
+def _first_match(table: DataFrame, key: str, returns: dict[str, str], order: list[Column] | None,
+                 unique: bool) -> DataFrame:
+    """Lookup side with one row per non-null key: the first in ``order``, or else the one with
+    the lowest values to return. ``unique`` declares that keys do not repeat, which saves a window."""
     known = table.where(F.col(key).isNotNull())
-    if order is not None:
-        known = first_per_key(known, [key], order)
+    if not unique:
+        # Dealt by key and its hash, the rows are dealt once more for the join: only then can
+        # Spark split a hot key of the other side, as neither side holds a window any more.
+        known = first_per_key(known.withColumn("_spread", F.xxhash64(key)), ["_spread", key],
+                              order or [F.col(source) for source in returns])
     return known.select(F.col(key).alias("_lookup_key"), *[F.col(s).alias(t) for s, t in returns.items()])
 
 
 def lookup_or_null(df: DataFrame, column: str, table: DataFrame, key: str, returns: dict[str, str],
-                   order: list[Column] | None = None) -> DataFrame:
+                   order: list[Column] | None = None, unique: bool = False) -> DataFrame:
     """New columns from the first match, null where there is none."""
-    side = _first_match(table, key, returns, order)
+    side = _first_match(table, key, returns, order, unique)
     return df.join(side, F.col(column) == F.col("_lookup_key"), "left").drop("_lookup_key")
 
 
 def lookup_keep_original(df: DataFrame, column: str, table: DataFrame, key: str, source: str, target: str,
-                         order: list[Column] | None = None) -> DataFrame:
+                         order: list[Column] | None = None, unique: bool = False) -> DataFrame:
     """Typed id of the first match; the searched text goes to ``<target>_unmatched`` if none."""
-    found = lookup_or_null(df, column, table, key, {source: target}, order)
+    found = lookup_or_null(df, column, table, key, {source: target}, order, unique)
     return found.withColumn(f"{target}_unmatched", F.when(F.col(target).isNull(), F.col(column).cast("string")))
 
 
 def lookup_in_place(df: DataFrame, column: str, table: DataFrame, key: str, source: str,
-                    order: list[Column] | None = None) -> DataFrame:
+                    order: list[Column] | None = None, unique: bool = False) -> DataFrame:
     """Replace the column by the looked-up value, keep it where nothing matches."""
-    found = lookup_or_null(df, column, table, key, {source: "_found"}, order)
+    found = lookup_or_null(df, column, table, key, {source: "_found"}, order, unique)
     return found.withColumn(column, F.coalesce("_found", column)).drop("_found")
 
 
 def lookup_inner(df: DataFrame, column: str, table: DataFrame, key: str, returns: dict[str, str],
-                 order: list[Column] | None = None) -> DataFrame:
+                 order: list[Column] | None = None, unique: bool = False) -> DataFrame:
     """Rows with a match only."""
-    side = _first_match(table, key, returns, order)
+    side = _first_match(table, key, returns, order, unique)
     return df.join(side, F.col(column) == F.col("_lookup_key"), "inner").drop("_lookup_key")
 
 

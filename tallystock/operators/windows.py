@@ -88,9 +88,8 @@ def fill_down(df: DataFrame, value: str, keys: list[str], order: str, name: str,
 def share_of_total(groups: DataFrame, value: str, name: str) -> DataFrame:
     """Share of each group in the total of ``value``.
 
-    The grouped rows are stored, so the rows below them are read once and not again for
-    the total, and no task has to hold all groups.
+    The total is a scalar over the same grouped rows: Spark runs their shuffle once and
+    reuses it, and no task has to hold all groups.
     """
-    stored = materialize(groups, "groups")
-    total = stored.agg(F.sum(value).alias("_total")).scalar()
-    return stored.withColumn(name, ratio_pct(F.col(value), total))
+    total = groups.agg(F.sum(value).alias("_total")).scalar()
+    return groups.withColumn(name, ratio_pct(F.col(value), total))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,9 +26,10 @@ def first_versions(products: DataFrame, as_of: str) -> DataFrame:
 
 def compare(dimension: DataFrame, incoming: DataFrame, key: str = "id") -> DataFrame:
     """Full outer comparison of open versions with incoming rows, with ``cambio`` set to
-    new, changed, same or absent. Both sides have one row per key, so no key is hot."""
+    new, changed, same or absent. Of incoming rows that repeat a key the first in order of
+    the versioned columns counts, so both sides have one row per key and no key is hot."""
     old = dimension.where("es_registro_activo").alias("o")
-    new = incoming.alias("n")
+    new = first_per_key(incoming, [key], [F.col(c) for c in VERSIONED]).alias("n")
     same = F.lit(True)
     for c in VERSIONED:
         same = same & F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}"))
@@ -107,9 +110,14 @@ def last_mark(control: DataFrame, process: str) -> DataFrame:
 
 
 def incremental_rows(rows: DataFrame, date: str, control: DataFrame, process: str) -> DataFrame:
-    """Rows newer than the last good load. The mark is a scalar, so it reaches the scan."""
-    mark = last_mark(control, process).scalar()
-    return rows.where(mark.isNull() | (F.col(date) > mark))
+    """Rows of a later day than the last good load. ``date`` may be a date or a timestamp.
+
+    The mark is read first: as a constant against the bare column, it reaches the scan.
+    """
+    mark = last_mark(control, process).first().marca
+    if mark is None:
+        return rows
+    return rows.where(F.col(date) >= F.lit(mark + timedelta(days=1)).cast(rows.schema[date].dataType))
 
 
 def move_mark(control: DataFrame, rows: DataFrame, date: str, process: str) -> DataFrame:

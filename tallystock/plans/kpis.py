@@ -49,18 +49,21 @@ def kpi_ira(fact: DataFrame, dates: DataFrame, categories: DataFrame, sk_tiempo:
 
 def kpi_stockout(fact: DataFrame, dates: DataFrame, categories: DataFrame, sk_tiempo: int | None = None) -> DataFrame:
     """Stock-out share per count and category, and stock the system still believes in."""
-    counts = _stockout_counts(fact, dates, categories, sk_tiempo)
+    counts = _stockout_named(_stockout_by_key(fact, sk_tiempo), dates, categories)
     return counts.withColumn("pct_quiebre", ratio_pct(F.col("skus_sin_stock"), F.col("total_skus")))
 
 
 STOCKOUT_SUMS = ["total_skus", "skus_sin_stock", "skus_con_stock", "agotados_no_reconocidos"]
 
 
-def _stockout_counts(fact: DataFrame, dates: DataFrame, categories: DataFrame, sk_tiempo: int | None) -> DataFrame:
-    by_key = _count(fact, sk_tiempo).groupBy("sk_tiempo", "sk_categoria").agg(
+def _stockout_by_key(fact: DataFrame, sk_tiempo: int | None) -> DataFrame:
+    return _count(fact, sk_tiempo).groupBy("sk_tiempo", "sk_categoria").agg(
         F.count("*").alias("total_skus"), count_if(_empty()).alias("skus_sin_stock"),
         count_if(~_empty()).alias("skus_con_stock"),
         count_if(_empty() & (F.col("cantidad_sistema") > 0)).alias("agotados_no_reconocidos"))
+
+
+def _stockout_named(by_key: DataFrame, dates: DataFrame, categories: DataFrame) -> DataFrame:
     joined = join_dimensions(
         by_key, (dates.select("sk_tiempo", F.col("fecha_completa").alias("fecha_toma")), "sk_tiempo"),
         (categories.select("sk_categoria", "nombre_categoria"), "sk_categoria"))
@@ -96,7 +99,7 @@ def discrepancies(fact: DataFrame, discrepancy: DataFrame, products: DataFrame,
         both, (products.select("sk_producto", "nk_codigo_producto", "nombre_producto"), "sk_producto"),
         (categories.select("sk_categoria", "nombre_categoria"), "sk_categoria"),
         (brands.select("sk_marca", "nombre_marca"), "sk_marca"))
-    named = joined.join(F.broadcast(causes.select("sk_tipo_disc", "nombre_tipo", "impacto_financiero")), "sk_tipo_disc")
+    named = joined.join(causes.select("sk_tipo_disc", "nombre_tipo", "impacto_financiero"), "sk_tipo_disc")
     listed = named.select(
         F.col("nk_codigo_producto").alias("codigo"), "nombre_producto", "nombre_categoria", "nombre_marca",
         "cantidad_fisica", "cantidad_sistema", "diferencia_unids",
@@ -114,11 +117,18 @@ def _fact_pair(fact: DataFrame, discrepancy: DataFrame, sk_tiempo: int) -> DataF
 
 
 def stockout_total(fact: DataFrame, dates: DataFrame, categories: DataFrame, sk_tiempo: int) -> DataFrame:
-    """Stock-out of one count per category plus a global row, from one aggregate."""
+    """Stock-out of one count per category plus a global row.
+
+    The global row counts the fact itself, whatever the dimensions hold, and is there for a
+    count without rows too; Spark runs the grouped fact once for both parts.
+    """
     pct = ratio_pct(F.col("skus_sin_stock"), F.col("total_skus"))
+    by_key = _stockout_by_key(fact, sk_tiempo)
+    day = dates.where(F.col("sk_tiempo") == sk_tiempo).select("fecha_completa").scalar()
+    keys = {"sk_tiempo": F.lit(sk_tiempo), "fecha_toma": day}
     return detail_plus_total(
-        _stockout_counts(fact, dates, categories, sk_tiempo), "nombre_categoria", "TOTAL GLOBAL",
-        ["sk_tiempo", "fecha_toma"], STOCKOUT_SUMS, {"pct_quiebre": pct})
+        _stockout_named(by_key, dates, categories), by_key, "nombre_categoria", "TOTAL GLOBAL", keys, STOCKOUT_SUMS,
+        {"pct_quiebre": pct})
 
 
 def expiring_stock(fact: DataFrame, products: DataFrame, brands: DataFrame, categories: DataFrame,
@@ -153,7 +163,7 @@ def pending_running(fact: DataFrame, discrepancy: DataFrame, products: DataFrame
                     causes: DataFrame, sk_tiempo: int) -> DataFrame:
     """Units still to be deducted, largest first, with a running total (ties in product order)."""
     code = causes.where(F.col("nk_tipo_disc") == "PR").select("sk_tipo_disc")
-    pending = _fact_pair(fact, discrepancy.join(F.broadcast(code), "sk_tipo_disc", "left_semi"), sk_tiempo)
+    pending = _fact_pair(fact, discrepancy.join(code, "sk_tipo_disc", "left_semi"), sk_tiempo)
     joined = join_dimensions(
         pending, (products.select("sk_producto", "nk_codigo_producto", "nombre_producto"), "sk_producto"),
         (categories.select("sk_categoria", "nombre_categoria"), "sk_categoria"))

@@ -63,7 +63,7 @@ def build_product_master(classified: DataFrame, masters: dict[str, DataFrame], i
         ("marca", "marca_proveedor", "nombre_marca", "id_marca"),
         ("unidad", "unidad_medida", "codigo", "id_unidad"),
     ]:
-        found = lookup_keep_original(found, column, masters[table], key, target, target)
+        found = lookup_keep_original(found, column, masters[table], key, target, target, unique=True)
     return found.select(
         F.col(id_).alias("id_producto"), F.col(code).alias("codigo_producto"), F.col(name).alias("nombre"),
         "presentacion", "id_categoria", "id_marca", "id_unidad")

@@ -98,7 +98,7 @@ def ageing_light(control: DataFrame, movements: DataFrame, cut_date: str,
     and category ids of the product where the product master is given."""
     rest = control.drop("color_semaforo")  # the incoming one is replaced by the derived one
     dated = lookup_or_null(rest, "id_producto", last_inflow(movements), "id_producto",
-                           {"ultima_modificacion": "ultima_modificacion"})
+                           {"ultima_modificacion": "ultima_modificacion"}, unique=True)
     lit = dated.withColumns(light_columns(F.col("ultima_modificacion"), cut_date))
     if products is None:
         return lit

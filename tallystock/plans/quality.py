@@ -114,7 +114,7 @@ def load_sheet(sheet: DataFrame, kind: str, path: str, keys: list[str]) -> DataF
     except Exception as failure:  # noqa: BLE001
         log = sheet.select(*keys).distinct().withColumns({
             n: F.lit(0).cast("bigint") for n in ["leidas", "vacias", "secciones", "encabezados", "insertadas", "warnings"]})
-        return log.withColumns({"estado": F.lit("Error"), "mensaje_error": F.lit(str(failure)[:1000])})
+        return log.withColumns({"estado": F.lit("Error"), "mensaje_error": F.lit(str(failure))})
     log = row_counters(sheet, kind, keys)
     return log.withColumns({"estado": F.lit("Completado"), "mensaje_error": F.lit(None).cast("string")})
 

@@ -75,8 +75,25 @@ def build_fact_inventory(counts: DataFrame, load_id: int = 0) -> DataFrame:
         "flag_stock_cero", F.lit(load_id).alias("id_carga_origen"))
 
 
+def known_keys(counts: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
+    """``counts`` whose keys that a dimension does not hold, or that are missing, point to its unknown member.
+
+    A fact loaded like this loses no row in a report, whatever dimensions the report joins.
+    """
+    for key, dimension in dimensions.items():
+        held = dimension.select(F.col(key).alias("_held")).distinct()
+        found = counts.join(held, F.col(key) == F.col("_held"), "left")
+        counts = found.withColumn(key, F.coalesce("_held", F.lit(V.UNKNOWN_KEY)).cast(counts.schema[key].dataType)).drop("_held")
+    return counts
+
+
 def build_fact_discrepancy(counts: DataFrame, load_id: int = 0) -> DataFrame:
-    """Rows with a difference: absolute units, sign, both quantities, note and cause."""
+    """Rows with a difference: absolute units, sign, both quantities, note and cause.
+
+    A missing key points to the unknown member, as in the inventory fact.
+    """
+    counts = counts.withColumns({
+        k: F.coalesce(F.col(k), F.lit(V.UNKNOWN_KEY)) for k in ["sk_tiempo", "sk_producto", "sk_categoria", "sk_marca"]})
     difference = F.col("cantidad_fisica") - F.col("cantidad_sistema")
     causes = discrepancy_types(counts.sparkSession).select("sk_tipo_disc", F.col("nk_tipo_disc").alias("_causa"))
     different = counts.where(difference != 0).withColumns({

@@ -34,11 +34,14 @@ def build_session(app: str = "tallystock", master: str | None = None, **conf: st
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where none is named (tests)."""
+    """The cluster's checkpoint folder; a temporary one only where all runs in one process (tests)."""
     global _local_folder
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if _local_folder is None:
         _local_folder = tempfile.mkdtemp(prefix="tallystock-")
     return _local_folder

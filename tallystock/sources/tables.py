@@ -57,21 +57,23 @@ def bulk_insert(df: DataFrame, target: str, source: str = "parquet", batch_rows:
         writer.save(target)
 
 
-def write_fact(df: DataFrame, path: str, files_per_count: int = 64, key: str = "sk_tiempo") -> None:
+def write_fact(df: DataFrame, path: str, key: str = "sk_tiempo", rows_per_file: int = 20_000_000) -> None:
     """Facts are laid out by count date, so a report on one count reads one folder.
 
-    Each date is spread over ``files_per_count`` writers by product, however large it is.
+    Counts in ``df`` replace their own folders, other counts stay. The rows are rebalanced by
+    date: small dates share a writer, and a large one gets as many as its size asks for.
     """
-    slot = F.pmod(F.xxhash64("sk_producto"), F.lit(files_per_count))
-    df.repartition(F.col(key), slot).write.mode("overwrite").partitionBy(key).parquet(path)
+    spread = df.sparkSession.sql(f"SELECT /*+ REBALANCE({key}) */ * FROM {{fact}}", fact=df)
+    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option(
+        "maxRecordsPerFile", rows_per_file).partitionBy(key).parquet(path)
 
 
 def insert_if_absent(target: DataFrame, seed: DataFrame, key: str) -> DataFrame:
     """Target plus the seed rows whose natural key it does not hold yet.
 
-    ``seed`` is a constant table: its keys go to the target, so the target is not shuffled.
+    The target is first reduced to the keys that the seed has; Spark sends a small seed to it.
     """
-    held = target.select(key).join(F.broadcast(seed.select(key)), key, "left_semi")
+    held = target.select(key).join(seed.select(key), key, "left_semi")
     return target.unionByName(anti_join_new_keys(seed, held, [key]), allowMissingColumns=True)
 
 

@@ -183,7 +183,7 @@ def test_constant_tables(spark):
 
 def test_fact_layout_prunes(inputs, tmp_path):
     path = str(tmp_path / "fact")
-    tables.write_fact(fact(inputs), path, files_per_count=2)
+    tables.write_fact(fact(inputs), path)
     one = inputs.spark.read.parquet(path).where(F.col("sk_tiempo") == COUNT_KEY)
     assert one.count() == fact(inputs).where(F.col("sk_tiempo") == COUNT_KEY).count()
     assert f"PartitionFilters: [isnotnull(sk_tiempo" in one._jdf.queryExecution().executedPlan().toString()
