@@ -2,8 +2,8 @@
 
 Every vector's distances to PIVOTS fixed vectors are computed once per block. By the triangle inequality their differences
 bound the distance of a query and a candidate from below, hence their inner product from above; the best of
-all pivots counts. A query's candidates are evaluated in the order of that bound, until the bound falls below the
-k-th best score. Queries and candidates are dealt in blocks, and a task holds one block of each. A first pass over one
+all pivots counts. A query's candidates are evaluated in the order of that bound, the highest first, then those that
+can still reach the k-th best score found; the others are out by their bound. Queries and candidates are dealt in blocks, and a task holds one block of each. A first pass over one
 block of candidates gives every query a score to beat, so that other blocks return only what can still be among the best.
 
 Vectors are whole numbers, sums are exact below 2**53.
@@ -55,38 +55,58 @@ def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squares, 0))
 
 
+def _bounds(queries: np.ndarray, x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """Upper bounds of all products, in single precision and widened by more than its rounding."""
+    far_q, far_x = _distances(queries, pivots).astype(np.float32), _distances(x, pivots).astype(np.float32)
+    square_q, square_x = (queries * queries).sum(1), (x * x).sum(1)
+    apart = np.zeros((len(queries), len(x)), np.float32)
+    for p in range(far_q.shape[1]):
+        one = far_q[:, p, None] - far_x[None, :, p]
+        np.maximum(apart, np.abs(one, out=one), out=apart)
+    apart -= np.float32(1e-5) * (far_q.max(initial=0) + far_x.max(initial=0))
+    np.maximum(apart, 0, out=apart)
+    bound = ((square_q[:, None] + square_x[None, :]) / 2).astype(np.float32)
+    bound -= apart * apart / 2
+    bound += np.float32(1e-5 * (square_q.max() + square_x.max()) + 1e-3)
+    return bound
+
+
 def best_of_block(queries: np.ndarray, beat: np.ndarray, own: np.ndarray, x: np.ndarray, ids: np.ndarray,
                   pivots: np.ndarray, k: int) -> tuple[list[int], list[int], list[int], int]:
     """Of each query the k best of ``x`` that score ``beat`` or more: places of query and candidate, scores, and how
-    many products were computed."""
-    at_q, at_x, scores, computed = [], [], [], 0
+    many candidates had to be evaluated.
+
+    The candidates of highest bound are evaluated first and give the score to reach; then those whose bound
+    still reaches it, by one matrix product for all queries that have any; what it gives for others is not looked at.
+    """
+    at_q, at_x, scores = [], [], []
     if not len(x) or not len(queries):
-        return at_q, at_x, scores, computed
-    far_q, far_x = _distances(queries, pivots), _distances(x, pivots)
-    square_q, square_x = (queries * queries).sum(1), (x * x).sum(1)
+        return at_q, at_x, scores, 0
+    bound = _bounds(queries, x, pivots)
+    bound[own[:, None] == ids[None, :]] = -np.inf
+    bound[bound < beat[:, None]] = -np.inf
+    head = min(4 * k, len(x))
+    first = np.argpartition(-bound, head - 1, axis=1)[:, :head]
+    used = np.take_along_axis(bound, first, 1) > -np.inf
+    first_score = np.where(used, np.einsum("qkd,qd->qk", x[first], queries), -np.inf)
+    least = beat
+    if head >= k:
+        least = np.maximum(beat, np.partition(first_score, head - k, axis=1)[:, head - k])
+    left = (bound >= least[:, None]) & (bound > -np.inf)
+    np.put_along_axis(left, first, False, 1)
+    rest = np.flatnonzero(left.any(1))
+    rest_score = dict(zip(rest.tolist(), queries[rest] @ x.T, strict=True))
     for q in range(len(queries)):
-        apart = np.abs(far_x - far_q[q]).max(1)
-        apart = np.maximum(apart - 1e-6 * (1 + far_q[q].max() + apart), 0)
-        bound = (square_q[q] + square_x - apart * apart) / 2 + 1e-6
-        order = np.flatnonzero((bound >= beat[q]) & (ids != own[q]))
-        order = order[np.argsort(-bound[order], kind="stable")]
-        best_score, best_at = np.zeros(0), np.zeros(0, np.int64)
-        done, step, least = 0, 4 * k, beat[q]
-        while done < len(order) and bound[order[done]] >= least:
-            part = order[done:done + step]
-            best_score = np.concatenate([best_score, x[part] @ queries[q]])
-            best_at = np.concatenate([best_at, part])
-            top = np.lexsort((ids[best_at], -best_score))[:k]
-            best_score, best_at = best_score[top], best_at[top]
-            if len(top) == k:
-                least = max(least, best_score[-1])
-            computed += len(part)
-            done, step = done + step, 2 * step
-        enough = best_score >= beat[q]
-        at_x += best_at[enough].tolist()
-        scores += best_score[enough].astype(np.int64).tolist()
-        at_q += [q] * int(enough.sum())
-    return at_q, at_x, scores, computed
+        at, score = first[q], first_score[q]
+        if q in rest_score:
+            more = np.flatnonzero(left[q] & (rest_score[q] >= least[q]))
+            at, score = np.concatenate([at, more]), np.concatenate([score, rest_score[q][more]])
+        good = np.flatnonzero((score >= least[q]) & (score > -np.inf))
+        good = good[np.lexsort((ids[at[good]], -score[good]))[:k]]
+        at_x += at[good].tolist()
+        scores += score[good].astype(np.int64).tolist()
+        at_q += [q] * len(good)
+    return at_q, at_x, scores, int(used.sum() + left.sum())
 
 
 def _searcher(pivots: np.ndarray, k: int) -> Callable:
