@@ -11,24 +11,28 @@ from tallystock.plans import kpis
 from tallystock.plans.movements import ageing_light, build_movements
 
 _STAR = star_sql("inv_category", "inv_brand", "inv_dim_product")
-_IRA = f"""
-SELECT sk_tiempo, {DAY} AS fecha_toma, sk_tiempo // 10000 AS anio, 'Diciembre' AS nombre_mes,
-       c.nombre_categoria, c.tipo_producto, count(*) AS total_skus,
-       CAST(sum(CASE WHEN NOT flag_discrepancia THEN 1 ELSE 0 END) AS BIGINT) AS skus_exactos,
-       CAST(sum(CASE WHEN flag_discrepancia THEN 1 ELSE 0 END) AS BIGINT) AS skus_con_diferencia,
-       {pct('sum(CASE WHEN NOT flag_discrepancia THEN 1 ELSE 0 END)', 'count(*)')} AS ira_pct,
-       CASE WHEN {pct('sum(CASE WHEN NOT flag_discrepancia THEN 1 ELSE 0 END)', 'count(*)')} >= 95
-            THEN 'Cumple' ELSE 'Bajo Meta' END AS estado_meta,
-       CAST(sum(cantidad_fisica) AS DOUBLE) AS total_unidades_fisicas,
-       CAST(sum(cantidad_sistema) AS DOUBLE) AS total_unidades_sistema,
-       CAST(sum(diferencia_unids) AS DOUBLE) AS diferencia_neta
-FROM fi JOIN inv_category c USING (sk_categoria)"""
-_OUT = f"""
-count(*) AS total_skus,
-CAST(sum(CASE WHEN flag_stock_cero THEN 1 ELSE 0 END) AS BIGINT) AS skus_sin_stock,
-CAST(sum(CASE WHEN NOT flag_stock_cero THEN 1 ELSE 0 END) AS BIGINT) AS skus_con_stock,
-CAST(sum(CASE WHEN flag_stock_cero AND cantidad_sistema > 0 THEN 1 ELSE 0 END) AS BIGINT) AS agotados_no_reconocidos,
-{pct('sum(CASE WHEN flag_stock_cero THEN 1 ELSE 0 END)', 'count(*)')} AS pct_quiebre"""
+# Numbers of one group of facts, from which the shares are made outside.
+_COUNTED = """
+count(*) AS n, count(*) FILTER (flag_discrepancia) AS n_diff, count(*) FILTER (flag_stock_cero) AS n_empty,
+count(*) FILTER (flag_stock_cero AND cantidad_sistema > 0) AS n_unseen,
+count(*) FILTER (NOT flag_discrepancia AND NOT flag_stock_cero) AS n_fine,
+CAST(sum(cantidad_fisica) AS DOUBLE) AS f, CAST(sum(cantidad_sistema) AS DOUBLE) AS s, CAST(sum(diferencia_unids) AS DOUBLE) AS d,
+CAST(coalesce(sum(diferencia_unids) FILTER (diferencia_unids > 0), 0) AS DOUBLE) AS more,
+CAST(-coalesce(sum(diferencia_unids) FILTER (diferencia_unids < 0), 0) AS DOUBLE) AS fewer"""
+
+
+def _ira(where: str = "true") -> str:
+    return f"""
+, g AS (SELECT sk_tiempo, sk_categoria, {_COUNTED} FROM fi WHERE {where} GROUP BY ALL)
+SELECT sk_tiempo, {DAY} AS fecha_toma, sk_tiempo // 10000 AS anio, 'Diciembre' AS nombre_mes, nombre_categoria, tipo_producto,
+       n AS total_skus, n - n_diff AS skus_exactos, n_diff AS skus_con_diferencia, {pct('n - n_diff', 'n')} AS ira_pct,
+       CASE WHEN {pct('n - n_diff', 'n')} >= 95 THEN 'Cumple' ELSE 'Bajo Meta' END AS estado_meta,
+       f AS total_unidades_fisicas, s AS total_unidades_sistema, d AS diferencia_neta
+FROM g JOIN inv_category USING (sk_categoria)"""
+
+
+_OUT = f"""n AS total_skus, n_empty AS skus_sin_stock, n - n_empty AS skus_con_stock, n_unseen AS agotados_no_reconocidos,
+{pct('n_empty', 'n')} AS pct_quiebre"""
 _RISK = f"""
 risk AS (SELECT nk_codigo_producto, nombre_producto, b.nombre_marca, c.nombre_categoria,
        CAST(fecha_vencimiento AS VARCHAR) AS fecha_vencimiento, dias_para_vencer,
@@ -39,13 +43,13 @@ JOIN inv_category c ON c.sk_categoria = p.sk_categoria
 WHERE es_registro_activo AND fecha_vencimiento IS NOT NULL AND dias_para_vencer BETWEEN 0 AND 365)"""
 
 
-@query("kpi_ira", f"{_STAR} {_IRA} GROUP BY sk_tiempo, c.nombre_categoria, c.tipo_producto")
+@query("kpi_ira", f"{_STAR} {_ira()}")
 def _kpi_ira(t: Inputs) -> DataFrame:
     return kpis.kpi_ira(fact(t), t.dates(), t["inv_category"])
 
 
-@query("kpi_stockout", f"""{_STAR} SELECT sk_tiempo, {DAY} AS fecha_toma, c.nombre_categoria, {_OUT}
-FROM fi JOIN inv_category c USING (sk_categoria) GROUP BY sk_tiempo, c.nombre_categoria""")
+@query("kpi_stockout", f"""{_STAR}, g AS (SELECT sk_tiempo, sk_categoria, {_COUNTED} FROM fi GROUP BY ALL)
+SELECT sk_tiempo, {DAY} AS fecha_toma, nombre_categoria, {_OUT} FROM g JOIN inv_category USING (sk_categoria)""")
 def _kpi_stockout(t: Inputs) -> DataFrame:
     return kpis.kpi_stockout(fact(t), t.dates(), t["inv_category"])
 
@@ -55,7 +59,7 @@ def _expiry_risk(t: Inputs) -> DataFrame:
     return kpis.expiry_risk(products(t), t["inv_brand"], t["inv_category"])
 
 
-@query("pb01_ira_ranked", f"{_STAR} {_IRA} WHERE {ONE_COUNT} GROUP BY sk_tiempo, c.nombre_categoria, c.tipo_producto")
+@query("pb01_ira_ranked", f"{_STAR} {_ira(ONE_COUNT)}")
 def _ira_ranked(t: Inputs) -> DataFrame:
     return kpis.ira_ranked(fact(t, True), t.dates(), t["inv_category"], COUNT_KEY)
 
@@ -75,10 +79,10 @@ def _discrepancies(t: Inputs) -> DataFrame:
                               t.causes(), COUNT_KEY)
 
 
-@query("pb03_stockout_total", f"""{_STAR}
-SELECT sk_tiempo, {DAY} AS fecha_toma, c.nombre_categoria, {_OUT}
-FROM fi JOIN inv_category c USING (sk_categoria) WHERE {ONE_COUNT} GROUP BY sk_tiempo, c.nombre_categoria
-UNION ALL SELECT {COUNT_KEY}, CAST(make_date({COUNT_KEY} // 10000, 12, 31) AS VARCHAR), 'TOTAL GLOBAL', {_OUT} FROM fi WHERE {ONE_COUNT}""")
+@query("pb03_stockout_total", f"""{_STAR}, g AS (SELECT sk_categoria, {_COUNTED} FROM fi WHERE {ONE_COUNT} GROUP BY ALL),
+every AS (SELECT {_COUNTED} FROM fi WHERE {ONE_COUNT}), one AS (SELECT {COUNT_KEY} AS sk_tiempo)
+SELECT sk_tiempo, {DAY} AS fecha_toma, nombre_categoria, {_OUT} FROM one, g JOIN inv_category USING (sk_categoria)
+UNION ALL SELECT sk_tiempo, {DAY}, 'TOTAL GLOBAL', {_OUT} FROM one, every""")
 def _stockout_total(t: Inputs) -> DataFrame:
     return kpis.stockout_total(fact(t, True), t.dates(), t["inv_category"], COUNT_KEY)
 
@@ -115,20 +119,11 @@ def _pending_running(t: Inputs) -> DataFrame:
                                 COUNT_KEY)
 
 
-@query("dashboard", f"""{_STAR}
-SELECT CAST(make_date({COUNT_KEY} // 10000, 12, 31) AS VARCHAR) AS fecha_toma,
-       {pct('sum(CASE WHEN NOT flag_discrepancia THEN 1 ELSE 0 END)', 'count(*)')} AS ira_global_pct,
-       {pct('sum(CASE WHEN flag_stock_cero THEN 1 ELSE 0 END)', 'count(*)')} AS pct_quiebre_stock,
-       count(*) AS total_skus,
-       CAST(sum(CASE WHEN flag_discrepancia THEN 1 ELSE 0 END) AS BIGINT) AS skus_con_discrepancia,
-       CAST(sum(CASE WHEN flag_stock_cero THEN 1 ELSE 0 END) AS BIGINT) AS skus_sin_stock,
-       CAST(sum(CASE WHEN NOT flag_discrepancia AND NOT flag_stock_cero THEN 1 ELSE 0 END) AS BIGINT) AS skus_ok,
-       CAST(sum(cantidad_fisica) AS DOUBLE) AS total_unidades_fisicas,
-       CAST(sum(cantidad_sistema) AS DOUBLE) AS total_unidades_sistema,
-       CAST(sum(diferencia_unids) AS DOUBLE) AS diferencia_neta_total,
-       CAST(sum(CASE WHEN diferencia_unids > 0 THEN diferencia_unids ELSE 0 END) AS DOUBLE) AS total_sobrante_uds,
-       CAST(abs(sum(CASE WHEN diferencia_unids < 0 THEN diferencia_unids ELSE 0 END)) AS DOUBLE) AS total_faltante_uds
-FROM fi WHERE {ONE_COUNT}""")
+@query("dashboard", f"""{_STAR}, every AS (SELECT {_COUNTED} FROM fi WHERE {ONE_COUNT}), one AS (SELECT {COUNT_KEY} AS sk_tiempo)
+SELECT {DAY} AS fecha_toma, n AS total_skus, n_fine AS skus_ok, n_diff AS skus_con_discrepancia, n_empty AS skus_sin_stock,
+       {pct('n - n_diff', 'n')} AS ira_global_pct, {pct('n_empty', 'n')} AS pct_quiebre_stock, f AS total_unidades_fisicas,
+       s AS total_unidades_sistema, d AS diferencia_neta_total, more AS total_sobrante_uds, fewer AS total_faltante_uds
+FROM every, one""")
 def _dashboard(t: Inputs) -> DataFrame:
     return kpis.dashboard(fact(t, True), t.dates(), COUNT_KEY)
 

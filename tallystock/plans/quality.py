@@ -12,7 +12,8 @@ from tallystock import fixed_values as V
 from tallystock.functions import cells
 from tallystock.operators.filters import row_kind
 from tallystock.operators.windows import fill_down
-from tallystock.sources.tables import bulk_insert, mapped_rows
+from tallystock.session import materialize
+from tallystock.sources.tables import mapped_rows
 
 
 def _has(c: Column) -> Column:
@@ -104,18 +105,22 @@ def row_counters(sheet: DataFrame, kind: str, keys: list[str]) -> DataFrame:
         F.coalesce(F.sum(raised), F.lit(0).cast("bigint")).alias("warnings"))
 
 
-def load_sheet(sheet: DataFrame, kind: str, path: str, keys: list[str]) -> DataFrame:
+def load_sheet(sheet: DataFrame, kind: str, path: str, keys: list[str], load: str = "id_carga") -> DataFrame:
     """Land one kind of sheet into its table and give one load row per sheet.
 
-    A kind that fails is logged as ``Error`` with its message and does not stop the others.
+    The rows are stored once, so that table and log count the same ones, and written by load: a
+    load that is run again replaces its own rows. A kind that fails is logged as ``Error`` with
+    its message and does not stop the others.
     """
+    zero = {n: F.lit(0).cast("bigint") for n in ["leidas", "vacias", "secciones", "encabezados", "insertadas", "warnings"]}
     try:
-        bulk_insert(land(sheet, kind, keys), path)
+        stored = materialize(sheet, "sheet")
+        landed = land(stored, kind, keys)
+        landed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(load).parquet(path)
     except Exception as failure:  # noqa: BLE001
-        log = sheet.select(*keys).distinct().withColumns({
-            n: F.lit(0).cast("bigint") for n in ["leidas", "vacias", "secciones", "encabezados", "insertadas", "warnings"]})
+        log = sheet.select(*keys).distinct().withColumns(zero)
         return log.withColumns({"estado": F.lit("Error"), "mensaje_error": F.lit(str(failure))})
-    log = row_counters(sheet, kind, keys)
+    log = row_counters(stored, kind, keys)
     return log.withColumns({"estado": F.lit("Completado"), "mensaje_error": F.lit(None).cast("string")})
 
 

@@ -112,5 +112,7 @@ def test_route_sheets(rows):
 def test_failed_kind_is_logged(rows, sheet, tmp_path):
     ok = Q.load_sheet(sheet, "principal", str(tmp_path / "ok"), ["id_carga"]).first()
     assert (ok.estado, ok.leidas, ok.insertadas, ok.secciones, ok.warnings) == ("Completado", 10, 6, 2, 4)
+    again = Q.load_sheet(sheet, "principal", str(tmp_path / "ok"), ["id_carga"]).first()
+    assert again == ok and sheet.sparkSession.read.parquet(str(tmp_path / "ok")).count() == ok.insertadas
     bad = Q.load_sheet(sheet.drop("nombre_raw"), "principal", str(tmp_path / "bad"), ["id_carga"]).first()
     assert bad.estado == "Error" and bad.leidas == 0 and bad.mensaje_error
