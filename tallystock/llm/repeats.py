@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CHUNK_BYTES = 8 << 20
-BUCKET_HASHES = 4 << 20
+BUCKET_HASHES = 1 << 20
 HASH_ROWS = "bucket int, chunk long, hashes binary, counts binary"
 REPEAT_ROWS = "chunk long, hashes binary, counts binary"
 
@@ -44,9 +44,9 @@ def hash_rows(chunk: int, hashes: np.ndarray, buckets: int) -> pa.Table:
     """The rows that a chunk sends: its distinct hashes and how often each occurs in it."""
     known, counts = np.unique(hashes, return_counts=True)
     shift = np.uint64(64 - int(math.log2(buckets)))
-    edges = np.searchsorted(known, np.arange(1, buckets, dtype=np.uint64) << shift)
-    edges = np.concatenate([[0], edges, [len(known)]])
-    rows = [(b, lo, hi) for b, (lo, hi) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if lo < hi]
+    bucket = (known >> shift).astype(np.int64)
+    heads = np.flatnonzero(np.diff(bucket, prepend=-1))
+    rows = list(zip(bucket[heads].tolist(), heads.tolist(), [*heads[1:].tolist(), len(known)], strict=True)) if len(known) else []
     counts = np.minimum(counts, np.iinfo(np.uint32).max).astype("<u4")
     return pa.table({
         "bucket": pa.array([b for b, _, _ in rows], pa.int32()),

@@ -219,8 +219,8 @@ def read_token_files(spark: SparkSession, path: str, id_column: str = "doc_id",
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0)[k].values, pa.array(starts + batch.column(2)[k].as_py()), pa.array(grammar.doc_ids),
                     pa.array(value, arrow.field(3).type)], schema=arrow)
-    # The text of the grammar is not moved: the starts come to it.
-    starts = F.broadcast(_block_starts(files.select("part", "block", "n_ids")))
+    # One small row a block: Spark sends them to the grammars while they are few.
+    starts = _block_starts(files.select("part", "block", "n_ids"))
     return files.join(starts, ["part", "block"]).select("docs", "grammar", "first").mapInArrow(rows, schema)
 
 

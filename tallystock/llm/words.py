@@ -18,7 +18,7 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_SLICE_BYTES = 2 << 20
+_SLICE_BYTES = 1 << 19
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -103,7 +103,7 @@ def words(texts: pa.Array, lower: bool = False) -> Words:
 
 
 def slices(texts: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, pa.Array]]:
-    """First row and rows of pieces of about 2 MB; a longer text comes alone and whole."""
+    """First row and rows of pieces of about 512 KB; a longer text comes alone and whole."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks() if texts.num_chunks != 1 else texts.chunk(0)
     if not len(texts):

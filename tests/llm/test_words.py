@@ -36,7 +36,7 @@ def test_windows_stay_in_their_row_and_depend_on_words_alone():
 
 
 def test_slices_hold_every_row_once():
-    texts = pa.array(["x" * 3_000_000, None, "y", "z" * 1_500_000, "z" * 1_500_000])
+    texts = pa.array(["x" * 3_000_000, None, "y", "z" * 400_000, "z" * 400_000])
     found = list(slices(texts))
     assert [at for at, _ in found] == [0, 1, 4]
     assert sum(len(p) for _, p in found) == 5
