@@ -1,11 +1,14 @@
 """HTML main text by wrappers: union-free expressions inferred from the pages of each host.
 
-A page becomes a stream of block tags and text slots. Adjacent repeats of a group fold into one repeated group. The streams
+A page becomes a stream of block tags, text slots and template texts. A text is template where its host repeats it: on
+MIN_PAGES different pages or more, and either on half of the pages that have its path of enclosing blocks, or in a path
+whose number of different texts is at most the root of its number of pages. Spark counts that over all pages; pages whose
+candidate texts are all the same count as one. Adjacent repeats of a group fold into one repeated group. The streams
 of a host are aligned one after the other: what both have stays, what only one has becomes optional. The result is
-the host's wrapper, in which every text slot has a path of enclosing blocks. A wrapper marks the slots that hold the
-article: those inside ``article`` or ``main`` blocks if it has any, otherwise all that are in no menu, header,
-footer, sidebar, notice, advert, form or comments. Each page is read by its host's wrapper; a page without any marked
-slot gives all of its slots that are in none of those.
+the host's wrapper; its text slots are those that vary, and they hold the article: those inside ``article`` or
+``main`` blocks if it has any, otherwise all of them. Names of menus, headers, footers, sidebars, notices, adverts,
+forms and comments are a hint that takes further slots out. Each page is read by its host's wrapper. A page that would be
+empty then gives its other slots, in the order of _choices; only texts in elements of OUTSIDE are never given.
 
 Equal streams of a host are folded in Spark first, and a host with many is aligned in groups of FOLD, then the groups'
 wrappers among each other, so that no task holds all pages of a host.
@@ -22,6 +25,7 @@ import json
 import re
 from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,7 +37,8 @@ from tallystock.llm.ship import ship
 from tallystock.session import materialize
 
 FOLD = 128
-SLOT = "#"
+SLOT, TEMPLATE = "#", "="
+MIN_PAGES = 3  # texts on fewer different pages are never template
 
 # Elements and names of the parts of a page.
 RAW = {"script", "style", "noscript", "template", "iframe", "svg", "canvas", "object", "textarea", "select", "title", "math"}
@@ -62,8 +67,9 @@ _NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+
 
 
 def _block_name(tag: str, attributes: str) -> str:
-    """The tag with what it says about its part of the page: ``tag``, ``tag!`` outside the article, ``tag*`` the article."""
-    outside = tag in OUTSIDE
+    """The tag with what it says about its part of the page: ``tag``, ``tag!`` outside the article,
+    ``tag~`` outside it by its class or id, ``tag*`` the article."""
+    outside, named = tag in OUTSIDE, False
     inside = tag in ARTICLE
     for kind, *values in _NAMED.findall(attributes):
         value = "".join(values).lower()
@@ -71,8 +77,8 @@ def _block_name(tag: str, attributes: str) -> str:
             outside |= value in OUTSIDE_ROLES
             inside |= value in ("main", "article")
         else:
-            outside |= not OUTSIDE_NAMES.isdisjoint(re.split(r"[^a-z]+", value)) and tag not in ("html", "body")
-    return tag + ("!" if outside else "*" if inside else "")
+            named |= not OUTSIDE_NAMES.isdisjoint(re.split(r"[^a-z]+", value)) and tag not in ("html", "body")
+    return tag + ("!" if outside else "~" if named else "*" if inside else "")
 
 
 def events(page: str) -> Iterator[tuple[str, str]]:
@@ -149,8 +155,12 @@ def fold(tokens: list) -> list:
     return tokens
 
 
-def stream(page: str) -> list:
-    """The page's tokens: opened and closed blocks, and slots with their path."""
+def _key(*parts: str) -> int:
+    return int.from_bytes(blake2b("\0".join(parts).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+def stream(page: str, template: frozenset[int] = frozenset()) -> list:
+    """The page's tokens: opened and closed blocks, slots and template texts with their path."""
     path: list[str] = []
     tokens: list = []
     for kind, value in events(page):
@@ -159,8 +169,11 @@ def stream(page: str) -> list:
             tokens.append(f"<{value}>")
         elif kind == "close":
             tokens.append(f"</{path.pop()}>")
-        elif tokens[-1:] != [SLOT + "/".join(path)]:
-            tokens.append(SLOT + "/".join(path))
+        else:
+            at = "/".join(path)
+            token = (TEMPLATE if template and _key(at, value) in template else SLOT) + at
+            if tokens[-1:] != [token]:
+                tokens.append(token)
     return fold(tokens)
 
 
@@ -190,11 +203,11 @@ def align(a: list, b: list) -> list:
     return merged
 
 
-def _paths(wrapper: list) -> Iterator[str]:
+def _paths(wrapper: list, kinds: str) -> Iterator[str]:
     for token in wrapper:
         if isinstance(token, list):
-            yield from _paths(token[1:])
-        elif token.startswith(SLOT):
+            yield from _paths(token[1:], kinds)
+        elif token[:1] in kinds:
             yield token[1:]
 
 
@@ -203,21 +216,68 @@ def _allowed(path: str) -> bool:
 
 
 def article_paths(wrapper: list) -> set[str]:
-    """Paths of the slots that hold the article."""
-    allowed = {p for p in _paths(wrapper) if _allowed(p)}
-    inside = {p for p in allowed if "*" in p}
-    return inside or allowed
+    """Paths of the slots that hold the article; a wrapper that holds nothing but template texts has the paths of these."""
+    for kinds in (SLOT, SLOT + TEMPLATE):
+        allowed = {p for p in _paths(wrapper, kinds) if _allowed(p)}
+        for found in ({p for p in allowed if "~" not in p}, allowed):
+            if found:
+                return {p for p in found if "*" in p} or found
+    return set()
+
 
+def _choices(found: list[tuple[str, str]], paths: set[str], template: frozenset[int]) -> Iterator[list[str]]:
+    """What a page may give, best first; with a name in the way only if nothing else is there."""
+    varying = [(p, t) for p, t in found if not template or _key(p, t) not in template]
+    yield [t for p, t in varying if p in paths]
+    for slots_left in (varying, found):
+        yield [t for p, t in slots_left if "~" not in p]
+        yield [t for _, t in slots_left]
 
-def main_text(page: str, paths: set[str]) -> str:
-    found = list(slots(page))
-    marked = [text for path, text in found if path in paths]
-    return "\n\n".join(marked or [text for path, text in found if _allowed(path)])
+
+def main_text(page: str, paths: set[str], template: frozenset[int] = frozenset()) -> str:
+    found = [(p, t) for p, t in slots(page) if _allowed(p)]
+    return "\n\n".join(next(filter(None, _choices(found, paths, template)), []))
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each page: hashes of its paths and of its texts there; text 0 stands for the path itself."""
+    for batch in batches:
+        hosts, keys, paths, texts = [], [], [], []
+        for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            found = [(_key(p), _key(p, t)) for p, t in slots(page or "") if _allowed(p)]
+            if found:
+                pairs = sorted({*found, *((p, 0) for p, _ in found)})
+                hosts.append(host)
+                keys.append(_key(*(str(t) for _, t in found)))
+                paths.append([p for p, _ in pairs])
+                texts.append([t for _, t in pairs])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(hosts, pa.string()), pa.array(keys, pa.int64()), pa.array(paths, pa.list_(pa.int64())),
+             pa.array(texts, pa.list_(pa.int64()))], ["host", "page", "path", "text"])
+
+
+def template_texts(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """Rows (host, template): hashes of the texts, with their paths, that a host repeats."""
+    own = pages.select(_host(url).alias("host"), html).mapInArrow(
+        _texts, "host string, page long, path array<long>, text array<long>").distinct()
+    counted = materialize(own.select("host", F.inline(F.arrays_zip("path", "text"))).groupBy("host", "path", "text").agg(
+        F.count("*").alias("n")), "slot-texts")
+    per_path = counted.groupBy("host", "path").agg(
+        F.max(F.when(F.col("text") == 0, F.col("n"))).alias("pages"), F.count_if(F.col("text") != 0).alias("texts")
+    ).where(F.col("pages") >= MIN_PAGES)
+    repeated = counted.where((F.col("text") != 0) & (F.col("n") >= MIN_PAGES)).join(per_path, ["host", "path"]).where(
+        "2 * n >= pages or texts * texts <= pages")
+    return repeated.groupBy("host").agg(F.collect_set("text").alias("template"))
 
 
 def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [json.dumps(stream(page or "")) for page in batch.column(1).to_pylist()]
+        known: dict[str, frozenset[int]] = {}
+        found = []
+        for host, page, template in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if host not in known:
+                known[host] = frozenset(template or ())
+            found.append(json.dumps(stream(page or "", known[host])))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], ["host", "wrapper"])
 
 
@@ -229,9 +289,11 @@ def _fold_wrappers(rows: pa.Table) -> pa.Table:
     return pa.table({"host": rows["host"].slice(0, 1), "wrapper": pa.array([json.dumps(whole)], pa.string())})
 
 
-def infer_wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+def infer_wrappers(pages: DataFrame, url: str = "url", html: str = "html", templates: DataFrame | None = None) -> DataFrame:
     """Rows (host, wrapper as JSON), one for each host."""
-    own = pages.select(_host(url).alias("host"), html)
+    templates = template_texts(pages, url, html) if templates is None else templates
+    own = pages.select(_host(url).alias("host"), F.col(html).alias("html")).join(templates, "host", "left").select(
+        "host", "html", "template")
     wrappers = materialize(own.mapInArrow(_streams, "host string, wrapper string").distinct(), "streams")
     while True:
         sizes = wrappers.groupBy("host").agg(F.ceil(F.count("*") / FOLD).alias("groups"), F.count("*").alias("n"))
@@ -251,24 +313,30 @@ def _extractor(schema: StructType, at_html: int) -> Callable:
     arrow = to_arrow_schema(schema)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, set[str]] = {}
+        known: dict[str, tuple[set[str], frozenset[int]]] = {}
         for batch in batches:
-            wrappers, texts = batch.column(batch.num_columns - 1), []
-            for page, wrapper in zip(batch.column(at_html).to_pylist(), wrappers.to_pylist(), strict=True):
-                if wrapper not in known:
+            hosts, wrappers, templates = batch.columns[-3:]
+            texts = []
+            for k, (page, host) in enumerate(zip(batch.column(at_html).to_pylist(), hosts.to_pylist(), strict=True)):
+                if host not in known:
                     if len(known) > 1000:
                         known.clear()
-                    known[wrapper] = article_paths(json.loads(wrapper)) if wrapper else set()
-                texts.append(main_text(page or "", known[wrapper]))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], schema=arrow)
+                    wrapper = wrappers[k].as_py()
+                    known[host] = (article_paths(json.loads(wrapper)) if wrapper else set(),
+                                   frozenset(templates[k].as_py() or ()))
+                texts.append(main_text(page or "", *known[host]))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-3], pa.array(texts, pa.string())], schema=arrow)
     return rows
 
 
 def extract_text(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """``pages`` with ``text``, the main text of each."""
-    pages = pages.drop("text", "_host", "_wrapper")
-    wrappers = infer_wrappers(pages, url, html).select(F.col("host").alias("_host"), F.col("wrapper").alias("_wrapper"))
-    joined = pages.withColumn("_host", _host(url)).join(wrappers, "_host", "left").select(*pages.columns, "_wrapper")
+    pages = pages.drop("text", "_host", "_wrapper", "_template")
+    templates = materialize(template_texts(pages, url, html), "templates")
+    wrappers = infer_wrappers(pages, url, html, templates).join(templates, "host", "left").select(
+        F.col("host").alias("_host"), F.col("wrapper").alias("_wrapper"), F.col("template").alias("_template"))
+    joined = pages.withColumn("_host", _host(url)).join(wrappers, "_host", "left").select(
+        *pages.columns, "_host", "_wrapper", "_template")
     schema = StructType([*pages.schema.fields, StructField("text", StringType())])
     return joined.mapInArrow(_extractor(schema, pages.columns.index(html)), schema)
 

@@ -184,3 +184,13 @@ def test_article_of_every_page_of_the_test_table(spark):
         body = page[page.index("<article>") + 9:page.index("</article>")]
         blocks = (" ".join(html.unescape(re.sub("<[^>]*>", " ", b.replace("<b>", ""))).split()) for b in re.split("</?(?:p|h1)>", body))
         assert row.text == "\n\n".join(b for b in blocks if b) and row.n_chars == len(row.text)
+
+
+def test_texts_that_a_host_repeats_are_template_whatever_their_block_is_called(spark):
+    page = ("<div class='x7'>Start</div><div class='x7'>All topics</div><div class='post'><p>text {0} a</p><p>text {0} b</p></div>"
+            "<section>topic {1}</section><div>Write to us</div>")
+    pages = [(k, f"http://h/{k}", page.format(k, k % 2)) for k in range(12)]
+    pages += [(20, "http://h/20", "<div>Write to us</div>"), (21, "http://i/", "<div class='text no-sidebar'><p>all there is</p></div>")]
+    got = {x.page_id: x.text for x in html_text.extract_text(
+        spark.createDataFrame(pages * 2, "page_id long, url string, html string")).collect()}
+    assert got == {k: f"text {k} a\n\ntext {k} b" for k in range(12)} | {20: "Write to us", 21: "all there is"}
