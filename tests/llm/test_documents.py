@@ -144,6 +144,15 @@ def test_held_out_documents_are_told_apart(docs, spark):
     assert quality_rules.judge(docs([]), quality_rules.fit_quality(docs([]), labels)).collect() == []
 
 
+def test_label_limit_leaves_the_trusted_counts_whole(docs, spark):
+    r = random.Random(9)
+    texts = [(k, " ".join("".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(60))) for k in range(40)]
+    labels = spark.createDataFrame([(k, k % 4 > 0, 0) for k in range(40)], "doc_id long, quality boolean, toxic int").withColumn(
+        "quality", F.col("quality").cast("int"))
+    few, every = (quality_rules.fit_quality(docs(texts), labels, label_rows=n).weights for n in (4, 1000))
+    assert every.any() and (few == every).all()
+
+
 # ---- main text of pages
 
 SHELL = ("<!DOCTYPE html><html><head><title>t</title><style>p{{}}</style><script>var t='</p>';</script></head><body>"
