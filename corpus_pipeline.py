@@ -48,7 +48,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows (doc_id, piece, start, length, ids_crc32, sequence_id, offset) of all documents."""
     ship(spark)
-    return pack(token_pieces(docs, ids=False))
+    return pack(token_pieces(docs, ids=False, added=True))
 
 
 STAGES = [("quality rules", quality), ("n-gram Jaccard join", near_duplicates), ("substring dedup", repeated_passages),

@@ -43,7 +43,7 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def token_pieces(docs: DataFrame, id_column: str = "doc_id", text: str = "text", tokenizer: str | None = None,
-                 capacity: int = CAPACITY, end_id: int = END_ID, ids: bool = True) -> DataFrame:
+                 capacity: int = CAPACITY, end_id: int = END_ID, ids: bool = True, added: bool = False) -> DataFrame:
     """Rows (id, piece, start, length, and ids or their ids_crc32) for every document."""
     path = tokenizer or default_tokenizer()
     kind = docs.schema[id_column].dataType.simpleString()
@@ -51,7 +51,7 @@ def token_pieces(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode
+        encode = encoder(path, added).encode
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for first, part in slices(batch.column(1)):
@@ -184,4 +184,4 @@ def pack(pieces: DataFrame, length: str = "length", capacity: int = CAPACITY, le
 
 def op2(spark, sf_dir: str) -> DataFrame:
     ship(spark)
-    return pack(token_pieces(spark.read.parquet(f"{sf_dir}/documents.parquet"), ids=False))
+    return pack(token_pieces(spark.read.parquet(f"{sf_dir}/documents.parquet"), ids=False, added=True))

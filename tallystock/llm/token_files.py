@@ -154,7 +154,8 @@ def compress(ids: np.ndarray, doc_ids: np.ndarray, min_pairs: int = MIN_PAIRS, m
 
 
 def write_token_files(docs: DataFrame, path: str, id_column: str = "doc_id", text: str = "text",
-                      tokenizer: str | None = None, end_id: int = END_ID, block_ids: int = BLOCK_IDS) -> None:
+                      tokenizer: str | None = None, end_id: int = END_ID, block_ids: int = BLOCK_IDS,
+                      added: bool = False) -> None:
     """Write the ids of all documents, in ascending order of their id, below ``path``."""
     model = tokenizer or default_tokenizer()
     kind = docs.schema[id_column].dataType.simpleString()
@@ -163,7 +164,7 @@ def write_token_files(docs: DataFrame, path: str, id_column: str = "doc_id", tex
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        encode, end = encoder(model).encode, np.array([end_id], "<u4").tobytes()
+        encode, end = encoder(model, added).encode, np.array([end_id], "<u4").tobytes()
         part, block = TaskContext.get().partitionId(), 0
         keys, found, n = [], [], 0
 
@@ -227,5 +228,5 @@ def read_token_files(spark: SparkSession, path: str, id_column: str = "doc_id",
 def op3(spark, sf_dir: str) -> DataFrame:
     ship(spark)
     path = new_path(spark, "token-files")
-    write_token_files(spark.read.parquet(f"{sf_dir}/documents.parquet"), path)
+    write_token_files(spark.read.parquet(f"{sf_dir}/documents.parquet"), path, added=True)
     return read_token_files(spark, path, ids=False)

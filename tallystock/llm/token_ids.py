@@ -4,6 +4,9 @@ A byte-level splitter never joins white space to a character before it, so a tex
 line break that follows another character, and the parts encoded alone. Parts repeat a lot; each worker keeps the ids
 of about CACHE_PARTS of them. A word of Latin letters is one piece for the splitter and goes straight to the
 library's BPE model. With any other kind of tokenizer, texts are encoded whole.
+
+An encoder with ``added`` set reads the strings of added tokens (``<|endoftext|>``) as those tokens, as the library does by
+itself; a text that holds one is encoded whole. Without it they are ordinary text.
 """
 
 from __future__ import annotations
@@ -34,10 +37,12 @@ def default_tokenizer() -> str:
 class Encoder:
     """Encodes texts to little-endian unsigned 32-bit ids, as bytes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text in a document
+        self.tokenizer.encode_special_tokens = not added
+        marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if added or not t.special]
+        self.added = re.compile("|".join(map(re.escape, marks))) if marks else None
         self.model = self.tokenizer.model
         self.cache: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {"": b""}
@@ -98,7 +103,7 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """The ids of each text; a null text has none."""
         for text in texts:
-            if not text or not self.byte_level:
+            if not text or not self.byte_level or self.added is not None and self.added.search(text):
                 yield self._whole(text) if text else b""
                 continue
             rest = text.replace("\n", " \n").split(" ")
@@ -114,5 +119,5 @@ class Encoder:
 
 
 @lru_cache(2)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, added: bool = False) -> Encoder:
+    return Encoder(path, added)

@@ -150,3 +150,20 @@ def test_sentencepiece_columns(docs):
         "ids", F.lit("clash")))).collect()
     assert [(r.decoded, len(r.ids) > 0) for r in rows] == [("a b", True), ("", False), ("", False), ("a b", True)]
     assert sentencepiece_ids.encode(docs([])).collect() == []
+
+
+def test_queries_read_added_tokens_as_the_library_does(spark, tmp_path):
+    import corpus_pipeline
+    plain = Tokenizer.from_file(default_tokenizer())
+    ids = lambda text: plain.encode(text, add_special_tokens=False).ids
+    texts = ["end.<|endoftext|>Next page", "a <|endoftext|>\n b", "<|endoftext|", *odd_texts(300, 11)]
+    assert ids(texts[0]) == [437, 13, 50256, 10019, 2443]
+    for text, own in zip(texts, Encoder(default_tokenizer(), added=True).encode(texts), strict=True):
+        assert np.frombuffer(own, "<u4").tolist() == ids(text)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    want = {k: zlib.crc32(np.array(ids(t) + [packing.END_ID], "<u4").tobytes()) for k, t in enumerate(texts)}
+    for rows in (packing.op2(spark, str(tmp_path)), corpus_pipeline.packing(spark, df, str(tmp_path))):
+        assert {x.doc_id: x.ids_crc32 for x in rows.collect()} == want
+    want = {k: zlib.crc32(np.array(ids(t) + [token_files.END_ID], "<u4").tobytes()) for k, t in enumerate(texts)}
+    assert {x.doc_id: x.ids_crc32 for x in token_files.op3(spark, str(tmp_path)).collect()} == want
