@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallystock.llm import (
-    centroids, hard_negatives, html_text, jaccard_join, packing, quality_rules, secret_scan, sentencepiece_ids, sharding, substring_dedup,
-    token_files, top_k)
+    centroids, decontamination, hard_negatives, html_text, jaccard_join, packing, quality_rules, secret_scan,
+    sentencepiece_ids, sharding, substring_dedup, token_files, top_k)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_html_extraction": html_text.op8,
         "op9_substring_dedup": substring_dedup.op9,
         "op10_ngram_jaccard_join": jaccard_join.op10,
+        "op11_decontamination": decontamination.op11,
         "op12_centroid_clustering": centroids.op12,
         "op13_hard_negatives": hard_negatives.op13,
     }
@@ -33,6 +34,7 @@ def oracles() -> dict[str, str]:
         "op4_exact_top_k": top_k.OP4_SQL,
         "op9_substring_dedup": substring_dedup.OP9_SQL,
         "op10_ngram_jaccard_join": jaccard_join.OP10_SQL,
+        "op11_decontamination": decontamination.OP11_SQL,
         "op12_centroid_clustering": centroids.OP12_SQL,
         "op13_hard_negatives": hard_negatives.OP13_SQL,
     }
