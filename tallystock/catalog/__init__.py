@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallystock.catalog.registry import ORACLES, QUERIES
 
-_GROUPS = ["sources", "columns", "joins", "aggregates", "scalars", "quality", "warehouse", "reports"]
+_GROUPS = ["sources", "file_runs", "columns", "joins", "aggregates", "scalars", "quality", "warehouse", "reports"]
 
 
 def _load() -> None:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallystock.catalog.inputs import COUNT_KEY, Inputs, with_inputs
-from tallystock.catalog.quality_sql import LOADS, LOTS, MAIN, SHEET_INPUTS, loads
+from tallystock.catalog.quality_sql import CATALOGUE, KARDEX, LOADS, LOTS, MAIN, SHEET_INPUTS, loads
 from tallystock.catalog.registry import query
 from tallystock.catalog.reports import MOVEMENT_INPUTS, MOVEMENTS, movements
 from tallystock.catalog.star_sql import ONE_COUNT, fact, products, star_sql
@@ -96,7 +96,7 @@ def _header(t: Inputs) -> DataFrame:
     return R.drop_header_rows(t.sheet("principal"), "principal").select("id_carga", "fila_excel", "codigo_raw", "nombre_raw")
 
 
-@query("ready_rows_main", f"""{SHEET_INPUTS}, {MAIN}, {LOTS}, {LOADS}
+@query("ready_rows_main", f"""{SHEET_INPUTS}, {MAIN}, {LOTS}, {CATALOGUE}, {KARDEX}, {LOADS}
 SELECT m.id_carga, l.periodo_datos, ltrim(coalesce(codigo_raw, ''), '''') AS codigo_limpio,
        trim(nombre_raw) AS nombre_limpio, trim(fisico_raw) AS fisico_raw, trim(sistema_raw) AS sistema_raw,
        trim(diferencia_raw) AS diferencia_raw, trim(observacion_raw) AS observacion_raw, categoria_raw, fila_excel
@@ -105,7 +105,7 @@ def _ready_main(t: Inputs) -> DataFrame:
     return ready_rows(land(t.sheet("principal"), "principal"), loads(t), "principal")
 
 
-@query("ready_rows_lots", f"""{SHEET_INPUTS}, {MAIN}, {LOTS}, {LOADS}
+@query("ready_rows_lots", f"""{SHEET_INPUTS}, {MAIN}, {LOTS}, {CATALOGUE}, {KARDEX}, {LOADS}
 SELECT m.id_carga, l.periodo_datos, ltrim(coalesce(lote_raw, ''), '''') AS lote_limpio,
        ltrim(coalesce(codigo_raw, ''), '''') AS codigo_limpio, trim(nombre_raw) AS nombre_limpio,
        trim(fisico_raw) AS fisico_raw, trim(sistema_raw) AS sistema_raw, trim(diferencia_raw) AS diferencia_raw,

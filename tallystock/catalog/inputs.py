@@ -28,6 +28,19 @@ _PRODUCT_CODE = ("CASE WHEN l_partkey % 10 = 9 THEN concat('X', CAST(l_partkey A
                  "WHEN l_partkey % 17 = 0 THEN concat('ABP', CAST(l_partkey AS STRING)) "
                  "ELSE CAST(l_partkey AS STRING) END")
 
+
+
+def _line(sheet: str, columns: dict[int, str], width: int) -> str:
+    """SQL of a sheet's line: name, row number and cells, in quotes where that is needed."""
+    def quoted(c: str) -> str:
+        return f"CASE WHEN {c} LIKE '%,%' OR {c} LIKE '%\"%' THEN concat('\"', replace({c}, '\"', '\"\"'), '\"') ELSE coalesce({c}, '') END"
+    cells = [quoted(columns[k]) if k in columns else "''" for k in range(width)]
+    return f"concat({quoted(sheet)}, ',', CAST(fila_excel AS STRING), ',', {", ',', ".join(cells)})"
+
+
+LOT_SHEET = ("CASE CAST(id_archivo % 3 AS INT) WHEN 0 THEN 'Manvert, Jiffy' WHEN 1 THEN 'Manvert,Jiffy' ELSE 'Manvert Jiffy' END")
+_KARDEX_NAME = "CASE WHEN id_archivo % 5 = 3 THEN 'Kardex' ELSE 'EJEMPLO DATOS KARDEX' END"
+
 INPUTS = {
     # One row per part: a section, a name that hits the keyword rules, an expiry date.
     "inv_product": (f"""
@@ -174,6 +187,16 @@ SELECT CAST(floor(o_orderkey / 1000) AS BIGINT) AS id_archivo,
             WHEN 1 THEN '(123)' ELSE NULL END AS c5,
        'nan' AS c6, CAST(o_custkey AS STRING) AS c7, o_orderpriority AS c8, '2.5' AS c9
 FROM orders""", []),
+    # The sheets of a workbook as lines of a text file. Some have a sheet of unknown name, or only such ones; in some, one
+    # line of the movement sheet is cut off inside a quoted cell; dates of some lots are written as date-times.
+    "inv_book_line": (f"""
+SELECT id_archivo, 1 AS orden, fila_excel, {_line("'Fertilisa'", {k: f'c{k}' for k in range(1, 7)}, 7)} AS linea FROM inv_sheet
+UNION ALL SELECT id_archivo, 2, fila_excel, {_line(LOT_SHEET, {k: f'c{k}' for k in range(12)} | {8: "replace(c8, '2026-08-15', '2026-08-15T00:00:00')"}, 12)} FROM inv_lots
+UNION ALL SELECT id_archivo, 3, fila_excel, {_line("'LISTA DE PRODUCTOS'", {k: f'c{k}' for k in range(6)}, 12)} FROM inv_catalogue
+UNION ALL SELECT id_archivo, 4, fila_excel, {_line(_KARDEX_NAME, {k: f'c{k}' for k in range(10)}, 12)} FROM inv_kardex
+UNION ALL SELECT DISTINCT id_archivo, 5, 99999, 'EJEMPLO DATOS KARDEX,99999,\"sin cierre' FROM inv_kardex WHERE id_archivo % 6 = 1 AND id_archivo % 5 <> 3
+UNION ALL SELECT DISTINCT id_archivo, 6, 1, 'Hoja1,1,nota' FROM inv_sheet WHERE id_archivo % 4 = 2""",
+                      ["inv_sheet", "inv_lots", "inv_catalogue", "inv_kardex"]),
     # Inflow lines take their date from a header; codes ending in 9 are not in the master.
     "inv_inflow": (f"""
 SELECT l_orderkey AS id_entrada, {_PRODUCT_CODE} AS codigo, CAST(l_quantity AS DECIMAL(12,2)) AS cantidad

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallystock.catalog.inputs import Inputs, with_inputs
-from tallystock.catalog.quality_sql import LOADS, LOTS, MAIN, SHEET_INPUTS, loads
+from tallystock.catalog.quality_sql import CATALOGUE, KARDEX, LOADS, LOTS, MAIN, SHEET_INPUTS, loads
 from tallystock.catalog.registry import pct, query
 from tallystock.catalog.reports import MOVEMENT_INPUTS, MOVEMENTS
 from tallystock.catalog.star_sql import DAY, ONE_COUNT, discrepancy, fact, products, star_sql
@@ -138,7 +138,7 @@ def _scalar(t: Inputs) -> DataFrame:
     return per_brand.select(last.alias("ultima_toma"), "nombre_marca", ratio_pct(F.col("n"), every).alias("pct_filas"))
 
 
-@query("join_log_header", f"""{SHEET_INPUTS}, {MAIN}, {LOTS}, {LOADS}
+@query("join_log_header", f"""{SHEET_INPUTS}, {MAIN}, {LOTS}, {CATALOGUE}, {KARDEX}, {LOADS}
 SELECT m.id_carga, m.fila_excel, l.hoja_procesada, l.periodo_datos, l.estado FROM lots_kind m JOIN loads l ON l.id_carga = m.id_carga""")
 def _log_header(t: Inputs) -> DataFrame:
     return J.join_keys(t.sheet("lotes").select("id_carga", "fila_excel"),

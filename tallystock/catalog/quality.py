@@ -15,7 +15,7 @@ from tallystock.operators.lookups import counts_per_key
 from tallystock.operators.windows import fill_down
 from tallystock.operators.filters import row_kind
 from tallystock.functions import cells
-from tallystock.plans.quality import Check, clean_counts, constraint_checks, declared_checks, land, row_counters, staging_loads, warnings
+from tallystock.plans.quality import Check, clean_counts, constraint_checks, declared_checks, land, row_counters, warnings
 
 _KEYS = ["id_carga", "fila_excel"]
 
@@ -137,39 +137,7 @@ def _counters(t: Inputs) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
-@query("staging_loads", f"""{SHEET_INPUTS}, {MAIN}, {LOTS}, {LOADS}
-SELECT CAST(id_carga AS INT) AS id_carga, concat('Resumen_', id_archivo, '.xlsx') AS nombre_archivo, hoja_procesada AS hoja,
-       CAST(filas_leidas AS INT) AS total_filas_raw, CAST(filas_vacias AS INT) AS filas_rechazadas,
-       CAST(filas_insertadas AS INT) AS filas_validas, estado FROM loads""")
-def _staging_loads(t: Inputs) -> DataFrame:
-    log = loads(t)
-    return staging_loads(log, _files(log))
-
-
-def _files(log: DataFrame) -> DataFrame:
-    name = F.concat(F.lit("Resumen_"), F.col("id_archivo").cast("string"), F.lit(".xlsx"))
-    return log.select("id_archivo").distinct().select("id_archivo", name.alias("nombre_archivo"))
-
-
-@query("load_status_view", f"""{SHEET_INPUTS}, {MAIN}, {LOTS}, {LOADS}
-SELECT l.id_carga, concat('Resumen_', l.id_archivo, '.xlsx') AS nombre_archivo, periodo_datos, hoja_procesada, filas_leidas,
-       filas_vacias, filas_seccion, filas_insertadas, estado,
-       (SELECT count(*) FROM main_landed m WHERE m.id_carga = l.id_carga AND lnd_listo_para_stg) AS principal_listas,
-       (SELECT count(*) FROM main_landed m WHERE m.id_carga = l.id_carga AND NOT lnd_listo_para_stg) AS principal_con_problemas,
-       (SELECT count(*) FROM lots_landed m WHERE m.id_carga = l.id_carga AND lnd_listo_para_stg) AS lotes_listas,
-       (SELECT count(*) FROM lots_landed m WHERE m.id_carga = l.id_carga AND NOT lnd_listo_para_stg) AS lotes_con_problemas
-FROM loads l""")
-def _load_status(t: Inputs) -> DataFrame:
-    ready = F.col("lnd_listo_para_stg")
-    log = loads(t)
-    for kind in ["principal", "lotes"]:
-        log = counts_per_key(land(t.sheet(kind), kind), "id_carga",
-                             {f"{kind}_listas": ready, f"{kind}_con_problemas": ~ready}, log)
-    files = _files(log)
-    return log.join(files, "id_archivo").drop("id_archivo")
-
-
-@query("correlated_counts", f"""{SHEET_INPUTS}, {MAIN}, {LOTS}, {LOADS}
+@query("correlated_counts", f"""{SHEET_INPUTS}, {MAIN}, {LOTS}, {CATALOGUE}, {KARDEX}, {LOADS}
 SELECT l.id_carga, (SELECT count(*) FROM lots_landed m WHERE m.id_carga = l.id_carga AND NOT lnd_fecha_venc_parseable) AS sin_fecha,
        (SELECT count(*) FROM lots_landed m WHERE m.id_carga = l.id_carga AND lnd_almacenaje_numerico) AS con_almacenaje
 FROM loads l""")

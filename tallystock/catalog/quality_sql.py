@@ -89,13 +89,15 @@ kar_flagged AS (SELECT *, {code('doc')} AS documento_raw, tipo_raw IS NOT NULL A
 kar_landed AS (SELECT *, lnd_tiene_tipo AND lnd_fecha_parseable AND lnd_tipo_reconocido AS lnd_listo_para_stg
   FROM kar_flagged)"""
 
-# One load per main and lot sheet; needs MAIN and LOTS.
+# One load per sheet, of all four kinds; needs MAIN, LOTS, CATALOGUE and KARDEX.
 LOADS = f"""loads AS (SELECT id_archivo, id_carga, hoja_procesada, count(*) AS filas_leidas,
   count(*) FILTER (tipo_fila = 'vacia') AS filas_vacias, count(*) FILTER (tipo_fila = 'seccion') AS filas_seccion,
   count(*) FILTER (tipo_fila = 'dato') AS filas_insertadas, 'Completado' AS estado,
   strftime(DATE '{AS_OF}', '%Y-%m') AS periodo_datos
   FROM (SELECT id_archivo, id_carga, 'principal' AS hoja_procesada, tipo_fila FROM main_kind
-        UNION ALL SELECT id_archivo, id_carga, 'lotes', tipo_fila FROM lots_kind) k
+        UNION ALL SELECT id_archivo, id_carga, 'lotes', tipo_fila FROM lots_kind
+        UNION ALL SELECT id_archivo, id_carga, 'catalogo', tipo_fila FROM cat_kind
+        UNION ALL SELECT id_archivo, id_carga, 'movimientos', tipo_fila FROM kar_kind) k
   GROUP BY id_archivo, id_carga, hoja_procesada)"""
 
 
@@ -106,5 +108,7 @@ def kinds(t: Inputs, kind: str) -> DataFrame:
 
 
 def loads(t: Inputs) -> DataFrame:
-    rows = kinds(t, "principal").unionByName(kinds(t, "lotes"))
+    rows = kinds(t, "principal")
+    for kind in ("lotes", "catalogo", "movimientos"):
+        rows = rows.unionByName(kinds(t, kind))
     return load_log(rows, ["id_archivo", "id_carga", "hoja_procesada"], F.lit(AS_OF).cast("date"))

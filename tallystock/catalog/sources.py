@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallystock import fixed_values as V
 from tallystock.catalog.inputs import AS_OF, Inputs, with_inputs
-from tallystock.catalog.quality_sql import LOADS, LOTS, MAIN, SHEET_INPUTS, loads
+from tallystock.catalog.quality_sql import MAIN, SHEET_INPUTS
 from tallystock.catalog.registry import query
 from tallystock.catalog.reports import MOVEMENT_INPUTS, MOVEMENTS
 from tallystock.catalog.rules_sql import CLASSIFIED
@@ -24,13 +24,6 @@ from tallystock.sources import sheets as H
 from tallystock.sources import tables as T
 
 
-@query("scan_sheet", f"""{SHEET_INPUTS}, {LOTS}
-SELECT id_archivo, id_carga, fila_excel, lote_raw, codigo_raw, nombre_raw, estado AS estado_lote_raw, fisico_raw,
-       sistema_raw, diferencia_raw, observacion_raw, venc AS fecha_venc_raw, almacenaje_raw FROM lots_cells""")
-def _scan_sheet(t: Inputs) -> DataFrame:
-    return t.sheet("lotes")
-
-
 @query("route_sheets", f"""{with_inputs('inv_workbook')}, alias(orden, hoja, tipo) AS (VALUES
   (0, 'Fertilisa', 'principal'), (1, 'Manvert, Jiffy', 'lotes'), (2, 'Manvert,Jiffy', 'lotes'),
   (3, 'Manvert Jiffy', 'lotes'), (4, 'LISTA DE PRODUCTOS', 'catalogo'), (5, 'EJEMPLO DATOS KARDEX', 'movimientos')),
@@ -47,14 +40,6 @@ def _route(t: Inputs) -> DataFrame:
     return H.route_sheets(books).unionByName(missing)
 
 
-@query("discover_files", f"""{with_inputs('inv_file')}
-SELECT id_archivo_log, nombre_archivo, hash_md5 FROM inv_file
-WHERE nombre_archivo LIKE '%.xlsx' AND NOT starts_with(nombre_archivo, '~$')""")
-def _discover(t: Inputs) -> DataFrame:
-    listed = t["inv_file"].select("id_archivo_log", "nombre_archivo", "hash_md5")
-    return listed.where(L.is_workbook_name(F.col("nombre_archivo"))).orderBy("nombre_archivo")
-
-
 # Files of earlier runs are the log; the others arrive in this run.
 _RUN = """logged AS (SELECT hash_md5, 'Procesado' AS estado FROM inv_file WHERE id_archivo_log % 10 = 0),
 arrived AS (SELECT * FROM inv_file WHERE id_archivo_log % 10 <> 0),
@@ -76,30 +61,6 @@ def _dedupe(t: Inputs) -> DataFrame:
     return _run(t)[1]
 
 
-@query("run_summary", f"""{with_inputs('inv_file')}, {_RUN}, s AS (
-SELECT CASE WHEN c.id_archivo_log IS NULL THEN 'Duplicado' WHEN a.caracteres < 200 THEN 'Error' ELSE 'Procesado' END AS estado
-FROM arrived a LEFT JOIN accepted c ON c.id_archivo_log = a.id_archivo_log)
-SELECT count(*) FILTER (estado = 'Procesado') AS exitosos, count(*) FILTER (estado = 'Duplicado') AS duplicados,
-       count(*) FILTER (estado = 'Error') AS errores FROM s""")
-def _summary(t: Inputs) -> DataFrame:
-    arrived, accepted = _run(t)
-    # A very short file stands for a workbook that cannot be opened.
-    state = F.when(F.col("duplicado"), "Duplicado").when(F.col("caracteres") < 200, "Error").otherwise("Procesado")
-    return L.run_summary(L.mark_files(arrived, accepted, "id_archivo_log").withColumn("estado", state))
-
-
-@query("file_log", f"""{with_inputs('inv_file_event')}
-SELECT id_archivo_log, nombre_archivo, hash_md5, estado, total_filas_raw, mensaje FROM (
-  SELECT *, row_number() OVER (PARTITION BY id_archivo_log ORDER BY evento DESC) AS r FROM inv_file_event) x WHERE r = 1""")
-def _file_log(t: Inputs) -> DataFrame:
-    return L.file_log(t["inv_file_event"])
-
-
-@query("load_log", f"{SHEET_INPUTS}, {MAIN}, {LOTS}, {LOADS} SELECT * FROM loads")
-def _load_log(t: Inputs) -> DataFrame:
-    return loads(t)
-
-
 @query("table_scan", "SELECT p_partkey, p_name, p_brand FROM part")
 def _table_scan(t: Inputs) -> DataFrame:
     return T.table_scan(t.spark, t.path("part"), ["p_partkey", "p_name", "p_brand"])

@@ -64,7 +64,7 @@ def with_flags(rows: DataFrame, kind: str) -> DataFrame:
     return rows.withColumns(flags(kind)).withColumn("lnd_listo_para_stg", ready)
 
 
-def _prepared(rows: DataFrame, kind: str) -> DataFrame:
+def prepared_rows(rows: DataFrame, kind: str) -> DataFrame:
     """Cells that are rewritten before they are stored."""
     if kind == "lotes":
         return rows.withColumns({
@@ -76,18 +76,23 @@ def _prepared(rows: DataFrame, kind: str) -> DataFrame:
     return rows
 
 
+def classify_rows(sheet: DataFrame, kind: str, keys: list[str]) -> DataFrame:
+    """All rows of one kind of sheet with their kind (``tipo_fila``); main sheets with the section carried down."""
+    rows = sheet.withColumn("tipo_fila", row_kind(kind))
+    if kind == "principal":
+        # A section row sits among rows that are neither empty nor headers.
+        title = F.when(F.col("tipo_fila") == "seccion", cells.section_name(F.col("codigo_raw")))
+        rows = fill_down(rows.withColumn("_title", title), "_title", keys, "fila_excel", "categoria_raw").drop("_title")
+    return rows
+
+
 def land(sheet: DataFrame, kind: str, keys: list[str] | None = None) -> DataFrame:
     """Landing rows of one kind of sheet: cleaned cells, section carried down, flags.
 
     Empty, header and section rows are counted by ``row_counters`` but not stored.
     """
-    rows = sheet.withColumn("tipo_fila", row_kind(kind))
-    if kind == "principal":
-        # A section row sits among rows that are neither empty nor headers.
-        title = F.when(F.col("tipo_fila") == "seccion", cells.section_name(F.col("codigo_raw")))
-        rows = fill_down(rows.withColumn("_title", title), "_title", keys or ["id_carga"], "fila_excel",
-                         "categoria_raw").drop("_title")
-    data = _prepared(rows.where(F.col("tipo_fila") == "dato").drop("tipo_fila"), kind)
+    rows = classify_rows(sheet, kind, keys or ["id_carga"])
+    data = prepared_rows(rows.where(F.col("tipo_fila") == "dato").drop("tipo_fila"), kind)
     if kind in ("principal", "lotes"):
         data = data.withColumns({"es_fila_seccion": F.lit(False), "es_fila_vacia": F.lit(False)})
     return with_flags(data, kind)
@@ -95,7 +100,7 @@ def land(sheet: DataFrame, kind: str, keys: list[str] | None = None) -> DataFram
 
 def row_counters(sheet: DataFrame, kind: str, keys: list[str]) -> DataFrame:
     """Rows read, empty, section, header and inserted, and warnings raised, in one pass."""
-    rows = with_flags(_prepared(sheet.withColumn("tipo_fila", row_kind(kind)), kind), kind)
+    rows = with_flags(prepared_rows(sheet.withColumn("tipo_fila", row_kind(kind)), kind), kind)
     k = F.col("tipo_fila")
     raised = F.when(k == "dato", sum((F.when(c, 1).otherwise(0) for _, _, c, _ in warning_rules(kind)), F.lit(0)))
     return rows.groupBy(*keys).agg(
@@ -126,7 +131,7 @@ def load_sheet(sheet: DataFrame, kind: str, path: str, keys: list[str], load: st
 
 # Load log column -> staging column. Empty rows are stored as rejected ones.
 STAGING_LOAD = {
-    "id_carga": ("id_carga", "int"), "nombre_archivo": ("nombre_archivo", "string"), "hoja_procesada": ("hoja", "string"),
+    "id_carga": ("id_carga", "bigint"), "nombre_archivo": ("nombre_archivo", "string"), "hoja_procesada": ("hoja", "string"),
     "filas_leidas": ("total_filas_raw", "int"), "filas_vacias": ("filas_rechazadas", "int"),
     "filas_insertadas": ("filas_validas", "int"), "estado": ("estado", "string"),
 }
@@ -159,15 +164,25 @@ def warning_rules(kind: str) -> list[tuple[str, str, Column, Column]]:
     ]
 
 
+def warning_mask(kind: str) -> Column:
+    """The warnings of a landed row as one number; bit i stands for rule i of ``warning_rules``."""
+    return sum((F.when(condition, 1 << bit).otherwise(0) for bit, (_, _, condition, _) in enumerate(warning_rules(kind))), F.lit(0))
+
+
 def warnings(landed: DataFrame, kind: str, keys: list[str]) -> DataFrame:
-    """Error-log rows: one per landed row and warning it raises."""
-    entries = [
-        F.when(condition, F.struct(F.lit(rule).alias("regla_violada"), F.lit(field).alias("campo_erroneo"),
-                                   value.alias("valor_recibido")))
-        for rule, field, condition, value in warning_rules(kind)
-    ]
-    raised = F.explode(F.array_compact(F.array(*entries))).alias("_entry")
-    return landed.select(*keys, raised).select(*keys, "_entry.*", F.lit("WARNING").alias("severidad"))
+    """Error-log rows: one per landed row and warning it raises.
+
+    Rows without a warning are gone before anything is generated; the others are repeated once for each bit of their mask.
+    """
+    rules = warning_rules(kind)
+    masked = landed if "lnd_avisos" in landed.columns else landed.withColumn("lnd_avisos", warning_mask(kind))
+    fields = sorted({field for _, field, _, _ in rules})
+    raised = masked.where(F.col("lnd_avisos") > 0).select(*keys, *[c for c in fields if c not in keys], "lnd_avisos")
+    table = F.array(*[F.struct(F.lit(1 << bit).alias("_bit"), F.lit(rule).alias("regla_violada"), F.lit(field).alias("campo_erroneo"))
+                      for bit, (rule, field, _, _) in enumerate(rules)])
+    rows = raised.select("*", F.inline(F.filter(table, lambda e: F.col("lnd_avisos").bitwiseAND(e["_bit"]) != 0)))
+    value = F.coalesce(*[F.when(F.col("_bit") == 1 << bit, received) for bit, (_, _, _, received) in enumerate(rules)])
+    return rows.select(*keys, "regla_violada", "campo_erroneo", value.alias("valor_recibido"), F.lit("WARNING").alias("severidad"))
 
 
 def ready_rows(landed: DataFrame, loads: DataFrame, kind: str) -> DataFrame:

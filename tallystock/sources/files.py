@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,16 +15,27 @@ def is_workbook_name(name: Column) -> Column:
     return name.endswith(".xlsx") & ~name.startswith("~$")
 
 
+MAX_FILE_BYTES = 2_000_000_000  # beyond that, the content does not fit one cell of the binary reader
+
+
 def discover_files(spark: SparkSession, folder: str, pattern: str = "*.xlsx") -> DataFrame:
-    """Name, path, size and MD5 of the workbooks in a folder, in name order."""
+    """Name, path, size and MD5 of the workbooks in a folder, in name order.
+
+    A file too large to be hashed is listed without a hash and its content is not read. Readers skip files without a byte; these
+    come from the listing that the reader holds.
+    """
     listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
     name = F.element_at(F.split("path", "/"), -1)
-    return (
-        listed.select(name.alias("nombre_archivo"), F.col("path").alias("ruta_origen"),
-                      F.col("length").alias("tamanio_bytes"), F.md5("content").alias("hash_md5"))
-        .where(~F.col("nombre_archivo").startswith("~$"))
-        .orderBy("nombre_archivo")
-    )
+    about = [name.alias("nombre_archivo"), F.col("_metadata.file_path").alias("ruta_origen"), F.col("length").alias("tamanio_bytes")]
+    hashed = listed.where(F.col("length") <= MAX_FILE_BYTES).select(*about, F.md5("content").alias("hash_md5"))
+    large = listed.where(F.col("length") > MAX_FILE_BYTES).select(*about, F.lit(None).cast("string").alias("hash_md5"))
+    names = [(unquote(path.rsplit("/", 1)[-1]),) for path in listed.inputFiles()]
+    empty = spark.createDataFrame(names, "nombre_archivo string").join(
+        listed.select(name.alias("nombre_archivo")), "nombre_archivo", "left_anti").select(
+        "nombre_archivo", F.concat(F.lit(folder.rstrip("/") + "/"), "nombre_archivo").alias("ruta_origen"),
+        F.lit(0).cast("bigint").alias("tamanio_bytes"), F.md5(F.lit("")).alias("hash_md5"))
+    return hashed.unionByName(large).unionByName(empty).where(
+        ~F.col("nombre_archivo").startswith("~$")).orderBy("nombre_archivo")
 
 
 def dedupe_files_md5(files: DataFrame, log: DataFrame, order: str) -> DataFrame:

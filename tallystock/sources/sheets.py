@@ -1,12 +1,21 @@
-"""Positional, all-text count sheets."""
+"""Positional, all-text count sheets.
+
+A sheet comes as lines of comma-separated cells, in double quotes where a cell holds a comma or a quote. A line starts with
+the row's number in the sheet; in a workbook of several sheets the sheet's name comes first. A cell that holds a real
+date is written as a date-time (``2026-08-15T00:00:00``) and read as its day; any other cell is text.
+
+Lines are read one by one, so that a large file is split among tasks. Nothing of a line is lost: cells beyond the
+sheet's width, and whole lines that cannot be read (a quote that is not closed, a row number that is none), are kept
+aside in ``rescatado``. A short line lacks its last cells, as sheets leave them out.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystock import fixed_values as V
-from tallystock.functions.cells import clean_cell
+from tallystock.functions.cells import clean_cell, date_cell
 from tallystock.sources.seeds import literal_table
 
 # Column positions per kind of sheet, and the first row that holds data.
@@ -26,6 +35,26 @@ LAYOUTS = {
 SHEET_WIDTH = 12
 
 
+_CELL = r',("[^"]*+(?:""[^"]*+)*+"|(?!")[^,]*+)'
+_DATE_TIME = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?$"
+
+
+def split_line(line: Column) -> Column:
+    """The cells of a line, still in their quotes."""
+    return F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_CELL), F.lit(1))
+
+
+def unquoted(cell: Column) -> Column:
+    inside = F.substring(cell, F.lit(2), F.length(cell) - 2)
+    return F.when(cell.startswith('"'), F.replace(inside, F.lit('""'), F.lit('"'))).otherwise(cell)
+
+
+def typed_cell(c: Column) -> Column:
+    """The text of a cell; a date-time becomes the text of its day."""
+    is_date = (F.substring(c, 11, 1) == "T") & c.rlike(_DATE_TIME)
+    return F.when(is_date, F.coalesce(date_cell(F.when(is_date, c).try_cast("timestamp_ntz")), c)).otherwise(c)
+
+
 def positional(df: DataFrame, kind: str, cells: str = "celdas") -> DataFrame:
     """Named, trimmed cells from an array of cells; a short row gives nulls."""
     layout, first_row = LAYOUTS[kind]
@@ -34,14 +63,43 @@ def positional(df: DataFrame, kind: str, cells: str = "celdas") -> DataFrame:
     return df.where(F.col("fila_excel") >= first_row).select(*keep, *named)
 
 
-def scan_sheet(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """Sheets exported as comma-separated text, one file per sheet, row number first."""
-    names = [f"c{i}" for i in range(SHEET_WIDTH)]
-    schema = "fila_excel int, " + ", ".join(f"{n} string" for n in names)
-    raw = spark.read.schema(schema).csv(path, header=False, ignoreLeadingWhiteSpace=False,
-                                        ignoreTrailingWhiteSpace=False, multiLine=False)
-    file_name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    return positional(raw.select(file_name.alias("archivo"), "fila_excel", F.array(*names).alias("celdas")), kind)
+def read_lines(spark: SparkSession, path: str | list[str], leading: int) -> DataFrame:
+    """Rows (ruta, guia, fila_excel, celdas, rota, rescatado) of text files, one for each line.
+
+    ``guia`` holds the ``leading`` cells before the row number, ``celdas`` the cells of the sheet. ``rota`` marks lines that
+    cannot be read; their row number is null and ``rescatado`` holds them whole.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("ruta"), "value", split_line(F.col("value")).alias("_cells"))
+    # Cells that do not make up the line again have left something out.
+    whole = lines.withColumn("_whole", F.array_join("_cells", ",") == F.col("value")).withColumn(
+        "_cells", F.transform("_cells", unquoted))
+    row = F.when(F.col("_whole"), F.trim(F.get("_cells", F.lit(leading))).try_cast("int"))
+    found = whole.withColumn("fila_excel", row).withColumn("rota", F.col("fila_excel").isNull())
+    width = leading + 1 + SHEET_WIDTH
+    beyond = F.when(F.size("_cells") > width, F.array_join(F.slice("_cells", F.lit(width + 1), F.size("_cells")), ","))
+    return found.select(
+        "ruta", F.slice("_cells", 1, leading).alias("guia"), "fila_excel", F.transform(
+            F.slice("_cells", leading + 2, SHEET_WIDTH), typed_cell).alias("celdas"), "rota",
+        F.when(F.col("rota"), F.col("value")).otherwise(beyond).alias("rescatado"))
+
+
+def scan_sheet(spark: SparkSession, path: str | list[str], kind: str) -> DataFrame:
+    """Sheets exported as text, one file per sheet, row number first. Lines that cannot be read are left out here;
+    ``read_lines`` has them."""
+    raw = read_lines(spark, path, 0).where(~F.col("rota"))
+    file_name = F.element_at(F.split("ruta", "/"), -1)
+    return positional(raw.select(file_name.alias("archivo"), "fila_excel", "rescatado", "celdas"), kind)
+
+
+def scan_workbooks(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Rows (ruta, hoja, fila_excel, celdas, rota, rescatado) of workbooks exported as text, sheet name and row number first."""
+    return read_lines(spark, path, 1).select(
+        "ruta", F.get("guia", F.lit(0)).alias("hoja"), "fila_excel", "celdas", "rota", "rescatado")
+
+
+def aliases(kind: str) -> list[str]:
+    """The names a sheet of a kind goes by."""
+    return [name for name, own in V.SHEET_ALIASES if own == kind]
 
 
 def route_sheets(sheets: DataFrame, file_key: str = "id_archivo", name: str = "hoja") -> DataFrame:
