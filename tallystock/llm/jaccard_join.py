@@ -320,18 +320,27 @@ def jaccard_join(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     return found.select("id", "n_shingles", "node", component.alias("component_id")), links
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores after it until no column of ``docs`` begins with it."""
+    while any(c.lower().startswith(name) for c in docs.columns):
+        name += "_"
+    return name
+
+
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` without near copies: of each group the text of the smallest id stays, in one row.
 
     Rows whose text has no words stay, all of them.
     """
-    members, _ = jaccard_join(docs, id_column, text)
-    chosen = members.where(F.col("node").isNull() | F.col("id").eqNullSafe(F.col("component_id"))).select(
-        F.col("id").alias("_id"), F.col("node").isNull().alias("_empty")).groupBy("_id").agg(F.max("_empty").alias("_empty"))
-    stay = docs.join(chosen, docs[id_column].eqNullSafe(F.col("_id")))
-    copies = Window.partitionBy("_id", F.xxhash64(text)).orderBy(F.lit(0))
-    blank = ~F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    return stay.withColumn("_copy", F.row_number().over(copies)).where(blank | (F.col("_copy") == 1)).select(*docs.columns)
+    key, copy = (unused(docs, name) for name in ("_key", "_copy"))
+    # Rows of one id may lie in several groups, so a row is known by its id and text.
+    whole = docs.withColumn(key, F.struct(F.col(id_column).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("hash")))
+    members, _ = jaccard_join(whole, key, text)
+    chosen = members.where(F.col("node").isNull() | F.col("id").eqNullSafe(F.col("component_id"))).groupBy(F.col("id").alias("_id")).agg(
+        F.bool_or(F.col("node").isNull()).alias("_empty"))
+    stay = whole.join(chosen.select(F.col("_id").alias(key + "_"), F.col("_empty").alias(copy + "_")), F.col(key).eqNullSafe(F.col(key + "_")))
+    copies = Window.partitionBy(key).orderBy(F.xxhash64(*docs.columns))
+    return stay.withColumn(copy, F.row_number().over(copies)).where(F.col(copy + "_") | (F.col(copy) == 1)).select(*docs.columns)
 
 
 def op10(spark, sf_dir: str) -> DataFrame:

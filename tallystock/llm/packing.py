@@ -51,7 +51,8 @@ def token_pieces(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path, added).encode
+        library = encoder(path, added)
+        encode = library.encode
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for first, part in slices(batch.column(1)):
@@ -69,6 +70,7 @@ def token_pieces(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
                 yield pa.RecordBatch.from_arrays(
                     [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)],
                     schema=arrow)
+        library.drop_cache()  # the worker may serve other work after this partition
     return docs.select(id_column, text).mapInArrow(rows, schema)
 
 

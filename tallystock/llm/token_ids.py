@@ -50,6 +50,10 @@ class Encoder:
                            and type(self.model).__name__ == "BPE")
         self.line_break = self._whole("\n")
 
+    def drop_cache(self) -> None:
+        self.cache.clear()
+        self.marks = {"": b""}
+
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
