@@ -2,11 +2,16 @@
 
 Every stage takes (spark, docs, sf_dir), works on all that its predecessor kept, and returns a DataFrame; all but the
 last return the columns of documents. Between stages the rows are written as Parquet and read again.
+
+Defined cases: columns besides doc_id and text, whatever they are called, come back as they were (n_chars, if there is one, counts
+the new text); to the operators they are one column, so no name can clash. A null or empty text fails the quality rules. Rows
+of one doc_id are documents of their own; rows whose texts are near copies or equal leave one, of the smallest id, a null id first.
+An empty table gives no rows in any stage.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystock.llm.jaccard_join import keep_one
@@ -18,31 +23,50 @@ from tallystock.llm.substring_dedup import substring_dedup
 from tallystock.session import materialize
 
 
+_OTHERS = "other_columns"
+
+
+def _apart(docs: DataFrame) -> DataFrame:
+    """``docs`` as doc_id, text and one column of all others."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(F.lit(0).alias("doc_id"), *others).alias(_OTHERS))
+
+
+def _whole(found: DataFrame, docs: DataFrame, text: Column | None = None) -> DataFrame:
+    """The columns of ``docs`` from a table made of _apart(docs), with a new ``text`` or its own."""
+    value = {c: F.col(_OTHERS)[c] for c in docs.columns} | {"doc_id": F.col("doc_id"), "text": F.col("text")}
+    if text is not None:
+        found = found.withColumn("_new_text", text)
+        value["text"] = F.col("_new_text")
+        if "n_chars" in docs.columns:
+            value["n_chars"] = F.length("_new_text").cast(docs.schema["n_chars"].dataType)
+    return found.select(*[c.alias(name) for name, c in value.items()])
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the rules or score below the threshold go."""
     ship(spark)
-    model = fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return judge(docs, model).where("kept").select(*docs.columns)
+    own = _apart(docs)
+    model = fit_quality(own, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return _whole(judge(own, model).where("kept"), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document of the smallest id stays."""
     ship(spark)
-    return keep_one(docs)
+    return _whole(keep_one(_apart(docs)), docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that occur again are cut out of all texts; documents stay, also those that are empty then."""
     ship(spark)
-    cut = substring_dedup(docs, layout=True)
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
-    return cut.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return _whole(substring_dedup(_apart(docs), layout=True), docs, F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text")))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are overwritten by a mark."""
-    found = redact(find_secrets(docs, fit_secret_model(docs)))
-    return found.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    own = _apart(docs)
+    return _whole(redact(find_secrets(own, fit_secret_model(own))), docs, F.col("text"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
