@@ -1,10 +1,15 @@
 """Secret scan: character Markov models of random strings and ordinary identifiers, by log-likelihood ratio.
 
 Fixed patterns find assignments, access keys and long hex runs. Every other run of MIN_RUN or more characters out of
-letters, digits and ``+/_=-`` is scored by two first-order character models, one of random strings and one
-of ordinary identifiers; a run whose log-likelihood ratio reaches the threshold is a secret too (kind
-``markov``). The samples are labelled by the patterns: values that a pattern found in the corpus, and SEEDED
-strings derived from hashes, are random; all other runs of the corpus are ordinary.
+letters, digits and ``+/_=-`` is scored by two first-order character models, one of random strings and one of ordinary
+identifiers: the log-likelihood ratio of its characters, less DRIFT for each, summed over the stretch where that is
+largest. A run whose best stretch reaches the threshold is a secret too (kind ``markov``), also behind an ordinary path.
+
+The samples are labelled by the patterns: values that a pattern found in the corpus are random, all other runs of the
+corpus are ordinary. Samples by construction join them: strings derived from SEEDED hashes, and for the ordinary class long numbers
+and the names in NAMED modules of the standard library, as they are and in paths. A
+model is a mixture of fixed shares of its samples and of a uniform one, so a verdict does not depend on the size of the
+corpus: ten copies of it give the same model.
 
 Only built-in functions run on the text; there is no shuffle but for the few thousand character pair counts.
 
@@ -16,6 +21,7 @@ an empty table gives no rows; all columns of the input stay, results replace col
 from __future__ import annotations
 
 import math
+from importlib import import_module
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +36,14 @@ MIN_RUN = 16
 RUN = rf"[A-Za-z0-9+/_=-]{{{MIN_RUN},}}"
 KINDS = ["assign", "access", "hex", "markov"]
 SEEDED = 2048
-THRESHOLD = 14.0  # nats: a chance of about one in a million for an ordinary run
+THRESHOLD = 12.0  # nats: a chance of about one in 160,000 for an ordinary stretch
+DRIFT = 0.25  # nats a character
+LETTERS = 67
+# Shares of the samples in the models of a class, where a character occurs in them, and of the uniform model.
+CORPUS_SHARE, SEEDED_SHARE = {True: 0.3, False: 0.5}, {True: 0.6, False: 0.4}
+UNIFORM_SHARE = 0.1
+NAMED = ["argparse", "asyncio", "builtins", "collections", "datetime", "inspect", "logging", "os", "pathlib", "subprocess", "threading",
+         "typing", "unittest", "urllib.request"]
 _BLOCK = 256
 _FOUND = "array<struct<start:int,end:int,value:string>>"
 
@@ -81,26 +94,50 @@ def _codes(value: Column) -> Column:
 
 
 def _pair_counts(samples: DataFrame) -> DataFrame:
-    """Rows (random, pair, n) of neighbouring characters of samples (random, value)."""
-    codes = samples.select("random", _codes(F.col("value")).alias("c")).where(F.size("c") > 1)
+    """Rows (random, seeded, pair, n) of neighbouring characters of samples (random, seeded, value)."""
+    codes = samples.select("random", "seeded", _codes(F.col("value")).alias("c")).where(F.size("c") > 1)
     pairs = F.zip_with(F.slice("c", F.lit(1), F.size("c") - 1), F.slice("c", F.lit(2), F.size("c") - 1),
                        lambda a, b: a * 128 + b)
-    return codes.select("random", F.explode(pairs).alias("pair")).where(
-        "pair >= 0 and pair < 16384").groupBy("random", "pair").agg(F.count("*").alias("n"))
+    return codes.select("random", "seeded", F.explode(pairs).alias("pair")).where(
+        "pair >= 0 and pair < 16384").groupBy("random", "seeded", "pair").agg(F.count("*").alias("n"))
+
+
+def _names() -> list[str]:
+    """Identifiers of the NAMED modules and paths made of them."""
+    names = sorted({name.strip("_") for module in NAMED for name in dir(import_module(module))} - {""})
+    return names + ["/".join(x.lower() for x in names[k::97][:6]) for k in range(97)]
 
 
 def _seeded(spark) -> DataFrame:
-    """Random strings by construction: hashes of the numbers below SEEDED in base64 and in hexadecimal digits."""
+    """Samples by construction: hashes of the numbers below SEEDED in base64 and hexadecimal digits, and as long numbers; names."""
     digest = F.sha2(F.col("id").cast("string"), 256)
-    return spark.range(SEEDED).select(F.explode(F.array(
-        F.substring(F.base64(F.unhex(digest)), 1, 40), digest, F.upper(F.substring(digest, 1, 20)))).alias("value")
-    ).select(F.lit(True).alias("random"), "value")
+    number = F.conv(F.substring(digest, 25, 15), 16, 10)
+    sample = lambda random, value: F.struct(F.lit(random).alias("random"), value.alias("value"))
+    names = spark.range(1).select(F.explode(F.split(F.lit(" ".join(_names())), " ")).alias("value")).select(
+        F.lit(False).alias("random"), "value")
+    hashes = spark.range(SEEDED).select(F.inline(F.array(
+        sample(True, F.substring(F.base64(F.unhex(digest)), 1, 40)), sample(True, F.substring(digest, 1, 16)),
+        sample(True, F.upper(F.substring(digest, 17, 8))), sample(False, number))))
+    return hashes.unionByName(names).withColumn("seeded", F.lit(True))
+
+
+def _chances(counts: dict[tuple[bool, int], int], random: bool) -> list[float]:
+    """Chance of each second character after the first (128 x 128) in the model of a class."""
+    rows = {s: [sum(counts.get((s, a * 128 + b), 0) for b in range(128)) for a in range(128)] for s in (False, True)}
+    shares = {False: CORPUS_SHARE[random], True: SEEDED_SHARE[random]}
+    out = []
+    for pair in range(16384):
+        held = {s: shares[s] for s in shares if rows[s][pair // 128]}
+        found = sum(share * counts.get((s, pair), 0) / rows[s][pair // 128] for s, share in held.items())
+        uniform = UNIFORM_SHARE if held else 1.0
+        out.append(found * (1 - uniform) / (sum(held.values()) or 1) + uniform / LETTERS)
+    return out
 
 
 def fit_secret_model(docs: DataFrame, text: str = "text") -> list[float]:
     """Log ratio of each pair of characters (128 x 128), from all runs of ``docs``.
 
-    The driver gets at most one count per pair and class.
+    The driver gets at most one count per pair, class and source.
     """
     found = _located(docs.select(text), text)
     values = F.concat(
@@ -108,24 +145,25 @@ def fit_secret_model(docs: DataFrame, text: str = "text") -> list[float]:
             s["value"], ASSIGN, 2).alias("value"))),
         F.transform(F.concat("_access", "_hex"), lambda s: F.struct(F.lit(True).alias("random"), s["value"].alias("value"))),
         F.transform("_runs", lambda s: F.struct(F.lit(False).alias("random"), s["value"].alias("value"))))
-    samples = found.select(F.inline(values)).unionByName(_seeded(docs.sparkSession))
-    counts = {True: [0] * 16384, False: [0] * 16384}
-    for random, pair, n in _pair_counts(samples).collect():
-        counts[random][pair] = n
-    if not any(counts[False]):
+    samples = found.select(F.inline(values)).withColumn("seeded", F.lit(False)).unionByName(_seeded(docs.sparkSession))
+    counts: dict[bool, dict[tuple[bool, int], int]] = {True: {}, False: {}}
+    for random, seeded, pair, n in _pair_counts(samples).collect():
+        counts[random][seeded, pair] = n
+    if not any(not seeded for seeded, _ in counts[False]):
         return [0.0] * 16384
-    alphabet = 67
-    rows = {k: [sum(v[a * 128:a * 128 + 128]) for a in range(128)] for k, v in counts.items()}
-    log = lambda k, p: math.log((counts[k][p] + 0.5) / (rows[k][p // 128] + 0.5 * alphabet))
-    return [round(log(True, p) - log(False, p), 9) for p in range(16384)]
+    return [round(math.log(a / b), 9) for a, b in zip(_chances(counts[True], True), _chances(counts[False], False), strict=True)]
 
 
 def _score(value: Column, model: list[float]) -> Column:
+    """The largest sum of log ratios, less the drift, over a stretch of neighbouring characters."""
     weights = F.split(F.lit(",".join(map(str, model))), ",").cast("array<double>")
-    start = F.struct(F.lit(-1).alias("before"), F.lit(0.0).alias("total"))
-    step = lambda a, c: F.struct(c.alias("before"), (a["total"] + F.when(
-        a["before"] < 0, F.lit(0.0)).otherwise(F.get(weights, a["before"] * 128 + c))).alias("total"))
-    return F.aggregate(_codes(value), start, step, lambda a: a["total"])
+    start = F.struct(F.lit(-1).alias("before"), F.lit(0.0).alias("total"), F.lit(0.0).alias("best"))
+
+    def step(a: Column, c: Column) -> Column:
+        gain = F.when(a["before"] < 0, F.lit(0.0)).otherwise(F.get(weights, a["before"] * 128 + c) - DRIFT)
+        total = F.greatest(a["total"] + gain, F.lit(0.0))
+        return F.struct(c.alias("before"), total.alias("total"), F.greatest(a["best"], total).alias("best"))
+    return F.aggregate(_codes(value), start, step, lambda a: a["best"])
 
 
 def find_secrets(docs: DataFrame, model: list[float], text: str = "text", threshold: float = THRESHOLD) -> DataFrame:

@@ -66,3 +66,31 @@ def test_query_plan_has_no_python(spark):
     assert not re.search("Python|Arrow|Pandas", plan)
     row = df.first()
     assert row.base_sha256 == hashlib.sha256(b"").hexdigest() or row.n_assign + row.n_access + row.n_hex
+
+
+def _strings(r, letters, length, n=50):
+    return ["".join(r.choice(letters) for _ in range(length)) for _ in range(n)]
+
+
+def test_verdicts_do_not_depend_on_the_size_of_the_corpus(docs):
+    r = random.Random(5)
+    train = [(k, prose(r, 200) + f" some_ordinary_identifier_name src/main/handler/file_{k} token=" + "".join(r.choice("abcdefXYZ019") for _ in range(20)))
+             for k in range(30)]
+    once, often = s.fit_secret_model(docs(train)), s.fit_secret_model(docs(train * 10))
+    assert once == often
+
+
+def test_recall_by_alphabet_and_ordinary_strings_left_alone(spark, docs):
+    r = random.Random(6)
+    upper, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    words = "server index handler config user model request table service util project source library common".split()
+    ordinary = ["/".join(["src", *r.choices(words, k=r.randint(3, 9))]) for _ in range(60)]
+    ordinary += ["_".join(r.choices(words, k=4)) for _ in range(60)] + ["".join(w.title() for w in r.choices(words, k=4)) for _ in range(60)]
+    ordinary += ["-".join(r.choices(words, k=4)) + "-2024-01-15" for _ in range(60)] + _strings(r, digits, 20, 60)
+    secret = {n: _strings(r, upper + upper.lower() + digits, n) for n in (20, 32)} | {"upper": _strings(r, upper + digits, 32)}
+    behind = ["/".join(["src", *r.choices(words, k=6), x]) for x in secret[32]]
+    for corpus in ([(k, prose(r, 300)) for k in range(3)], [(k, prose(r, 300) + " an_ordinary_name_of_something") for k in range(60)]):
+        model = s.fit_secret_model(docs([*corpus, (1000, "another_ordinary_identifier")]))
+        found = lambda strings, model=model: sum(len(x.secrets) > 0 for x in s.find_secrets(docs(list(enumerate(strings))), model).collect())
+        assert found(ordinary) <= 3
+        assert found(secret[20]) >= 45 and found(secret[32]) >= 48 and found(secret["upper"]) >= 45 and found(behind) >= 47
