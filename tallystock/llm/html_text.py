@@ -3,7 +3,8 @@
 A page becomes a stream of block tags, text slots and template texts. A text is template where its host repeats it: on
 MIN_PAGES different pages or more, and either on half of the pages that have its path of enclosing blocks, or in a path
 whose number of different texts is at most the root of its number of pages. Spark counts that over all pages; pages whose
-candidate texts are all the same count as one. Adjacent repeats of a group fold into one repeated group. The streams
+candidate texts are all the same count as one. Texts inside ``article`` or ``main`` are never template, however often
+the host repeats them: such blocks hold the article's own headings and closing lines. Adjacent repeats of a group fold into one repeated group. The streams
 of a host are aligned one after the other: what both have stays, what only one has becomes optional. The result is
 the host's wrapper; its text slots are those that vary, and they hold the article: those inside ``article`` or
 ``main`` blocks if it has any, otherwise all of them. Names of menus, headers, footers, sidebars, notices, adverts,
@@ -66,10 +67,11 @@ _MARKUP = re.compile(
 _NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 
 
-def _block_name(tag: str, attributes: str) -> str:
+def _block_name(tag: str, attributes: str, in_article: bool = False) -> str:
     """The tag with what it says about its part of the page: ``tag``, ``tag!`` outside the article,
-    ``tag~`` outside it by its class or id, ``tag*`` the article."""
-    outside, named = tag in OUTSIDE, False
+    ``tag~`` outside it by its class or id, ``tag*`` the article. A header in the article holds its headline."""
+    own = {"header"} if in_article else set()
+    outside, named = tag in OUTSIDE - own, False
     inside = tag in ARTICLE
     for kind, *values in _NAMED.findall(attributes):
         value = "".join(values).lower()
@@ -77,7 +79,7 @@ def _block_name(tag: str, attributes: str) -> str:
             outside |= value in OUTSIDE_ROLES
             inside |= value in ("main", "article")
         else:
-            named |= not OUTSIDE_NAMES.isdisjoint(re.split(r"[^a-z]+", value)) and tag not in ("html", "body")
+            named |= not (OUTSIDE_NAMES - own).isdisjoint(re.split(r"[^a-z]+", value)) and tag not in ("html", "body")
     return tag + ("!" if outside else "~" if named else "*" if inside else "")
 
 
@@ -123,7 +125,7 @@ def events(page: str) -> Iterator[tuple[str, str]]:
         elif tag in BLOCKS:
             ends = CLOSES.get(tag, {"p"} if tag not in ("html", "body", "head") else set())
             yield from close(len(stack) - 1) if stack and stack[-1][0] in ends else block()
-            stack.append((tag, _block_name(tag, m[3])))
+            stack.append((tag, _block_name(tag, m[3], any("*" in name for _, name in stack))))
             yield "open", stack[-1][1]
     yield from close(0)
 
@@ -159,6 +161,11 @@ def _key(*parts: str) -> int:
     return int.from_bytes(blake2b("\0".join(parts).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
+def _is_template(path: str, text: str, template: frozenset[int]) -> bool:
+    """Whether the host repeats a text. What the article repeats, its headings say, belongs to it."""
+    return bool(template) and "*" not in path and _key(path, text) in template
+
+
 def stream(page: str, template: frozenset[int] = frozenset()) -> list:
     """The page's tokens: opened and closed blocks, slots and template texts with their path."""
     path: list[str] = []
@@ -171,7 +178,7 @@ def stream(page: str, template: frozenset[int] = frozenset()) -> list:
             tokens.append(f"</{path.pop()}>")
         else:
             at = "/".join(path)
-            token = (TEMPLATE if template and _key(at, value) in template else SLOT) + at
+            token = (TEMPLATE if _is_template(at, value, template) else SLOT) + at
             if tokens[-1:] != [token]:
                 tokens.append(token)
     return fold(tokens)
@@ -227,7 +234,7 @@ def article_paths(wrapper: list) -> set[str]:
 
 def _choices(found: list[tuple[str, str]], paths: set[str], template: frozenset[int]) -> Iterator[list[str]]:
     """What a page may give, best first; with a name in the way only if nothing else is there."""
-    varying = [(p, t) for p, t in found if not template or _key(p, t) not in template]
+    varying = [(p, t) for p, t in found if not _is_template(p, t, template)]
     yield [t for p, t in varying if p in paths]
     for slots_left in (varying, found):
         yield [t for p, t in slots_left if "~" not in p]
@@ -244,11 +251,12 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         hosts, keys, paths, texts = [], [], [], []
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            found = [(_key(p), _key(p, t)) for p, t in slots(page or "") if _allowed(p)]
+            whole = [(p, t) for p, t in slots(page or "") if _allowed(p)]
+            found = [(_key(p), _key(p, t)) for p, t in whole if "*" not in p]
             if found:
                 pairs = sorted({*found, *((p, 0) for p, _ in found)})
                 hosts.append(host)
-                keys.append(_key(*(str(t) for _, t in found)))
+                keys.append(_key(*(x for slot in whole for x in slot)))
                 paths.append([p for p, _ in pairs])
                 texts.append([t for _, t in pairs])
         yield pa.RecordBatch.from_arrays(

@@ -203,3 +203,18 @@ def test_texts_that_a_host_repeats_are_template_whatever_their_block_is_called(s
     got = {x.page_id: x.text for x in html_text.extract_text(
         spark.createDataFrame(pages * 2, "page_id long, url string, html string")).collect()}
     assert got == {k: f"text {k} a\n\ntext {k} b" for k in range(12)} | {20: "Write to us", 21: "all there is"}
+
+
+def test_article_keeps_what_its_host_repeats(spark):
+    """Headings, closing lines and headlines of an article are its own, also where all pages of a host have them."""
+    menu = "<div class='x7'>Start here</div><div class='x8'>All rights reserved by us</div>"
+    dish = [f"<body>{menu}<article><header><h1>Dish {k}</h1></header><h2>Ingredients</h2><p>{k} eggs</p><h2>Method</h2><p>Beat {k} times.</p>"
+            f"<p>Serve at once.</p><footer>Share it</footer></article></body>" for k in range(12)]
+    near = [f"<body>{menu}<main><p>One.</p><p>Two.</p><p>Three.</p><p>tail {k}</p></main></body>" for k in range(4)]
+    rows = [(k, "http://dishes.example/x", x) for k, x in enumerate(dish)] + [(100 + k, "http://near.example/y", x) for k, x in enumerate(near)]
+    got = {x.page_id: x.text.split("\n\n") for x in html_text.extract_text(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in range(12):
+        assert got[k] == [f"Dish {k}", "Ingredients", f"{k} eggs", "Method", f"Beat {k} times.", "Serve at once."]
+    for k in range(4):
+        assert got[100 + k] == ["One.", "Two.", "Three.", f"tail {k}"]

@@ -80,7 +80,9 @@ def test_packing_places_every_piece(spark, leaf, fan):
     rows = packing.pack(df, capacity=64, leaf_items=leaf, fan=fan).collect()
     by = check_sequences(rows, 64)
     assert sorted((x.doc_id or -1, x.length) for x in rows) == sorted((d or -1, n) for d, n, _ in data)
-    assert len(by) <= 1.1 * sum(n for _, n, _ in data) / 64 + 300 / leaf + 1
+    # Two pieces over half a sequence never share one; the leaves and the tree may leave some bins underfull.
+    least = max(sum(n for _, n, _ in data) / 64, sum(n > 32 for _, n, _ in data))
+    assert len(by) <= 1.1 * least + 300 / leaf + 1
 
 
 def test_packing_odd_input(spark, docs):
