@@ -232,6 +232,24 @@ SELECT p_partkey AS id,
        CASE WHEN p_partkey % 11 = 0 THEN NULL
             ELSE CAST(DATE '{AS_OF}' + p_size AS DATE) END AS fecha_vencimiento
 FROM part WHERE p_partkey % 19 <> 0""", []),
+    # Counts, their lines and the warehouses, with breaches of most constraints: codes that repeat, states that are none,
+    # lines that come twice, quantities below zero or missing, keys that point nowhere.
+    "inv_count": (f"""
+SELECT DISTINCT sk_tiempo AS id_toma, concat('TF-', CAST(CAST(floor(sk_tiempo / 20000) AS INT) AS STRING)) AS codigo_toma,
+       CASE WHEN sk_tiempo % 30000 >= 20000 THEN NULL ELSE DATE '{AS_OF}' END AS fecha_inicio, 'Jefe' AS responsable,
+       CASE WHEN sk_tiempo % 50000 < 10000 THEN 'Abierta' ELSE 'Completada' END AS estado
+FROM inv_fact WHERE sk_tiempo <> 19970000 + 1231""", ["inv_fact"]),
+    "inv_count_line": ("""
+SELECT sk_tiempo AS id_toma, sk_producto AS id_producto, sk_marca AS id_bodega,
+       CAST(cantidad_fisica - CASE WHEN sk_producto % 50 = 7 THEN 1000 ELSE 0 END AS DECIMAL(12,2)) AS cantidad_fisica,
+       CASE WHEN sk_producto % 61 <> 0 THEN cantidad_sistema END AS cantidad_sistema, observacion_texto AS observacion
+FROM inv_fact
+UNION ALL SELECT sk_tiempo, sk_producto, sk_marca, cantidad_fisica, cantidad_sistema, 'repetida' FROM inv_fact WHERE sk_producto % 40 = 3""",
+                       ["inv_fact"]),
+    "inv_store": ("""
+SELECT DISTINCT sk_marca AS id_bodega, marca AS codigo_bodega, concat('Bodega ', marca) AS nombre,
+       CASE WHEN sk_marca % 3 = 0 THEN 'Refrigerada' ELSE 'General' END AS tipo_almacenaje
+FROM inv_product WHERE sk_marca <> 4""", ["inv_product"]),
     # Documents as received files.
     "inv_file": ("""
 SELECT doc_id AS id_archivo_log,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallystock.catalog.inputs import Inputs
+from tallystock.catalog.inputs import Inputs, with_inputs
 from tallystock.catalog.quality_sql import CATALOGUE, KARDEX, LOADS, LOTS, MAIN, SHEET_INPUTS, loads
 from tallystock.catalog.registry import pct, query
 from tallystock.catalog.reports import MOVEMENT_INPUTS, MOVEMENTS, movements
@@ -15,7 +15,8 @@ from tallystock.operators.lookups import counts_per_key
 from tallystock.operators.windows import fill_down
 from tallystock.operators.filters import row_kind
 from tallystock.functions import cells
-from tallystock.plans.quality import Check, clean_counts, constraint_checks, declared_checks, land, row_counters, warnings
+from tallystock.plans.constraints import Check, check_tables, constraint_checks, declared_checks, quarantine
+from tallystock.plans.quality import clean_counts, land, row_counters, warnings
 
 _KEYS = ["id_carga", "fila_excel"]
 
@@ -175,10 +176,87 @@ def _constraints(t: Inputs) -> DataFrame:
 
 @query("declared_constraints", f"""{MOVEMENT_INPUTS}, {MOVEMENTS}
 SELECT 'cantidad > 0' AS regla, count(*) AS incumplimientos FROM moves WHERE NOT cantidad > 0
+UNION ALL SELECT 'cantidad no nulo', count(*) FROM moves WHERE cantidad IS NULL
 UNION ALL SELECT 'id_producto no nulo', count(*) FROM moves WHERE id_producto IS NULL
 UNION ALL SELECT 'id_tipo_mov no nulo', count(*) FROM moves WHERE id_tipo_mov IS NULL
 UNION ALL SELECT 'fecha_movimiento no nulo', count(*) FROM moves WHERE fecha_movimiento IS NULL
+UNION ALL SELECT 'id_bodega no nulo', count(*) FROM moves UNION ALL SELECT 'usuario_registro no nulo', count(*) FROM moves
+UNION ALL SELECT 'largo de numero_documento', 0 UNION ALL SELECT 'largo de observacion', 0
 UNION ALL SELECT 'id_producto existe', count(*) FROM moves WHERE id_producto NOT IN (SELECT id_producto FROM inv_product WHERE p_size > 3)""")
 def _declared(t: Inputs) -> DataFrame:
+    """The movements lack two columns that the model asks for; each of their rows breaks these."""
     stocked = t["inv_product"].where("p_size > 3")
     return constraint_checks(movements(t), declared_checks("movimiento_inventario", {"id_producto": stocked}))
+
+
+def _operational(t: Inputs) -> dict[str, DataFrame]:
+    products = t["inv_product"].where("p_size > 3").select(
+        "id_producto", "codigo_producto", "nombre", F.col("sk_categoria").alias("id_categoria"), F.col("sk_marca").alias("id_marca"))
+    return {"toma_fisica": t["inv_count"], "bodega": t["inv_store"], "producto": products, "detalle_toma_fisica": t["inv_count_line"]}
+
+
+_OPERATIONAL = f"""{with_inputs('inv_count', 'inv_count_line', 'inv_store')}, toma_fisica AS (SELECT * FROM inv_count),
+detalle_toma_fisica AS (SELECT * FROM inv_count_line), bodega AS (SELECT * FROM inv_store), producto AS (
+  SELECT id_producto, codigo_producto, nombre, sk_categoria AS id_categoria, sk_marca AS id_marca FROM inv_product WHERE p_size > 3)"""
+
+
+def _rule_sql(table: str, name: str, broken: str) -> str:
+    return f"SELECT '{table}' AS tabla, '{name}' AS regla, count(*) AS incumplimientos FROM {table} WHERE {broken}"
+
+
+def _unique_sql(table: str, columns: str) -> str:
+    held = " AND ".join(f"{c} IS NOT NULL" for c in columns.split(", "))
+    return (f"SELECT '{table}', '{columns} unico', CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM {table} "
+            f"WHERE {held} GROUP BY {columns}) x")
+
+
+def _absent_sql(table: str, name: str) -> str:
+    return f"SELECT '{table}', '{name}', 0"
+
+
+_LINE = "detalle_toma_fisica"
+_MISSING = "{0} IS NOT NULL AND {0} NOT IN (SELECT {0} FROM {1} WHERE {0} IS NOT NULL)"
+_REPORT = " UNION ALL ".join([
+    _rule_sql("toma_fisica", "estado en lista", "estado NOT IN ('Planificada', 'En Proceso', 'Completada', 'Cancelada')"),
+    *(_unique_sql("toma_fisica", c) for c in ("id_toma", "codigo_toma")),
+    *(_rule_sql("toma_fisica", f"{c} no nulo", f"{c} IS NULL") for c in ("codigo_toma", "fecha_inicio", "responsable", "estado")),
+    *(_rule_sql("toma_fisica", f"largo de {c}", f"length({c}) > {n}") for c, n in (("codigo_toma", 20), ("responsable", 120))),
+    _absent_sql("toma_fisica", "largo de aprobado_por"),
+    *(_unique_sql("bodega", c) for c in ("id_bodega", "codigo_bodega")),
+    *(_rule_sql("bodega", f"{c} no nulo", f"{c} IS NULL") for c in ("codigo_bodega", "nombre", "tipo_almacenaje")),
+    *(_rule_sql("bodega", f"largo de {c}", f"length({c}) > {n}") for c, n in (("codigo_bodega", 10), ("nombre", 80))),
+    _rule_sql("bodega", "tipo_almacenaje en lista", "tipo_almacenaje NOT IN ('General', 'Área Especial', 'En Tránsito', 'Cuarentena')"),
+    _unique_sql("producto", "codigo_producto"), _rule_sql("producto", "largo de codigo_producto", "length(codigo_producto) > 30"),
+    *(_rule_sql("producto", f"{c} no nulo", f"{c} IS NULL") for c in ("codigo_producto", "nombre", "id_categoria", "id_marca")),
+    _rule_sql("producto", "id_unidad no nulo", "true"),
+    _absent_sql(_LINE, "id_detalle unico"), _unique_sql(_LINE, "id_toma, id_producto, id_bodega"),
+    *(_rule_sql(_LINE, f"{c} >= 0", f"{c} < 0") for c in ("cantidad_fisica", "cantidad_sistema")),
+    *(_rule_sql(_LINE, f"{c} no nulo", f"{c} IS NULL") for c in ("id_toma", "id_producto", "id_bodega", "cantidad_fisica", "cantidad_sistema")),
+    _rule_sql(_LINE, "largo de observacion", "length(observacion) > 500"), _absent_sql(_LINE, "largo de contado_por"),
+    *(_rule_sql(_LINE, f"{c} existe", _MISSING.format(c, parent)) for c, parent in (
+        ("id_toma", "toma_fisica"), ("id_producto", "producto"), ("id_bodega", "bodega"))),
+])
+
+
+@query("operational_constraints", f"{_OPERATIONAL} {_REPORT}")
+def _operational_report(t: Inputs) -> DataFrame:
+    return check_tables(_operational(t))
+
+
+@query("quarantine", f"""{_OPERATIONAL}, repeated AS (
+  SELECT id_toma, id_producto, id_bodega, count(*) AS n FROM {_LINE} WHERE id_bodega IS NOT NULL GROUP BY ALL HAVING n > 1),
+judged AS (SELECT d.*, array_to_string(list_sort(list_filter([
+    CASE WHEN r.n IS NOT NULL THEN 'id_toma, id_producto, id_bodega unico' END, CASE WHEN cantidad_fisica < 0 THEN 'cantidad_fisica >= 0' END,
+    CASE WHEN cantidad_sistema < 0 THEN 'cantidad_sistema >= 0' END, CASE WHEN d.id_bodega IS NULL THEN 'id_bodega no nulo' END,
+    CASE WHEN cantidad_sistema IS NULL THEN 'cantidad_sistema no nulo' END,
+    CASE WHEN {_MISSING.format('d.id_toma', 'toma_fisica').replace('SELECT d.', 'SELECT ').replace('WHERE d.', 'WHERE ')} THEN 'id_toma existe' END,
+    CASE WHEN {_MISSING.format('d.id_producto', 'producto').replace('SELECT d.', 'SELECT ').replace('WHERE d.', 'WHERE ')} THEN 'id_producto existe' END,
+    CASE WHEN {_MISSING.format('d.id_bodega', 'bodega').replace('SELECT d.', 'SELECT ').replace('WHERE d.', 'WHERE ')} THEN 'id_bodega existe' END
+  ], lambda x: x IS NOT NULL)), '; ') AS reglas FROM {_LINE} d LEFT JOIN repeated r USING (id_toma, id_producto, id_bodega))
+SELECT id_toma, id_producto, id_bodega, CAST(cantidad_fisica AS DOUBLE) AS cantidad_fisica, CAST(cantidad_sistema AS DOUBLE) AS cantidad_sistema,
+       observacion, reglas FROM judged WHERE reglas <> ''""")
+def _quarantine(t: Inputs) -> DataFrame:
+    tables = _operational(t)
+    parents = {"id_toma": tables["toma_fisica"], "id_producto": tables["producto"], "id_bodega": tables["bodega"]}
+    rows = quarantine(tables["detalle_toma_fisica"], declared_checks("detalle_toma_fisica", parents))
+    return rows.withColumn("reglas", F.array_join(F.array_sort("reglas"), "; "))

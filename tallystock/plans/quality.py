@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +11,7 @@ from tallystock import fixed_values as V
 from tallystock.functions import cells
 from tallystock.operators.filters import row_kind
 from tallystock.operators.windows import fill_down
+from tallystock.plans.constraints import Check, constraint_checks, declared_checks, quarantine  # noqa: F401
 from tallystock.session import materialize
 from tallystock.sources.tables import mapped_rows
 
@@ -232,101 +232,3 @@ def clean_counts(rows: DataFrame) -> DataFrame:
     coded = typed.withColumn("error_column", rule_code(
         F.col("codigo_limpio"), F.col("nombre_limpio"), F.col("fisico"), F.col("sistema"), F.col("diferencia")))
     return coded.withColumns({q: cells.zero_fill(F.col(q)) for q in ["fisico", "sistema"]})
-
-
-@dataclass(frozen=True)
-class Check:
-    """A declared constraint: ``unique`` and ``reference`` name columns, ``rule`` is a condition."""
-
-    name: str
-    kind: str
-    columns: tuple[str, ...] = ()
-    condition: Column | None = None
-    parent: DataFrame | None = None
-    parent_key: str = ""
-
-
-def constraint_checks(table: DataFrame, checks: list[Check]) -> DataFrame:
-    """Breach count per constraint.
-
-    Row rules share one pass over the table. Key rules first count rows per key, so a key
-    that many rows share travels once per task.
-    """
-    rules = [c for c in checks if c.kind == "rule"]
-    results = []
-    if rules:
-        # As for a CHECK constraint, a condition that is null is no breach.
-        counted = table.agg(*[F.count_if(~c.condition).alias(f"c{i}") for i, c in enumerate(rules)])
-        pairs = [F.struct(F.lit(c.name).alias("regla"), F.col(f"c{i}").alias("incumplimientos"))
-                 for i, c in enumerate(rules)]
-        results.append(counted.select(F.inline(F.array(*pairs))))
-    for check in checks:
-        if check.kind == "unique":
-            # As for a UNIQUE constraint, rows with a null in the key never collide.
-            held = table.dropna(subset=list(check.columns))
-            bad = held.groupBy(*check.columns).count().where("count > 1")
-            results.append(_breaches(check.name, bad, F.col("count") - 1))
-        elif check.kind == "reference":
-            key = check.columns[0]
-            held = table.where(F.col(key).isNotNull()).groupBy(key).count()
-            parents = check.parent.select(F.col(check.parent_key).alias(key)).distinct()
-            results.append(_breaches(check.name, held.join(parents, key, "left_anti"), F.col("count")))
-    out = results[0]
-    for r in results[1:]:
-        out = out.unionByName(r)
-    return out
-
-
-def _breaches(name: str, bad: DataFrame, amount: Column) -> DataFrame:
-    total = F.coalesce(F.sum(amount), F.lit(0).cast("bigint"))
-    return bad.agg(F.lit(name).alias("regla"), total.alias("incumplimientos"))
-
-
-def _in_list(column: str, values: list[str]) -> Column:
-    return F.col(column).isin(values)
-
-
-def declared_checks(table: str, parents: dict[str, DataFrame] | None = None) -> list[Check]:
-    """Constraints the data model declares for a table. ``parents`` maps a key column to the
-    table it points to, which holds the key under the same name."""
-    def rule(name: str, condition: Column) -> Check:
-        return Check(name, "rule", condition=condition)
-
-    def required(*columns: str) -> list[Check]:
-        return [rule(f"{c} no nulo", F.col(c).isNotNull()) for c in columns]
-
-    def positive(*columns: str) -> list[Check]:
-        return [rule(f"{c} >= 0", F.col(c) >= 0) for c in columns]
-
-    def within(column: str, low: int, high: int) -> Check:
-        # The unknown-date row holds zeros on purpose.
-        return rule(f"{column} en rango", (F.col("sk_tiempo") == V.UNKNOWN_KEY) | F.col(column).between(low, high))
-
-    declared = {
-        "dim_tiempo": [Check("sk_tiempo unico", "unique", ("sk_tiempo",)), within("trimestre", 1, 4),
-                       within("mes", 1, 12), within("dia_mes", 1, 31), within("dia_semana", 1, 7)],
-        "dim_marca": [Check("nk_marca unico", "unique", ("nk_marca",)), rule("largo de nombre_marca", F.length("nombre_marca") <= 80),
-                      rule("tipo_proveedor en lista", _in_list("tipo_proveedor", ["Nacional", "Importado", "Desconocido"]))],
-        "dim_categoria": [Check("nk_categoria unico", "unique", ("nk_categoria",)),
-                          Check("nombre_categoria unico", "unique", ("nombre_categoria",)),
-                          rule("tipo_producto en lista", _in_list(
-                              "tipo_producto", ["Granular", "Líquido", "Sustrato-Material", "Desconocido"]))],
-        "dim_producto": [rule("largo de nombre_producto", F.length("nombre_producto") <= 250),
-                         rule("clasificacion_venc en lista", _in_list("clasificacion_venc", [
-                             "Vencido", "Critico", "Alerta", "Vigilancia", "Normal", "Sin Vencimiento"])),
-                         *required("nk_codigo_producto", "nombre_producto", "sk_marca", "sk_categoria")],
-        "fact_inventario": [Check("toma y producto unicos", "unique", ("sk_tiempo", "sk_producto")),
-                            *positive("cantidad_fisica", "cantidad_sistema"),
-                            *required("sk_tiempo", "sk_producto", "sk_categoria", "sk_marca", "sk_estado_stock")],
-        "fact_discrepancia": [Check("toma y producto unicos", "unique", ("sk_tiempo", "sk_producto")),
-                              rule("unidades_diferencia > 0", F.col("unidades_diferencia") > 0),
-                              rule("signo_diferencia en lista", _in_list("signo_diferencia", ["+", "-"])),
-                              rule("largo de observacion_texto", F.length("observacion_texto") <= 500)],
-        "producto": [Check("codigo_producto unico", "unique", ("codigo_producto",)), rule("largo de codigo_producto", F.length("codigo_producto") <= 30),
-                     *required("codigo_producto", "nombre", "id_categoria", "id_marca", "id_unidad")],
-        "movimiento_inventario": [rule("cantidad > 0", F.col("cantidad") > 0), *required("id_producto", "id_tipo_mov", "fecha_movimiento")],
-    }
-    checks = declared[table]
-    for key, parent in (parents or {}).items():
-        checks.append(Check(f"{key} existe", "reference", (key,), parent=parent, parent_key=key))
-    return checks
