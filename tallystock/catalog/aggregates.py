@@ -104,11 +104,17 @@ def _signed(t: Inputs) -> DataFrame:
     return fact(t).groupBy("sk_tiempo").agg(surplus(F.col(_D)).alias("sobrante"), shortage(F.col(_D)).alias("faltante"))
 
 
-@query("dedupe_by_key", f"""{with_inputs('inv_product')}, {CLASSIFIED}
-SELECT presentacion, min(id_producto) AS primera_fila FROM classified GROUP BY presentacion""")
+# Each presentation and its first product by code; repeats of a product, and products without a presentation, included.
+@query("dedupe_by_key", f"""{with_inputs('inv_product')}, {CLASSIFIED}, twice AS (
+  SELECT id_producto, codigo_producto, nombre, presentacion, marca FROM classified UNION ALL
+  SELECT id_producto, codigo_producto, nombre, presentacion, marca FROM classified WHERE id_producto % 3 = 0)
+SELECT id_producto, codigo_producto, nombre, presentacion, marca FROM (
+  SELECT *, row_number() OVER (PARTITION BY presentacion ORDER BY codigo_producto, id_producto) AS r FROM twice) x WHERE r = 1""")
 def _dedupe(t: Inputs) -> DataFrame:
-    return dedupe_by_key(classify_products(t["inv_product"].drop("marca"), "codigo_producto", "nombre"),
-                         "presentacion", "id_producto")
+    found = classify_products(t["inv_product"].drop("marca"), "codigo_producto", "nombre").select(
+        "id_producto", "codigo_producto", "nombre", "presentacion", "marca")
+    twice = found.unionAll(found.where("id_producto % 3 = 0"))
+    return dedupe_by_key(twice, "presentacion", [F.col("codigo_producto"), F.col("id_producto")])
 
 
 @query("version_stats", f"""{with_inputs('inv_product_v1', 'inv_product_v2')}, changed AS (

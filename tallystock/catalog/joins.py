@@ -9,7 +9,7 @@ from tallystock.catalog.inputs import Inputs, with_inputs
 from tallystock.catalog.quality_sql import CATALOGUE, KARDEX, LOADS, LOTS, MAIN, SHEET_INPUTS, loads
 from tallystock.catalog.registry import pct, query
 from tallystock.catalog.reports import MOVEMENT_INPUTS, MOVEMENTS
-from tallystock.catalog.star_sql import DAY, ONE_COUNT, discrepancy, fact, products, star_sql
+from tallystock.catalog.star_sql import DAY, ONE_COUNT, fact, products, star_sql, stored_facts
 from tallystock.functions.measures import ratio_pct
 from tallystock.operators import lookups as J
 from tallystock.plans.movements import append_two_flows, dated_headers, header_detail_join, inflows, movement_rows, outflows
@@ -87,7 +87,8 @@ SELECT sk_tiempo, sk_producto, CAST(diferencia_unids AS DOUBLE) AS diferencia_un
        CASE WHEN diferencia_unids > 0 THEN '+' ELSE '-' END AS signo_diferencia FROM fi WHERE flag_discrepancia""")
 def _composite(t: Inputs) -> DataFrame:
     keys = ["sk_tiempo", "sk_producto"]
-    return J.join_keys(fact(t).select(*keys, "diferencia_unids"), discrepancy(t).select(*keys, "signo_diferencia"), keys)
+    inventory, different = stored_facts(t)
+    return J.join_keys(inventory.select(*keys, "diferencia_unids"), different.select(*keys, "signo_diferencia"), keys)
 
 
 @query("star_join_5", f"""{_STAR}
@@ -97,8 +98,9 @@ FROM fi JOIN inv_dim_product p USING (sk_producto) JOIN inv_category c ON c.sk_c
 JOIN inv_brand b ON b.sk_marca = fi.sk_marca JOIN causes d USING (nk_tipo_disc) WHERE flag_discrepancia""")
 def _star_join(t: Inputs) -> DataFrame:
     keys = ["sk_tiempo", "sk_producto"]
-    both = J.join_keys(fact(t).select(*keys, "sk_categoria", "sk_marca"),
-                       discrepancy(t).select(*keys, "sk_tipo_disc", "unidades_diferencia"), keys)
+    inventory, different = stored_facts(t)
+    both = J.join_keys(inventory.select(*keys, "sk_categoria", "sk_marca"),
+                       different.select(*keys, "sk_tipo_disc", "unidades_diferencia"), keys)
     return J.join_dimensions(
         both, (products(t).select("sk_producto", "nk_codigo_producto"), "sk_producto"),
         (t["inv_category"].select("sk_categoria", "nombre_categoria"), "sk_categoria"),

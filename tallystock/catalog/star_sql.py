@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tallystock.catalog.inputs import COUNT_KEY, Inputs, with_inputs
 from tallystock.plans import star
+from tallystock.session import materialize, new_path
+from tallystock.sources.tables import store_fact
 
 
 def fact(t: Inputs, one_count: bool = False) -> DataFrame:
@@ -17,6 +19,25 @@ def discrepancy(t: Inputs, one_count: bool = False) -> DataFrame:
     return star.build_fact_discrepancy(t.count_of() if one_count else t["inv_fact"])
 
 
+_stored: dict[tuple[str, str], tuple[str, str]] = {}
+BUCKETS = 8
+
+
+def stored_facts(t: Inputs) -> tuple[DataFrame, DataFrame]:
+    """Both facts over all counts from tables of one layout; queries of one application share them."""
+    key = (t.spark.sparkContext.applicationId, t.sf_dir)
+    if key not in _stored:
+        counts = materialize(t["inv_fact"], "counts")
+        names = []
+        for label, rows in (("fact_inventario", star.build_fact_inventory(counts)), ("fact_discrepancia", star.build_fact_discrepancy(counts))):
+            path = new_path(t.spark, label)
+            names.append(f"{label}_{path.rsplit('-', 1)[1]}")
+            store_fact(rows, names[-1], path, BUCKETS)
+        _stored[key] = names[0], names[1]
+    inventory, different = _stored[key]
+    return t.spark.table(inventory), t.spark.table(different)
+
+
 def products(t: Inputs) -> DataFrame:
     return t["inv_dim_product"].withColumn("clasificacion_venc", star.expiry_band(F.col("dias_para_vencer")))
 

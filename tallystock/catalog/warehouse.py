@@ -16,6 +16,7 @@ from tallystock.plans import history as H
 from tallystock.plans import masters as M
 from tallystock.plans.movements import control_rows
 from tallystock.plans.star import build_fact_inventory, discrepancy_cause, generated_measures, stock_status
+from tallystock.plans.versions import VersionedTable
 from tallystock.session import new_path
 from tallystock.sources.seeds import lights, unknown_members
 from tallystock.sources.tables import write_fact
@@ -127,6 +128,25 @@ def _scd2(t: Inputs) -> DataFrame:
     return H.scd2_merge(H.first_versions(t["inv_product_v1"], "2001-01-01"), t["inv_product_v2"], AS_OF)
 
 
+# Three loads in a row: the first state, the second, the first again. A product's version begins with each load that brings
+# another value than the load before that had it.
+@query("versioned_loads", f"""{with_inputs('inv_product_v1', 'inv_product_v2')}, loads AS (
+  SELECT 1 AS n, DATE '2001-01-01' AS dia, * FROM inv_product_v1 UNION ALL SELECT 2, DATE '{AS_OF}', * FROM inv_product_v2
+  UNION ALL SELECT 3, DATE '2002-06-30', * FROM inv_product_v1),
+begun AS (SELECT * FROM (SELECT *, lag(nombre) OVER w AS n0, lag(presentacion) OVER w AS p0, lag(fecha_vencimiento) OVER w AS f0,
+    row_number() OVER w AS r FROM loads WINDOW w AS (PARTITION BY id ORDER BY n)) x
+  WHERE r = 1 OR nombre IS DISTINCT FROM n0 OR presentacion IS DISTINCT FROM p0 OR fecha_vencimiento IS DISTINCT FROM f0)
+SELECT row_number() OVER (ORDER BY n, id) AS sk_producto, id, nombre, presentacion, CAST(fecha_vencimiento AS VARCHAR) AS fecha_vencimiento,
+       CAST(dia AS VARCHAR) AS fecha_inicio_vigencia, coalesce(CAST(CAST(lead(dia) OVER v - INTERVAL 1 DAY AS DATE) AS VARCHAR), '9999-12-31') AS fecha_fin_vigencia,
+       lead(dia) OVER v IS NULL AS es_registro_activo
+FROM begun WINDOW v AS (PARTITION BY id ORDER BY n)""")
+def _versioned(t: Inputs) -> DataFrame:
+    table = VersionedTable(t.spark, new_path(t.spark, "dim-producto"))
+    for state, day in (("inv_product_v1", "2001-01-01"), ("inv_product_v2", AS_OF), ("inv_product_v1", "2002-06-30")):
+        table.load(t[state], day)
+    return table.versions()
+
+
 @query("expiry_band", f"{with_inputs('inv_dim_product')} SELECT sk_producto, dias_para_vencer, {BAND} AS clasificacion_venc FROM inv_dim_product WHERE sk_producto <> -1")
 def _band(t: Inputs) -> DataFrame:
     dated = t["inv_product"].select(F.col("id_producto").alias("sk_producto"), "fecha_vencimiento")

@@ -10,9 +10,18 @@ from tallystock.functions.measures import ratio_pct
 from tallystock.operators.filters import row_kind
 
 
-def dedupe_by_key(df: DataFrame, key: str, order: str) -> DataFrame:
-    """One row per value of ``key`` with the lowest ``order`` it was seen at."""
-    return df.groupBy(key).agg(F.min(order).alias("primera_fila"))
+def dedupe_by_key(df: DataFrame, keys: str | list[str], order: list[Column] | None = None) -> DataFrame:
+    """One whole row per key: the first in ``order``, ties by a hash of the row, then by its columns.
+
+    An aggregate of whole rows: tasks reduce their rows to one per key before the shuffle, so a key that a third of all rows
+    share costs one row per task. Null is a key like any other; without an order, the row of least hash stays. Columns have to be
+    of types that can be compared (no maps).
+    """
+    keys = [keys] if isinstance(keys, str) else keys
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    place = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order or [])], F.xxhash64(row).alias("h"), row.alias("r"))
+    kept = df.groupBy(*[F.col(f"`{k}`").alias(f"_key{i}") for i, k in enumerate(keys)]).agg(F.min_by(row, place).alias("_row"))
+    return kept.select("_row.*")
 
 
 def distinct_values(df: DataFrame, columns: list[str], order: str) -> DataFrame:

@@ -68,7 +68,9 @@ def active_between(df: DataFrame, low: int = 0, high: int = 365) -> DataFrame:
 
 
 def snapshot_filter(fact: DataFrame, sk_tiempo: int) -> DataFrame:
-    """One count. On a fact written by count date this reads one folder only."""
+    """One count. On a fact written by count date this reads one folder only, also where the folder is a copy of the key."""
+    if "toma" in fact.columns:
+        fact = fact.where(F.col("toma") == sk_tiempo).drop("toma")
     return fact.where(F.col("sk_tiempo") == sk_tiempo)
 
 

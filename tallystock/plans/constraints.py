@@ -203,11 +203,15 @@ def declared_checks(table: str, parents: dict[str, DataFrame] | None = None) ->
 
 def check_tables(tables: dict[str, DataFrame]) -> DataFrame:
     """Breach counts of all declared constraints of several tables, with references among them."""
+    declared = {**OPERATIONAL, **STAR}
     out = None
     for name, table in tables.items():
-        parents = {key: tables[parent] for key, parent in {**OPERATIONAL, **STAR}[name].references.items() if parent in tables}
-        held = {key: parent.select(F.col({**OPERATIONAL, **STAR}[{**OPERATIONAL, **STAR}[name].references[key]].key or key).alias(key))
-                for key, parent in parents.items()}
-        found = constraint_checks(table, declared_checks(name, held)).select(F.lit(name).alias("tabla"), "*")
+        parents = {}
+        for key, parent in declared[name].references.items():
+            if parent in tables:
+                held = declared[parent].key or key
+                whole = tables[parent] if held in tables[parent].columns else tables[parent].withColumn(held, F.lit(None).cast("string"))
+                parents[key] = whole.select(F.col(held).alias(key))
+        found = constraint_checks(table, declared_checks(name, parents)).select(F.lit(name).alias("tabla"), "*")
         out = found if out is None else out.unionByName(found)
     return out

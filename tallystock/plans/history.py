@@ -11,6 +11,7 @@ from tallystock import fixed_values as V
 from tallystock.functions.dates import days_between, epoch_duration
 from tallystock.operators.windows import first_per_key, number_rows
 from tallystock.plans.star import expiry_band
+from tallystock.session import materialize
 
 VERSIONED = ["nombre", "presentacion", "fecha_vencimiento"]
 
@@ -45,7 +46,9 @@ def scd2_merge(dimension: DataFrame, incoming: DataFrame, as_of: str, key: str =
     on from the highest one, in key order.
     """
     day = F.lit(as_of).cast("date")
-    compared = compare(dimension, incoming, key)
+    # Stored, so that the rows that stay and those that open come from one comparison.
+    both = compare(dimension, incoming, key)
+    compared = materialize(both.select("cambio", F.struct("o.*").alias("o"), F.struct("n.*").alias("n")), "compared")
     names = ["sk_producto", key, *VERSIONED, "fecha_inicio_vigencia", "fecha_fin_vigencia", "es_registro_activo"]
     closing = F.col("cambio") == "changed"
     kept = compared.where(F.col("cambio") != "new").select(

@@ -68,6 +68,19 @@ def write_fact(df: DataFrame, path: str, key: str = "sk_tiempo", rows_per_file:
         "maxRecordsPerFile", rows_per_file).partitionBy(key).parquet(path)
 
 
+def store_fact(df: DataFrame, name: str, path: str, buckets: int = 64) -> None:
+    """Store a fact as table ``name`` so that facts of the same layout join row by row without a shuffle.
+
+    Rows lie in folders by count (``toma``, a copy of the key, as a bucket key cannot be a folder), and there in as many buckets of
+    (count, product). The writers are dealt like the buckets, so each bucket of a count is one file. Facts that are joined need
+    the same number of buckets; at scale, a bucket of the largest count should fit a task.
+    """
+    keys = ["sk_tiempo", "sk_producto"]
+    laid = df.withColumn("toma", F.col("sk_tiempo")).repartition(buckets, *keys)
+    laid.write.format("parquet").mode("overwrite").partitionBy("toma").bucketBy(buckets, *keys).sortBy(*keys).option(
+        "path", path).saveAsTable(name)
+
+
 def insert_if_absent(target: DataFrame, seed: DataFrame, key: str) -> DataFrame:
     """Target plus the seed rows whose natural key it does not hold yet.
 
