@@ -11,7 +11,7 @@ from tallystock.catalog.quality_sql import MAIN, SHEET_INPUTS
 from tallystock.catalog.registry import query
 from tallystock.catalog.reports import MOVEMENT_INPUTS, MOVEMENTS
 from tallystock.catalog.rules_sql import CLASSIFIED
-from tallystock.catalog.star_sql import STATES, fact, star_sql
+from tallystock.catalog.star_sql import discrepancy, fact, star_sql
 from tallystock.functions.cells import text_to_date
 from tallystock.operators.lookups import lookup_or_null
 from tallystock.plans.masters import classify_products
@@ -123,22 +123,40 @@ _SEED = ", ".join(f"('{n}', '{c}', '{p}')" for n, c, p in V.BRAND_SEED)
 
 @query("insert_if_absent", f"""{with_inputs('inv_product')}, {CLASSIFIED}, held AS (SELECT DISTINCT marca AS nk_marca FROM classified),
 seed(nk_marca, pais_origen, tipo_proveedor) AS (VALUES {_SEED})
-SELECT nk_marca, 'Desconocido' AS pais_origen, 'Desconocido' AS tipo_proveedor FROM held
-UNION ALL SELECT * FROM seed WHERE nk_marca NOT IN (SELECT nk_marca FROM held)""")
+SELECT nk_marca, 'Desconocido' AS pais_origen, 'Desconocido' AS tipo_proveedor, FALSE AS es_sin_definir FROM held
+UNION ALL SELECT *, FALSE FROM seed WHERE nk_marca NOT IN (SELECT nk_marca FROM held)""")
 def _insert_absent(t: Inputs) -> DataFrame:
     classified = classify_products(t["inv_product"].drop("marca"), "codigo_producto", "nombre")
     held = classified.select(F.col("marca").alias("nk_marca")).distinct().withColumns(
-        {"pais_origen": F.lit("Desconocido"), "tipo_proveedor": F.lit("Desconocido")})
+        {"pais_origen": F.lit("Desconocido"), "tipo_proveedor": F.lit("Desconocido"), "es_sin_definir": F.lit(False)})
     return T.insert_if_absent(held, S.brand_seed(t.spark).drop("nombre_marca"), "nk_marca")
 
 
-@query("literal_table", f"""{star_sql()}
-SELECT s.nk_estado, s.nombre_estado, s.color_semaforo, count(f.sk_producto) AS filas
-FROM states s LEFT JOIN fi f USING (nk_estado) GROUP BY s.nk_estado, s.nombre_estado, s.color_semaforo""")
+def _values(rows: list[tuple]) -> str:
+    return ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in row) + ")" for row in rows)
+
+
+@query("literal_table", f"""{star_sql()}, about(sk, nk_estado, nombre, descripcion, es_disponible, requiere_accion, color) AS (
+  VALUES {_values(V.STOCK_STATES)})
+SELECT s.nk_estado, s.nombre_estado, s.color_semaforo, descripcion, es_disponible, requiere_accion, count(f.sk_producto) AS filas
+FROM states s JOIN about a USING (nk_estado) LEFT JOIN fi f USING (nk_estado) GROUP BY ALL""")
 def _literal(t: Inputs) -> DataFrame:
     used = fact(t).groupBy("sk_estado_stock").agg(F.count("*").alias("filas"))
     return S.stock_states(t.spark).join(used, "sk_estado_stock", "left").select(
-        "nk_estado", "nombre_estado", "color_semaforo", F.coalesce("filas", F.lit(0).cast("bigint")).alias("filas"))
+        "nk_estado", "nombre_estado", "color_semaforo", "descripcion", "es_disponible", "requiere_accion",
+        F.coalesce("filas", F.lit(0).cast("bigint")).alias("filas"))
+
+
+@query("seed_causes", f"""{star_sql()}, about(sk, nk_tipo_disc, nombre, descripcion, impacto, afecta_activos, accion_recomendada) AS (
+  VALUES {_values(V.DISCREPANCY_TYPES)})
+SELECT c.nk_tipo_disc, c.nombre_tipo, c.impacto_financiero, descripcion, afecta_activos, accion_recomendada,
+       count(f.sk_producto) AS filas, coalesce(CAST(sum(abs(diferencia_unids)) AS DOUBLE), 0) AS unidades
+FROM causes c JOIN about a USING (nk_tipo_disc) LEFT JOIN fi f ON f.nk_tipo_disc = c.nk_tipo_disc AND flag_discrepancia GROUP BY ALL""")
+def _causes(t: Inputs) -> DataFrame:
+    used = discrepancy(t).groupBy("sk_tipo_disc").agg(F.count("*").alias("filas"), F.sum("unidades_diferencia").alias("unidades"))
+    return t.causes().join(used, "sk_tipo_disc", "left").select(
+        "nk_tipo_disc", "nombre_tipo", "impacto_financiero", "descripcion", "afecta_activos", "accion_recomendada",
+        F.coalesce("filas", F.lit(0).cast("bigint")).alias("filas"), F.coalesce("unidades", F.lit(0)).alias("unidades"))
 
 
 @query("calendar", f"""{with_inputs('inv_outflow')}, days AS (
@@ -172,3 +190,17 @@ def _unknown(t: Inputs) -> DataFrame:
         F.sum(F.when(F.col("sk_producto") == product_key, F.col("n")).otherwise(0)).alias("sin_producto"),
         F.sum("n").alias("movimientos"))
     return counted.join(brands, "sk_marca").select("nk_marca", "sk_marca", "sin_producto", "movimientos")
+
+
+@query("unknown_product", f"""{MOVEMENT_INPUTS}
+SELECT -1 AS sk_producto, 'SIN_PRODUCTO' AS nk_codigo_producto, 'Producto Sin Definir' AS nombre_producto, 'SIN_MARCA' AS nk_marca,
+       'ND' AS nk_categoria, '1900-01-01' AS fecha_inicio_vigencia, '9999-12-31' AS fecha_fin_vigencia, TRUE AS es_registro_activo,
+       TRUE AS es_sin_definir, count(*) AS movimientos
+FROM inv_outflow o WHERE NOT EXISTS (SELECT 1 FROM inv_product p WHERE p.codigo_producto = o.serie)""")
+def _unknown_product(t: Inputs) -> DataFrame:
+    """The unknown product with its brand and category, and the movements that point to it."""
+    unknown = S.unknown_members(t.spark)
+    row = unknown["dim_producto"].join(unknown["dim_marca"].select("sk_marca", "nk_marca"), "sk_marca").join(
+        unknown["dim_categoria"].select("sk_categoria", "nk_categoria"), "sk_categoria").drop("sk_marca", "sk_categoria")
+    lost = t["inv_outflow"].join(t["inv_product"].select(F.col("codigo_producto").alias("serie")), "serie", "left_anti")
+    return row.crossJoin(lost.agg(F.count("*").alias("movimientos")))

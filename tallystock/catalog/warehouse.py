@@ -216,7 +216,7 @@ FROM classified p LEFT JOIN master c ON c.columna = 'categoria_jerarquizada' AND
 LEFT JOIN master m ON m.columna = 'marca' AND m.valor = p.marca LEFT JOIN master u ON u.columna = 'unidad' AND u.valor = p.unidad""")
 def _product_master(t: Inputs) -> DataFrame:
     rows = classified(t)
-    return M.build_product_master(rows, M.build_masters(rows, "id_producto"), "id_producto", "codigo_producto", "nombre")
+    return M.build_product_master(rows, M.stored_master_values(rows, "id_producto"), "id_producto", "codigo_producto", "nombre")
 
 
 @query("build_dims", f"""{_MASTERS}, cats AS (SELECT id, valor AS nombre FROM master WHERE columna = 'categoria_jerarquizada')
@@ -231,8 +231,10 @@ UNION ALL SELECT * FROM (VALUES ('dim_tipo_semaforo', 1, 'Verde', 'Verde', 'Hast
   ('dim_producto', -1, 'SIN_PRODUCTO', 'Producto Sin Definir', ''), ('dim_tiempo', -1, '1900-01-01', 'N/A', 'N/A')) v""")
 def _dims(t: Inputs) -> DataFrame:
     rows = classified(t)
-    masters = M.build_masters(rows, "id_producto")
-    goods = M.product_dimension(M.build_product_master(rows, masters, "id_producto", "codigo_producto", "nombre"))
+    values = M.stored_master_values(rows, "id_producto")
+    goods = M.product_dimension(M.build_product_master(rows, values, "id_producto", "codigo_producto", "nombre"))
+    categories = M.master_table(values, "categoria_jerarquizada", "id_categoria", "nombre")
+    brands = M.master_table(values, "marca", "id_marca", "nombre_marca")
     colours = M.light_dimension(lights(t.spark).toDF("id_semaforo", "color", "rango"))
 
     def shape(df: DataFrame, dimension: str, sk: str, nk: str, name: str, detail: Column) -> DataFrame:
@@ -240,9 +242,9 @@ def _dims(t: Inputs) -> DataFrame:
                          F.col(nk).cast("string").alias("nk"), F.col(name).alias("nombre"), detail.alias("detalle"))
 
     parts = [
-        shape(M.category_dimension(masters["categoria_producto"]), "dim_categoria", "sk_categoria", "nk_categoria",
+        shape(M.category_dimension(categories), "dim_categoria", "sk_categoria", "nk_categoria",
               "nombre_categoria", F.col("tipo_producto")),
-        shape(M.brand_dimension(masters["marca_proveedor"]), "dim_marca", "sk_marca", "nk_marca", "nombre_marca", F.lit("")),
+        shape(M.brand_dimension(brands), "dim_marca", "sk_marca", "nk_marca", "nombre_marca", F.lit("")),
         shape(goods, "dim_producto", "sk_producto", "nk_codigo_producto", "nombre_producto",
               F.coalesce("presentacion", F.lit(""))),
         shape(t.dates(), "dim_tiempo", "sk_tiempo", "fecha_completa", "nombre_semana", F.col("nombre_trimestre")),

@@ -118,27 +118,40 @@ CATEGORY_RECODE = {
 UNDEFINED_CATEGORY = "Sin Categoría"
 UNDEFINED_CATEGORY_TEXT = "Categoría no definida o no identificada."
 
-# sk, nk_estado, nombre_estado, es_disponible, requiere_accion, color_semaforo
+# sk, nk_estado, nombre_estado, descripcion, es_disponible, requiere_accion, color_semaforo
 STOCK_STATES = [
-    (1, "DISP_OK", "Disponible — Sin Discrepancia", True, False, "Verde"),
-    (2, "DISP_FALT", "Disponible — Faltante", True, True, "Amarillo"),
-    (3, "DISP_SOBRANTE", "Disponible — Sobrante", True, True, "Amarillo"),
-    (4, "SIN_STOCK", "Sin Stock", False, False, "Gris"),
-    (5, "AGOTADO_DESAC", "Agotado — Sistema Desactualizado", False, True, "Rojo"),
-    (6, "PEND_REVISION", "Pendiente de Revisión", False, True, "Rojo"),
+    (1, "DISP_OK", "Disponible — Sin Discrepancia", "Stock físico mayor a cero y coincide exactamente con el sistema.", True, False, "Verde"),
+    (2, "DISP_FALT", "Disponible — Faltante",
+     "Hay stock físico pero el sistema registra más. Posible pérdida no justificada.", True, True, "Amarillo"),
+    (3, "DISP_SOBRANTE", "Disponible — Sobrante",
+     "Hay stock físico pero el sistema registra menos. Posible ingreso no registrado.", True, True, "Amarillo"),
+    (4, "SIN_STOCK", "Sin Stock", "Inventario físico y sistema ambos en cero. Producto agotado.", False, False, "Gris"),
+    (5, "AGOTADO_DESAC", "Agotado — Sistema Desactualizado",
+     "Físico en cero pero el sistema dice que hay existencia. Discrepancia crítica.", False, True, "Rojo"),
+    (6, "PEND_REVISION", "Pendiente de Revisión",
+     "Estado indeterminado. Requiere segundo conteo o verificación documental.", False, True, "Rojo"),
 ]
 
-# sk, nk_tipo_disc, nombre_tipo, impacto_financiero, afecta_activos
+# sk, nk_tipo_disc, nombre_tipo, descripcion, impacto_financiero, afecta_activos, accion_recomendada
 DISCREPANCY_TYPES = [
-    (1, "PR", "Pendiente Rebajar", "Alto", True),
-    (2, "EP", "Entrega Pendiente", "Medio", True),
-    (3, "FF", "Faltante Físico", "Alto", True),
-    (4, "SNR", "Sobrante No Registrado", "Alto", True),
-    (5, "SCN", "Sobrante Con Nota", "Medio", False),
-    (6, "FCN", "Faltante Con Nota", "Medio", True),
-    (7, "SSJ", "Sobrante Sin Justificar", "Bajo", False),
-    (8, "FSJ", "Faltante Sin Justificar", "Bajo", True),
-    (9, "ND", "Sin Discrepancia", "Bajo", False),
+    (1, "PR", "Pendiente Rebajar", "Movimiento físico realizado (salida) pero no registrado en el sistema David.", "Alto", True,
+     "Ejecutar la transacción de salida en Sistema David."),
+    (2, "EP", "Entrega Pendiente", "Producto físicamente recibido en bodega pero no ingresado al sistema.", "Medio", True,
+     "Registrar el ingreso de mercancía en el sistema."),
+    (3, "FF", "Faltante Físico", "Menos unidades físicas que lo registrado en el sistema sin explicación.", "Alto", True,
+     "Investigar causa (robo/merma/error). Ajuste negativo autorizado por gerencia."),
+    (4, "SNR", "Sobrante No Registrado", "Más unidades físicas que lo registrado en el sistema. Activo no contabilizado.", "Alto", True,
+     "Registrar el ingreso al sistema con costo correspondiente."),
+    (5, "SCN", "Sobrante Con Nota", "Sobrante con observación que explica parcialmente la diferencia.", "Medio", False,
+     "Revisar la observación y ajustar o documentar según corresponda."),
+    (6, "FCN", "Faltante Con Nota", "Faltante con observación que explica parcialmente la diferencia.", "Medio", True,
+     "Revisar la observación y gestionar ajuste autorizado."),
+    (7, "SSJ", "Sobrante Sin Justificar", "Sobrante sin observación. Requiere investigación antes de ajustar.", "Bajo", False,
+     "Realizar segundo conteo y documentar hallazgo."),
+    (8, "FSJ", "Faltante Sin Justificar", "Faltante sin observación. Requiere investigación antes de ajustar.", "Bajo", True,
+     "Realizar segundo conteo y documentar hallazgo."),
+    (9, "ND", "Sin Discrepancia", "No hay diferencia entre el conteo físico y el sistema.", "Bajo", False,
+     "Sin acción requerida. Inventario exacto."),
 ]
 
 LOAD_PROCESSES = [

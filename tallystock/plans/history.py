@@ -125,7 +125,8 @@ def incremental_rows(rows: DataFrame, date: str, control: DataFrame, process: st
 
 def move_mark(control: DataFrame, rows: DataFrame, date: str, process: str) -> DataFrame:
     """Control table after a good load of ``rows``: their newest date becomes the mark (none
-    new keeps it) and the counter of the process goes up."""
+    new keeps it) and the counter of the process goes up. Call it after the load is stored: a load that is killed before leaves
+    the mark, and is run again from there."""
     newest = rows.agg(F.max(date).alias("m")).scalar()
     mine = F.col("nombre_proceso") == process
     moved = control.withColumns({

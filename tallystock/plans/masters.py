@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tallystock.functions import rules
 from tallystock.operators.aggregates import distinct_values
 from tallystock.operators.columns import add_columns
-from tallystock.operators.lookups import lookup_keep_original
 from tallystock.operators.windows import number_rows
+from tallystock.session import materialize
 
 
 def classify_products(staging: DataFrame, code: str = "codigo_raw", name: str = "nombre_raw",
@@ -45,8 +45,13 @@ def master_table(values: DataFrame, column: str, id_name: str, name: str) -> Dat
     return values.where(F.col("columna") == column).select(F.col("id").alias(id_name), F.col("valor").alias(name))
 
 
+def stored_master_values(classified: DataFrame, order: str) -> DataFrame:
+    """The master values, stored once as the dictionary that all later steps read."""
+    return materialize(master_values(classified, order), "masters")
+
+
 def build_masters(classified: DataFrame, order: str) -> dict[str, DataFrame]:
-    values = master_values(classified, order)
+    values = stored_master_values(classified, order)
     return {
         "categoria_producto": master_table(values, "categoria_jerarquizada", "id_categoria", "nombre"),
         "unidad_medida": master_table(values, "unidad", "id_unidad", "codigo"),
@@ -54,19 +59,35 @@ def build_masters(classified: DataFrame, order: str) -> dict[str, DataFrame]:
     }
 
 
-def build_product_master(classified: DataFrame, masters: dict[str, DataFrame], id_: str = "id_stg_inv",
+def with_master_ids(rows: DataFrame, values: DataFrame, targets: dict[str, str]) -> DataFrame:
+    """``rows`` with the id that the dictionary (columna, valor, id) has for the value of each column in ``targets``; null if none.
+
+    The combinations of values that occur are stacked, one row for each column, and meet the dictionary in one join; then
+    the rows take the ids of their combination. Combinations are reduced inside each task first, so what travels is as
+    small as the masters, and the dictionary is read once whatever the number of columns.
+    """
+    columns = list(targets)
+    combined = rows.select(*columns).distinct().withColumn("_combination", F.struct(*columns))
+    stacked = combined.select("_combination", F.inline(F.array(*[
+        F.struct(F.lit(c).alias("columna"), F.col(c).cast("string").alias("valor")) for c in columns])))
+    found = stacked.join(values.select("columna", "valor", "id"), ["columna", "valor"], "left")
+    ids = found.groupBy("_combination").agg(*[F.max(F.when(F.col("columna") == c, F.col("id"))).alias(t) for c, t in targets.items()])
+    side = ids.select(*[F.col("_combination")[c].alias(f"_{c}") for c in columns], *targets.values())
+    same = F.lit(True)
+    for c in columns:
+        same = same & rows[c].eqNullSafe(side[f"_{c}"])
+    return rows.join(side, same, "left").drop(*[f"_{c}" for c in columns])
+
+
+MASTER_IDS = {"categoria_jerarquizada": "id_categoria", "marca": "id_marca", "unidad": "id_unidad"}
+
+
+def build_product_master(classified: DataFrame, values: DataFrame, id_: str = "id_stg_inv",
                          code: str = "codigo_raw", name: str = "nombre_raw") -> DataFrame:
-    """Product rows with the ids of category, brand and unit; unmatched text is kept beside."""
-    found = classified
-    for column, table, key, target in [
-        ("categoria_jerarquizada", "categoria_producto", "nombre", "id_categoria"),
-        ("marca", "marca_proveedor", "nombre_marca", "id_marca"),
-        ("unidad", "unidad_medida", "codigo", "id_unidad"),
-    ]:
-        found = lookup_keep_original(found, column, masters[table], key, target, target, unique=True)
-    return found.select(
+    """Product rows with the ids of category, brand and unit from the master values; a value that is none has a null id."""
+    return with_master_ids(classified, values, MASTER_IDS).select(
         F.col(id_).alias("id_producto"), F.col(code).alias("codigo_producto"), F.col(name).alias("nombre"),
-        "presentacion", "id_categoria", "id_marca", "id_unidad")
+        "presentacion", *MASTER_IDS.values())
 
 
 def category_dimension(categories: DataFrame) -> DataFrame:

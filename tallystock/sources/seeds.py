@@ -28,7 +28,8 @@ def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFr
 
 def brand_seed(spark: SparkSession) -> DataFrame:
     return literal_table(spark, V.BRAND_SEED, "nombre_marca string, pais_origen string, tipo_proveedor string").select(
-        F.col("nombre_marca").alias("nk_marca"), "nombre_marca", "pais_origen", "tipo_proveedor")
+        F.col("nombre_marca").alias("nk_marca"), "nombre_marca", "pais_origen", "tipo_proveedor",
+        F.lit(False).alias("es_sin_definir"))
 
 
 def category_seed(spark: SparkSession) -> DataFrame:
@@ -38,15 +39,15 @@ def category_seed(spark: SparkSession) -> DataFrame:
 def stock_states(spark: SparkSession) -> DataFrame:
     return literal_table(
         spark, V.STOCK_STATES,
-        "sk_estado_stock int, nk_estado string, nombre_estado string, es_disponible boolean, "
+        "sk_estado_stock int, nk_estado string, nombre_estado string, descripcion string, es_disponible boolean, "
         "requiere_accion boolean, color_semaforo string")
 
 
 def discrepancy_types(spark: SparkSession) -> DataFrame:
     return literal_table(
         spark, V.DISCREPANCY_TYPES,
-        "sk_tipo_disc int, nk_tipo_disc string, nombre_tipo string, impacto_financiero string, "
-        "afecta_activos boolean")
+        "sk_tipo_disc int, nk_tipo_disc string, nombre_tipo string, descripcion string, impacto_financiero string, "
+        "afecta_activos boolean, accion_recomendada string")
 
 
 def lights(spark: SparkSession) -> DataFrame:
@@ -86,12 +87,13 @@ def unknown_members(spark: SparkSession) -> dict[str, DataFrame]:
     return {
         "dim_tiempo": unknown_date(spark),
         "dim_marca": literal_table(
-            spark, [(key, V.UNKNOWN_BRAND, "Sin Marca Definida", "Desconocido")],
-            "sk_marca int, nk_marca string, nombre_marca string, tipo_proveedor string"),
+            spark, [(key, V.UNKNOWN_BRAND, "Sin Marca Definida", "Desconocido", "Desconocido", True)],
+            "sk_marca int, nk_marca string, nombre_marca string, pais_origen string, tipo_proveedor string, es_sin_definir boolean"),
         "dim_categoria": literal_table(
             spark, [(key, V.UNKNOWN_CATEGORY, V.UNDEFINED_CATEGORY, "Desconocido")],
             "sk_categoria int, nk_categoria string, nombre_categoria string, tipo_producto string"),
         "dim_producto": literal_table(
-            spark, [(key, V.UNKNOWN_PRODUCT, "Producto Sin Definir")],
-            "sk_producto bigint, nk_codigo_producto string, nombre_producto string"),
+            spark, [(key, V.UNKNOWN_PRODUCT, "Producto Sin Definir", key, key, "1900-01-01", V.OPEN_END, True, True)],
+            "sk_producto bigint, nk_codigo_producto string, nombre_producto string, sk_marca int, sk_categoria int, "
+            "fecha_inicio_vigencia date, fecha_fin_vigencia date, es_registro_activo boolean, es_sin_definir boolean"),
     }

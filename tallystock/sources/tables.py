@@ -45,6 +45,8 @@ def mapped_rows(df: DataFrame, mapping: dict[str, tuple[str, str]],
 
 def mapped_append(df: DataFrame, mapping: dict[str, tuple[str, str]], path: str,
                   defaults: dict[str, Column] | None = None) -> None:
+    """Add rows through a column map. As an append, a second run adds them a second time; where runs may repeat, write by load
+    (``plans.file_run``) or reduce to new keys first (``anti_join_new_keys``)."""
     mapped_rows(df, mapping, defaults).write.mode("append").parquet(path)
 
 

@@ -204,3 +204,27 @@ def test_rows_without_a_warning_are_gone_before_the_generator(rows):
     assert "Generate" in plan and plan.index("Filter") > plan.index("Generate")  # a plan is printed from the top
     assert sorted(x.fila_excel for x in warnings(landed, "catalogo", ["fila_excel"]).collect()) == [1, 3]
     assert [x[0] for x in landed.orderBy("fila_excel").select(warning_mask("catalogo")).collect()] == [1, 0, 1]
+
+
+def test_dictionary_serves_all_columns_in_one_join(rows):
+    from tallystock.plans.masters import with_master_ids
+
+    r = random.Random(5)
+    data = [(k, r.choice(["a", "b", None, "x"]), r.choice(["a", "c", None])) for k in range(300)] + [(k, "a", "a") for k in range(300, 900)]
+    values = [("u", "a", 1), ("u", "b", 2), ("v", "a", 7), ("v", "c", 8), ("v", None, 9), ("w", "x", 3)]
+    df, dictionary = rows(data, "n int, u string, v string"), rows(values, "columna string, valor string, id int")
+    found = with_master_ids(df, dictionary, {"u": "id_u", "v": "id_v"})
+    ids = {(c, v): i for c, v, i in values if v is not None}
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(str((n, u, v, ids.get(("u", u)), ids.get(("v", v)))) for n, u, v in data)
+    assert plan_of(found).count("Join") - plan_of(found).count("JoinHint") == 2
+
+
+def test_seed_tables_are_whole(spark):
+    from tallystock.sources import seeds
+
+    assert seeds.stock_states(spark).where("descripcion is null").count() == 0
+    assert seeds.discrepancy_types(spark).where("descripcion is null or accion_recomendada is null").count() == 0
+    unknown = seeds.unknown_members(spark)
+    product = unknown["dim_producto"].first()
+    assert (product.sk_marca, product.sk_categoria, str(product.fecha_fin_vigencia), product.es_sin_definir) == (-1, -1, "9999-12-31", True)
+    assert unknown["dim_marca"].first().es_sin_definir and not seeds.brand_seed(spark).first().es_sin_definir
