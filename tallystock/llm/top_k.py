@@ -1,16 +1,17 @@
 """Exact top-k search by inner product with a pivot table.
 
-Every vector's distances to PIVOTS fixed vectors are computed once per block. By the triangle inequality their differences
-bound the distance of a query and a candidate from below, hence their inner product from above; the best of
-all pivots counts. A query's candidates are evaluated in the order of that bound, the highest first, then those that
-can still reach the k-th best score found; the others are out by their bound. Queries and candidates are dealt in blocks, and a task holds one block of each. A first pass over one
+Every vector's distances to PIVOTS fixed vectors are computed for each pair of blocks. By the triangle inequality their
+differences bound the distance of a query and a candidate from below, hence their inner product from above; the best of
+all pivots counts. A query's 4k candidates of highest bound are evaluated first; what the others can still reach by their bound
+is compared with the k-th best score found, and queries with any candidate left are multiplied with the whole block, of
+which only those candidates are looked at. The result is exact; on vectors without clusters the bounds save few products. Queries and candidates are dealt in blocks, and a task holds one block of each. A first pass over one
 block of candidates gives every query a score to beat, so that other blocks return only what can still be among the best.
 
 Vectors are whole numbers, sums are exact below 2**53.
 
 Defined cases: vectors that are null or hold a null or a number that is not finite take no part, nor do rows without an id;
 an empty vector scores 0; of vectors of different lengths the shorter is filled with zeros; repeated rows are
-candidates one by one, and a query's own are all rows of its id; ties go to the smaller id; with fewer candidates
+candidates one by one, a query's own are all rows of its id, and of several rows of one query id the least vector asks; ties go to the smaller id; with fewer candidates
 than k, all are returned; an empty table gives no rows; other columns of the input are not read.
 """
 
@@ -134,7 +135,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, pivots: int = PIVOTS, qu
     blocks, query_blocks = max(1, math.ceil(n / candidate_block)), max(1, math.ceil(n_queries / query_block))
     spread = lambda name, count: F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias(name)
     numbered = stored.withColumn("c", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int"))
-    queries = stored.where(is_query).dropDuplicates(["id"]).withColumn("q", F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int"))
+    queries = stored.where(is_query).groupBy("id").agg(F.min("v").alias("v")).withColumn("q", F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int"))
     search = _searcher(points, k)
 
     first = numbered.where("c = 0").select("id", "v", "c", spread("q", query_blocks))
