@@ -24,10 +24,19 @@ from tallystock.session import materialize
 
 
 _OTHERS = "other_columns"
+BATCH_ROWS = 2000  # of whole documents that pass to a Python worker at once
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """Bound what is in flight between Spark and its Python workers; a session that asks for less keeps it."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
 
 
 def _apart(docs: DataFrame) -> DataFrame:
     """``docs`` as doc_id, text and one column of all others."""
+    _small_batches(docs.sparkSession)
     others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
     return docs.select("doc_id", "text", F.struct(F.lit(0).alias("doc_id"), *others).alias(_OTHERS))
 
@@ -72,6 +81,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows (doc_id, piece, start, length, ids_crc32, sequence_id, offset) of all documents."""
     ship(spark)
+    _small_batches(spark)
     return pack(token_pieces(docs, ids=False, added=True))
 
 
