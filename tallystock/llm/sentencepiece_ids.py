@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from struct import pack
@@ -57,6 +58,9 @@ class Pieces:
         self.text = [model.id_to_piece(k) if not model.is_control(k) else "" for k in range(n)]
         self.ids = {self.text[k]: k for k in plain}
         self.rank = {self.text[k]: -model.get_score(k) for k in plain}  # pieces of lower rank are merged first
+        # Pieces that share their rank, as runs of spaces do: which of two comes first hangs on where they stand.
+        times = Counter(self.rank.values())
+        self.tied = {piece for piece, rank in self.rank.items() if times[rank] > 1}
         self.byte = {int(self.text[k][3:5], 16): k for k in range(n) if model.is_byte(k)}
         self.raw = [text.encode() for text in self.text]
         for b, k in self.byte.items():
@@ -76,6 +80,16 @@ class Pieces:
     def drop_cache(self) -> None:
         self.cache, self.older, self.cached = {}, {}, 0
 
+    def _merged(self, text: str) -> list[str]:
+        """The characters of ``text`` merged by rank, the leftmost of equal ones first."""
+        parts = list(text)
+        while True:
+            found = [(self.rank[a + b], k) for k, (a, b) in enumerate(zip(parts, parts[1:], strict=False)) if a + b in self.rank]
+            if not found:
+                return parts
+            k = min(found)[1]
+            parts[k:k + 2] = [parts[k] + parts[k + 1]]
+
     def _edges(self, piece: str) -> tuple[list, list] | None:
         """How the two ends of ``piece`` grow while its characters merge: (part, when it is made, when it is merged on), by rank,
         for its left and its right end. None if the characters do not merge to the piece."""
@@ -105,9 +119,12 @@ class Pieces:
         if known is None:
             if len(self.allowed) >= CACHE_STEPS:
                 self.allowed.clear()
-            after, ahead = self._edges(piece), self._edges(before) if before else ([], [])
+            plain = before in self.tied or piece in self.tied
+            after, ahead = (None, None) if plain else (self._edges(piece), self._edges(before) if before else ([], []))
             known = after is not None and ahead is not None
-            if known:
+            if plain:
+                known = self._merged(before + piece) == ([before, piece] if before else [piece])
+            elif known:
                 rank = self.rank
                 for y, made_y, gone_y in after[0]:
                     for x, made_x, gone_x in ahead[1]:
