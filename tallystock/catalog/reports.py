@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from tallystock.catalog.inputs import COUNT_KEY, LIGHT_DATE, Inputs, with_inputs
 from tallystock.catalog.registry import pct, query
-from tallystock.catalog.star_sql import BAND, DAY, ONE_COUNT, fact, products, star_sql, stored_facts
+from tallystock.catalog.star_sql import BAND, DAY, ONE_COUNT, count_facts, fact, products, star_sql
 from tallystock.plans import kpis
 from tallystock.plans.movements import ageing_light, build_movements
 
@@ -75,7 +75,7 @@ FROM fi JOIN inv_dim_product p USING (sk_producto) JOIN inv_category c ON c.sk_c
 JOIN inv_brand b ON b.sk_marca = fi.sk_marca JOIN causes d USING (nk_tipo_disc)
 WHERE {ONE_COUNT} AND flag_discrepancia""")
 def _discrepancies(t: Inputs) -> DataFrame:
-    return kpis.discrepancies(*stored_facts(t), products(t), t["inv_category"], t["inv_brand"],
+    return kpis.discrepancies(*count_facts(t), products(t), t["inv_category"], t["inv_brand"],
                               t.causes(), COUNT_KEY)
 
 
@@ -115,7 +115,7 @@ SELECT p.nk_codigo_producto, p.nombre_producto, c.nombre_categoria,
 FROM fi JOIN inv_dim_product p USING (sk_producto) JOIN inv_category c ON c.sk_categoria = fi.sk_categoria
 WHERE {ONE_COUNT} AND nk_tipo_disc = 'PR'""")
 def _pending_running(t: Inputs) -> DataFrame:
-    return kpis.pending_running(*stored_facts(t), products(t), t["inv_category"], t.causes(),
+    return kpis.pending_running(*count_facts(t), products(t), t["inv_category"], t.causes(),
                                 COUNT_KEY)
 
 

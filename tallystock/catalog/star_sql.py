@@ -38,6 +38,12 @@ def stored_facts(t: Inputs) -> tuple[DataFrame, DataFrame]:
     return t.spark.table(inventory), t.spark.table(different)
 
 
+def count_facts(t: Inputs) -> tuple[DataFrame, DataFrame]:
+    """Both facts of one count, from its rows stored once."""
+    counts = materialize(t.count_of(), "count")
+    return star.build_fact_inventory(counts), star.build_fact_discrepancy(counts)
+
+
 def products(t: Inputs) -> DataFrame:
     return t["inv_dim_product"].withColumn("clasificacion_venc", star.expiry_band(F.col("dias_para_vencer")))
 
