@@ -175,9 +175,13 @@ def warnings(landed: DataFrame, kind: str, keys: list[str]) -> DataFrame:
     Rows without a warning are gone before anything is generated; the others are repeated once for each bit of their mask.
     """
     rules = warning_rules(kind)
-    masked = landed if "lnd_avisos" in landed.columns else landed.withColumn("lnd_avisos", warning_mask(kind))
-    fields = sorted({field for _, field, _, _ in rules})
-    raised = masked.where(F.col("lnd_avisos") > 0).select(*keys, *[c for c in fields if c not in keys], "lnd_avisos")
+    fields = [f for f in sorted({field for _, field, _, _ in rules}) if f not in keys]
+    if "lnd_avisos" in landed.columns:  # stored with the row: the filter reaches the scan
+        raised = landed.select(*keys, *fields, "lnd_avisos").where(F.col("lnd_avisos") > 0)
+    else:
+        # A filter in front of the flags would compute each of them anew for every use; the id keeps it behind them.
+        masked = landed.select(*keys, *fields, warning_mask(kind).alias("lnd_avisos"), F.monotonically_increasing_id().alias("_id"))
+        raised = masked.where((F.col("lnd_avisos") > 0) & (F.col("_id") >= 0)).drop("_id")
     table = F.array(*[F.struct(F.lit(1 << bit).alias("_bit"), F.lit(rule).alias("regla_violada"), F.lit(field).alias("campo_erroneo"))
                       for bit, (rule, field, _, _) in enumerate(rules)])
     rows = raised.select("*", F.inline(F.filter(table, lambda e: F.col("lnd_avisos").bitwiseAND(e["_bit"]) != 0)))
