@@ -6,8 +6,9 @@ log ratio of its n-grams. The threshold is the one that best splits labelled goo
 documents among those that the fixed rules on repetition and length pass, lower one first on ties. Every
 document is held against rules and threshold.
 
-The threshold is set by up to ``label_rows`` labelled rows, those of smallest hashed id; the counts of the raw corpus and
-of the trusted documents, the scores and the rules cover all documents.
+Counts of the raw corpus and of the trusted documents, scores, rules and threshold cover all documents and all labels. Scores of
+labelled documents stay in ranges of a shuffle; only ``label_rows``, where a caller sets it, limits the threshold to the labels of
+smallest hashed id.
 
 Defined cases: a null or empty text has no words and no n-grams, scores 0 and fails the length rule; without trusted
 labels all scores are 0 and without bad labels no document falls below the threshold; repeated rows are judged
@@ -23,15 +24,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tallystock.llm.ship import ship
 from tallystock.llm.words import _BYTE, Rolling, Words, mix, slices, words
+from tallystock.session import materialize
 
-LABEL_ROWS = 50_000
 MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
 SYMBOLS = b"#*$%&|<>"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -138,27 +139,39 @@ def _bucket_counts(docs: DataFrame, width: int, bits: int) -> np.ndarray:
     return counts
 
 
-def _best_threshold(good: np.ndarray, bad: np.ndarray) -> float:
-    """The cut midway between two scores that keeps most good and fewest bad ones, by share of each."""
-    if not len(good) or not len(bad):
+def _best_threshold(scored: DataFrame) -> float:
+    """The cut midway between two scores that keeps most good and fewest bad ones, by share of each; ``scored``: (score, good).
+
+    Shares below a score are running sums over ranges of scores; the driver gets the best row.
+    """
+    counted = scored.groupBy("score").agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"))
+    ranged = materialize(counted.repartitionByRange("score").withColumn("range", F.spark_partition_id()), "label-scores")
+    n_good, n_bad = ranged.agg(F.sum("good"), F.sum("bad")).first()
+    if not n_good or not n_bad:
+        return float("-inf")
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("range").orderBy("score").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = ranged.groupBy("range").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).select(
+        "range", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("good", "bad")])
+    below = {c: F.sum(c).over(inside) + F.col(f"{c}_before") for c in ("good", "bad")}
+    value = F.rint((1 - below["good"] / n_good + below["bad"] / n_bad) * 1e9)
+    best = ranged.join(F.broadcast(before), "range").select("score", value.alias("value")).orderBy(F.desc("value"), "score").first()
+    if best.value <= 1e9:  # no cut is better than none
         return float("-inf")
-    scores = np.unique(np.concatenate([good, bad]))
-    cuts = np.concatenate([[-np.inf], (scores[1:] + scores[:-1]) / 2])
-    kept = 1 - np.searchsorted(np.sort(good), cuts) / len(good)
-    gone = np.searchsorted(np.sort(bad), cuts) / len(bad)
-    return float(cuts[np.argmax(np.round(kept + gone, 9))])
+    return (ranged.where(F.col("score") > best.score).agg(F.min("score")).first()[0] + best.score) / 2
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, width: int = 4, bits: int = 16,
-                label_rows: int = LABEL_ROWS) -> QualityModel:
-    """Counts over all of ``docs`` (doc_id, text) and ``labels`` (doc_id, quality, toxic); a threshold from ``label_rows`` labels.
+                label_rows: int | None = None) -> QualityModel:
+    """Counts over all of ``docs`` (doc_id, text) and ``labels`` (doc_id, quality, toxic), and a threshold from all labels or, if
+    ``label_rows`` is given, from so many.
 
-    The driver gets two rows per bucket and two numbers per label used.
+    The driver gets two rows per bucket.
     """
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
         (F.min("quality") > 0).alias("_good"), (F.max(F.coalesce("toxic", F.lit(0))) > 0).alias("_toxic"))
     clean = known.where("not (_good and _toxic)").drop("_toxic")
-    used = F.broadcast(clean.orderBy(F.xxhash64("doc_id"), "doc_id").limit(label_rows))
+    used = clean if label_rows is None else clean.orderBy(F.xxhash64("doc_id"), "doc_id").limit(label_rows)
     own = docs.select("doc_id", "text")
     raw = _bucket_counts(own, width, bits)
     trusted = clean.where("_good").hint("merge")  # labels grow with the documents: one kind of join at all sizes
@@ -169,17 +182,17 @@ def fit_quality(docs: DataFrame, labels: DataFrame, width: int = 4, bits: int =
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, part in slices(batch.column(0)):
+            for first, part in slices(batch.column(1)):
                 w, score = _scores(part, weights, width)
                 passed = np.flatnonzero(~_failed(text_counts(w)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(1).slice(first, len(part)).take(pa.array(passed)), pa.array(score[passed])],
-                    ["good", "score"])
+                    [batch.column(0).slice(first, len(part)).take(pa.array(passed)), pa.array(score[passed])],
+                    ["doc_id", "score"])
 
-    judged = own.join(used, "doc_id").select("text", F.col("_good").alias("good")).mapInArrow(
-        rows, "good boolean, score double").toArrow()
-    good, score = judged["good"].to_numpy().astype(bool), judged["score"].to_numpy()
-    return QualityModel(weights, _best_threshold(score[good], score[~good]), width)
+    # Every text is scored where it lies: ids and scores travel to the labels, no text does.
+    scored = own.where("doc_id is not null").mapInArrow(rows, StructType([own.schema["doc_id"], StructField("score", DoubleType())]))
+    judged = scored.join(used.hint("merge"), "doc_id").select("score", F.col("_good").alias("good"))
+    return QualityModel(weights, _best_threshold(judged), width)
 
 
 def judge(docs: DataFrame, model: QualityModel, text: str = "text") -> DataFrame:

@@ -153,6 +153,31 @@ def test_label_limit_leaves_the_trusted_counts_whole(docs, spark):
     assert every.any() and (few == every).all()
 
 
+def test_threshold_comes_from_all_labels(docs, spark):
+    r = random.Random(10)
+    late = [x.id for x in spark.range(51_000).orderBy(F.xxhash64("id").desc()).limit(60).collect()]
+    good = lambda: " ".join("".join(r.choice(["th", "er", "an", "ou"]) for _ in range(r.randint(1, 4))) for _ in range(80))
+    texts = [(k, good() if k % 2 else good().upper()) for k in late]
+    labels = spark.range(51_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"), F.lit(0).alias("toxic"))
+    model = quality_rules.fit_quality(docs(texts), labels)
+    assert model.threshold > float("-inf")
+    assert all(x.kept == (x.doc_id % 2 == 1) for x in quality_rules.judge(docs(texts), model).collect() if not x.base_failed)
+
+
+def test_threshold_is_the_best_cut(spark):
+    np, r = quality_rules.np, random.Random(11)
+    for n in (0, 1, 2, 30, 3000):
+        rows = [(round(r.gauss(0.3 * g, 1), 2), g) for g in (r.random() < 0.4 for _ in range(n))]
+        good, bad = (np.array([s for s, g in rows if g == side]) for side in (True, False))
+        want = float("-inf")
+        if len(good) and len(bad):
+            scores = np.unique([s for s, _ in rows])
+            cuts = np.concatenate([[-np.inf], (scores[1:] + scores[:-1]) / 2])
+            gain = [(1 - (good < c).sum() / len(good)) + (bad < c).sum() / len(bad) for c in cuts]
+            want = float(cuts[np.argmax(np.round(gain, 9))])
+        assert quality_rules._best_threshold(spark.createDataFrame(rows, "score double, good boolean").repartition(5)) == want
+
+
 # ---- main text of pages
 
 SHELL = ("<!DOCTYPE html><html><head><title>t</title><style>p{{}}</style><script>var t='</p>';</script></head><body>"
