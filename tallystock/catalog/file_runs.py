@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from tallystock.catalog.registry import query
 from tallystock.plans.file_run import COUNTERS, KINDS, NO_SHEETS, Area, load_status, process_files
 from tallystock.plans.quality import staging_loads
 from tallystock.session import materialize, new_path
-from tallystock.sources.files import discover_files
+from tallystock.sources.files import discover_files, input_paths
 from tallystock.sources.sheets import aliases, positional, scan_workbooks
 
 # Every third workbook comes a second time under another name; every fourth is open, and has a lock file.
@@ -79,21 +81,26 @@ def write_workbooks(t: Inputs) -> str:
     ]
     every = named[0].unionByName(named[1]).unionByName(named[2]).unionByName(named[3])
     parts, folder = new_path(spark, "workbook-parts"), new_path(spark, "workbooks")
-    every.repartition("archivo").sortWithinPartitions("archivo", "orden", "fila_excel", "linea").select("archivo", "linea").write.partitionBy(
-        "archivo").text(parts)
+    every.repartition("archivo").sortWithinPartitions("archivo", "orden", "fila_excel", "linea").select("archivo", "linea").write.option(
+        "mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("archivo").text(parts)  # tasks move their files, not the driver
     _name_files(spark, parts, folder)
     return folder
 
 
 def _name_files(spark: SparkSession, parts: str, folder: str) -> None:
-    """``parts/archivo=<name>/<one file>`` becomes ``folder/<name>``."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    """``parts/archivo=<name>/<one file>`` becomes ``folder/<name>``. The listing comes in one call, and files are renamed side by side."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
     fs = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     fs.mkdirs(path(folder))
-    for entry in fs.globStatus(path(f"{parts}/archivo=*/part-*")):
-        name = entry.getPath().getParent().getName().removeprefix("archivo=")
-        if not fs.rename(entry.getPath(), path(f"{folder}/{name}")):
+    written = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(parts)
+
+    def rename(source: str) -> None:
+        name = source.rsplit("/", 2)[1].removeprefix("archivo=")
+        if not fs.rename(path(source), path(f"{folder}/{name}")):
             raise OSError(f"could not name {name}")
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(rename, input_paths(written)))
 
 
 _runs: dict[tuple[str, str], tuple[str, str]] = {}
@@ -217,7 +224,8 @@ def _scan_sheet(t: Inputs) -> DataFrame:
     """All four layouts, read from the files; copies are left out, and lines that cannot be read are kept aside."""
     _, folder = landed_area(t)
     raw = scan_workbooks(t.spark, folder).where(F.col("ruta").endswith(".xlsx") & ~F.col("ruta").endswith("_copia.xlsx") & ~F.col("rota"))
-    named = raw.withColumn("nombre_archivo", F.element_at(F.split("ruta", "/"), -1))
+    named = raw.select(F.element_at(F.split("ruta", "/"), -1).alias("nombre_archivo"), "hoja", "fila_excel", "celdas")
+    named = materialize(named, "scanned")  # lines are cut into cells once, not once for each layout
     out = None
     for kind in KINDS:
         own = positional(named.where(F.col("hoja").isin(aliases(kind))).select("nombre_archivo", F.lit(kind).alias("tipo"), "fila_excel", "celdas"), kind)

@@ -1,13 +1,14 @@
 """A run over received workbooks: discovery, duplicates, routing, landing, logs, summary.
 
 Every file and every sheet load is a small state machine. Its changes are appended as events to two logs, and a state is
-the last event of its key; nothing is updated in place. The logs are the manifest of the landing tables: rows are stored by
-load, and readers see those of completed loads only. A load's rows are written first, replacing what an attempt before may have left
-in the same folder, and its closing event after that, so a run that is killed at any point leaves nothing half visible and is
-continued by running it again: closed loads are kept, open ones are landed anew. Ids come from the content of a
-file, so that both runs speak of the same loads.
-
-All sheets of a kind are landed by one job. A sheet with lines that cannot be read fails alone, before that job. If
+the last event of its key; nothing is updated in place. The logs are the manifest of the landing tables: the rows of loads that
+are landed together share a folder (``tanda``), and readers see those of completed loads only, from the folder that the closing
+event names. Rows are written first, replacing what an attempt before may have left in the same folder, and the closing events after
+that, so a run that is killed at any point leaves nothing half visible and is continued by running it again: closed loads are kept,
+open ones are landed anew. Ids come from the content of a file, so that both runs speak of the same loads.
+
+All sheets of a kind are landed by one job, whose files grow with the rows and not with the loads. A sheet with lines that cannot
+be read fails alone, before that job. If
 the job itself fails, its loads are halved until the ones that fail stand alone; these get status ``Error``, the others are
 landed. Counters are read from the rows that were stored, and have to add up to what was observed while they were written.
 """
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from tallystock.plans.quality import classify_rows, prepared_rows, warning_mask, with_flags
 from tallystock.session import materialize
 from tallystock.sources.files import dedupe_files_md5, discover_files, file_log, mark_files, run_summary
-from tallystock.sources.sheets import LAYOUTS, positional, route_sheets, scan_workbooks
+from tallystock.sources.sheets import LAYOUTS, aliases, positional, route_sheets, scan_workbooks
 
 OPEN, DONE, LANDED, FAILED = "En Proceso", "Procesado", "Completado", "Error"
 KINDS = list(LAYOUTS)
@@ -31,7 +32,7 @@ COUNTERS = ["leidas", "vacias", "secciones", "encabezados", "insertadas", "warni
 FILE_EVENT = ("id_archivo bigint, evento int, nombre_archivo string, ruta_origen string, hash_md5 string, tamanio_bytes bigint, "
               "estado string, total_filas_raw bigint, total_insertadas bigint, mensaje string, momento timestamp")
 LOAD_EVENT = ("id_carga bigint, evento int, id_archivo bigint, hoja string, tipo string, periodo_datos string, estado string, "
-              + ", ".join(f"{c} bigint" for c in COUNTERS) + ", mensaje string, momento timestamp")
+              + ", ".join(f"{c} bigint" for c in COUNTERS) + ", mensaje string, momento timestamp, tanda string")
 NO_SHEETS, NO_HASH = "Checklist pre-carga fallido: hojas no reconocidas", "archivo demasiado grande"
 
 
@@ -62,15 +63,16 @@ class Area:
 
     def loads(self) -> DataFrame:
         """The state of every sheet load."""
-        return file_log(self.load_events(), "id_carga")
+        return file_log(self.load_events(), "id_carga").drop("tanda")
 
     def path(self, kind: str) -> str:
         return f"{self.base}/{kind}"
 
     def stored(self, kind: str) -> DataFrame:
         """All rows of a kind that completed loads hold, with their kind of row."""
-        done = self.loads().where((F.col("estado") == LANDED) & (F.col("tipo") == kind)).select("id_carga")
-        return self.spark.read.parquet(self.path(kind)).join(done, "id_carga", "left_semi")
+        states = file_log(self.load_events(), "id_carga")
+        done = states.where((F.col("estado") == LANDED) & (F.col("tipo") == kind)).select("tanda", "id_carga")
+        return self.spark.read.parquet(self.path(kind)).join(done, ["tanda", "id_carga"], "left_semi").drop("tanda")
 
     def landed(self, kind: str) -> DataFrame:
         """The landing rows of a kind."""
@@ -116,7 +118,7 @@ def prepare_rows(cells: DataFrame, kind: str) -> DataFrame:
 
 
 def land_loads(cells: DataFrame, kind: str, path: str, prepare: Callable[[DataFrame, str], DataFrame] = prepare_rows) -> DataFrame:
-    """Store the rows of some loads of one kind, each in its own folder, and count them.
+    """Store the rows of some loads of one kind in the folder ``path``, and count them.
 
     Gives rows (id_carga, counters). Raises if the stored rows do not add up to what was written.
     """
@@ -124,21 +126,29 @@ def land_loads(cells: DataFrame, kind: str, path: str, prepare: Callable[[DataFr
     written = Observation()
     rows = spark.sql("SELECT /*+ REBALANCE(id_carga) */ * FROM {rows}", rows=prepare(cells, kind))
     rows = rows.observe(written, *[c.alias(name) for name, c in _counter_columns().items()])
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("id_carga").parquet(path)
-    loads = cells.select("id_carga").distinct()
-    stored = spark.read.parquet(path).join(loads, "id_carga", "left_semi")
-    counted = materialize(_counted(stored, ["id_carga"]), "counted")
+    rows.write.mode("overwrite").parquet(path)
+    counted = materialize(_counted(spark.read.parquet(path), ["id_carga"]), "counted")
     total = counted.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTERS]).first().asDict()
     if total != written.get:
         raise RuntimeError(f"stored rows {total} are not those written {written.get}")
     return counted
 
 
+def _among(ids: list[int]) -> Column:
+    """Loads of a stretch of the ids in order, where only such loads occur."""
+    return F.col("id_carga").between(ids[0], ids[-1])
+
+
+def batch_name(ids: list[int]) -> str:
+    """The folder of loads that are landed together. Its first load is landed once, so no other batch that was closed has the name."""
+    return f"t{ids[0]}"
+
+
 def _land_isolated(cells: DataFrame, ids: list[int], kind: str, path: str, prepare: Callable) -> list[tuple[DataFrame | None, list[int], str | None]]:
-    """Results (counters, loads, message) of landing ``ids``; loads that fail stand alone, with their message."""
+    """Results (counters, loads, message) of landing ``ids``, all loads of ``cells`` in order; loads that fail stand alone, with their message."""
     try:
-        own = cells.where(F.col("id_carga").isin(ids))
-        return [(land_loads(own, kind, path, prepare), ids, None)]
+        own = cells.where(_among(ids))
+        return [(land_loads(own, kind, f"{path}/tanda={batch_name(ids)}", prepare), ids, None)]
     except Exception as failure:  # noqa: BLE001  any failure of a load is its state, not the run's
         if len(ids) == 1:
             return [(None, ids, str(failure).strip().split("\n")[0][:500])]
@@ -194,16 +204,15 @@ def process_files(spark: SparkSession, folder: str, base: str, as_of: str, prepa
                   between: Callable[[str], None] = lambda kind: None) -> DataFrame:
     """Land the workbooks of ``folder`` in the area ``base``; one row with the counts of processed, duplicate and failed files.
 
-    ``between`` is called before each kind of sheet is landed. Paths of accepted files and ids of pending loads pass
-    through the driver, as Spark's own file listing does; no rows do.
+    ``between`` is called before each kind of sheet is landed. Ids of pending loads pass through the driver, as Spark's own
+    file listing does; no rows do.
     """
     area = Area(spark, base)
     moment, period = F.lit(as_of).cast("timestamp"), as_of[:7]
     every, accepted = _open_files(area, folder, moment)
-    paths = [row[0] for row in accepted.select("ruta_origen").orderBy("ruta_origen").collect()]
-    if paths:
-        cells = scan_workbooks(spark, paths).join(
-            accepted.select(F.col("ruta_origen").alias("ruta"), "id_archivo"), "ruta").drop("ruta")
+    if not accepted.isEmpty():
+        own_files = accepted.select(F.col("ruta_origen").alias("ruta"), "id_archivo")
+        cells = scan_workbooks(spark, folder, own_files).join(own_files, "ruta").drop("ruta")
         cells = materialize(cells, "cells")
         pending = _open_loads(area, cells, accepted, period, moment)
         closing = pending.withColumns({"periodo_datos": F.lit(period), "momento": moment})
@@ -213,21 +222,22 @@ def process_files(spark: SparkSession, folder: str, base: str, as_of: str, prepa
         zero = {c: F.lit(0).cast("bigint") for c in COUNTERS}
         area.append(closing.join(bad.select("id_carga", told.alias("mensaje")), "id_carga").withColumns(
             {**zero, "estado": F.lit(FAILED)}), "log_cargas")
-        good = pending.join(bad.select("id_carga"), "id_carga", "left_anti")
+        good = materialize(closing.join(bad.select("id_carga"), "id_carga", "left_anti"), "good")
         for kind in KINDS:
             between(kind)
-            ids = [row[0] for row in good.where(F.col("tipo") == kind).select("id_carga").orderBy("id_carga").collect()]
+            of_kind = good.where(F.col("tipo") == kind)
+            ids = [row[0] for row in of_kind.select("id_carga").orderBy("id_carga").collect()]
             if not ids:
                 continue
-            own = cells.where(~F.col("rota")).join(good.where(F.col("tipo") == kind).select(
-                "id_carga", "id_archivo", "hoja"), ["id_archivo", "hoja"]).drop("hoja", "rota")
+            own = cells.where(~F.col("rota") & F.col("hoja").isin(aliases(kind))).join(
+                of_kind.select("id_carga", "id_archivo", "hoja"), ["id_archivo", "hoja"]).drop("hoja", "rota")
             for counted, loads, message in _land_isolated(own, ids, kind, area.path(kind), prepare):
-                of = closing.where(F.col("id_carga").isin(loads))
+                of = of_kind.where(_among(loads))
                 if counted is None:
                     area.append(of.withColumns({**zero, "estado": F.lit(FAILED), "mensaje": F.lit(message)}), "log_cargas")
                 else:
                     found = of.join(counted, "id_carga", "left").withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in COUNTERS})
-                    area.append(found.withColumn("estado", F.lit(LANDED)), "log_cargas")
+                    area.append(found.withColumns({"estado": F.lit(LANDED), "tanda": F.lit(batch_name(loads))}), "log_cargas")
         _close_files(area, accepted, moment)
     states = area.files().select("id_archivo", "estado")
     state = F.when(F.col("duplicado"), "Duplicado").otherwise(F.col("estado"))

@@ -18,6 +18,12 @@ def is_workbook_name(name: Column) -> Column:
 MAX_FILE_BYTES = 2_000_000_000  # beyond that, the content does not fit one cell of the binary reader
 
 
+def input_paths(df: DataFrame) -> list[str]:
+    """Paths of the files behind a reader, from its listing, in one call instead of one for each path."""
+    joined = df.sparkSession.sparkContext._jvm.org.apache.hadoop.util.StringUtils.join("\n", df._jdf.inputFiles())
+    return [unquote(path) for path in joined.split("\n") if path]
+
+
 def discover_files(spark: SparkSession, folder: str, pattern: str = "*.xlsx") -> DataFrame:
     """Name, path, size and MD5 of the workbooks in a folder, in name order.
 
@@ -29,13 +35,14 @@ def discover_files(spark: SparkSession, folder: str, pattern: str = "*.xlsx") ->
     about = [name.alias("nombre_archivo"), F.col("_metadata.file_path").alias("ruta_origen"), F.col("length").alias("tamanio_bytes")]
     hashed = listed.where(F.col("length") <= MAX_FILE_BYTES).select(*about, F.md5("content").alias("hash_md5"))
     large = listed.where(F.col("length") > MAX_FILE_BYTES).select(*about, F.lit(None).cast("string").alias("hash_md5"))
-    names = [(unquote(path.rsplit("/", 1)[-1]),) for path in listed.inputFiles()]
+    names = [(path.rsplit("/", 1)[-1],) for path in input_paths(listed)]
     empty = spark.createDataFrame(names, "nombre_archivo string").join(
         listed.select(name.alias("nombre_archivo")), "nombre_archivo", "left_anti").select(
         "nombre_archivo", F.concat(F.lit(folder.rstrip("/") + "/"), "nombre_archivo").alias("ruta_origen"),
         F.lit(0).cast("bigint").alias("tamanio_bytes"), F.md5(F.lit("")).alias("hash_md5"))
-    return hashed.unionByName(large).unionByName(empty).where(
-        ~F.col("nombre_archivo").startswith("~$")).orderBy("nombre_archivo")
+    found = hashed.unionByName(large).unionByName(empty).where(~F.col("nombre_archivo").startswith("~$"))
+    # The sort looks at its rows twice: the shuffle before it keeps their hashes, so that each file is read once.
+    return found.repartition("nombre_archivo", "ruta_origen").orderBy("nombre_archivo")
 
 
 def dedupe_files_md5(files: DataFrame, log: DataFrame, order: str) -> DataFrame:

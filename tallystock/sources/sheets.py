@@ -40,8 +40,9 @@ _DATE_TIME = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?$"
 
 
 def split_line(line: Column) -> Column:
-    """The cells of a line, still in their quotes."""
-    return F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_CELL), F.lit(1))
+    """The cells of a line, still in their quotes; a line without quotes is cut at its commas."""
+    quoted = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_CELL), F.lit(1))
+    return F.when(line.contains('"'), quoted).otherwise(F.split(line, ","))
 
 
 def unquoted(cell: Column) -> Column:
@@ -63,23 +64,28 @@ def positional(df: DataFrame, kind: str, cells: str = "celdas") -> DataFrame:
     return df.where(F.col("fila_excel") >= first_row).select(*keep, *named)
 
 
-def read_lines(spark: SparkSession, path: str | list[str], leading: int) -> DataFrame:
-    """Rows (ruta, guia, fila_excel, celdas, rota, rescatado) of text files, one for each line.
+def read_lines(spark: SparkSession, path: str | list[str], leading: int, files: DataFrame | None = None) -> DataFrame:
+    """Rows (ruta, guia, fila_excel, celdas, rota, rescatado) of text files, one for each line; of ``files`` (ruta) alone if given.
 
     ``guia`` holds the ``leading`` cells before the row number, ``celdas`` the cells of the sheet. ``rota`` marks lines that
     cannot be read; their row number is null and ``rescatado`` holds them whole.
     """
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("ruta"), "value", split_line(F.col("value")).alias("_cells"))
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("ruta"), "value")
+    if files is not None:
+        lines = lines.join(files.select("ruta"), "ruta", "left_semi")
+    lines = lines.withColumn("_cells", split_line(F.col("value")))
     # Cells that do not make up the line again have left something out.
-    whole = lines.withColumn("_whole", F.array_join("_cells", ",") == F.col("value")).withColumn(
-        "_cells", F.transform("_cells", unquoted))
+    quotes = F.col("value").contains('"')
+    whole = lines.withColumn("_whole", ~quotes | (F.array_join("_cells", ",") == F.col("value"))).withColumn(
+        "_cells", F.when(quotes, F.transform("_cells", unquoted)).otherwise(F.col("_cells")))
     row = F.when(F.col("_whole"), F.trim(F.get("_cells", F.lit(leading))).try_cast("int"))
     found = whole.withColumn("fila_excel", row).withColumn("rota", F.col("fila_excel").isNull())
     width = leading + 1 + SHEET_WIDTH
     beyond = F.when(F.size("_cells") > width, F.array_join(F.slice("_cells", F.lit(width + 1), F.size("_cells")), ","))
+    inside = F.slice("_cells", leading + 2, SHEET_WIDTH)
     return found.select(
-        "ruta", F.slice("_cells", 1, leading).alias("guia"), "fila_excel", F.transform(
-            F.slice("_cells", leading + 2, SHEET_WIDTH), typed_cell).alias("celdas"), "rota",
+        "ruta", F.slice("_cells", 1, leading).alias("guia"), "fila_excel",
+        F.when(F.col("value").rlike("[0-9]T[0-9]"), F.transform(inside, typed_cell)).otherwise(inside).alias("celdas"), "rota",
         F.when(F.col("rota"), F.col("value")).otherwise(beyond).alias("rescatado"))
 
 
@@ -91,9 +97,12 @@ def scan_sheet(spark: SparkSession, path: str | list[str], kind: str) -> DataFra
     return positional(raw.select(file_name.alias("archivo"), "fila_excel", "rescatado", "celdas"), kind)
 
 
-def scan_workbooks(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Rows (ruta, hoja, fila_excel, celdas, rota, rescatado) of workbooks exported as text, sheet name and row number first."""
-    return read_lines(spark, path, 1).select(
+def scan_workbooks(spark: SparkSession, path: str | list[str], files: DataFrame | None = None) -> DataFrame:
+    """Rows (ruta, hoja, fila_excel, celdas, rota, rescatado) of workbooks exported as text, sheet name and row number first.
+
+    ``files`` (ruta) picks some of a folder: a list of paths costs the driver a call and a listing for each.
+    """
+    return read_lines(spark, path, 1, files).select(
         "ruta", F.get("guia", F.lit(0)).alias("hoja"), "fila_excel", "celdas", "rota", "rescatado")
 
 

@@ -171,3 +171,46 @@ def test_sheet_is_landed_once_in_the_plan(spark, folder):
     cells = sheets.scan_workbooks(spark, folder(a=CATALOGUE)).withColumns({"id_carga": F.lit(1), "id_archivo": F.lit(1)}).drop("ruta", "hoja", "rota")
     plan = plan_of(R.prepare_rows(cells, "catalogo"))
     assert plan.count("FileScan") == 1 and "Exchange" not in plan
+
+
+def test_lines_with_and_without_quotes_are_cut_alike(spark, folder):
+    plain = ["H,5,a,,b", "H,6", "", "H,7,", ",8,x", "H, 9 ,2026-08-15T00:00:00,xT1,9T9", "H,10," + ",".join(str(k) for k in range(14))]
+    quoted = [line + ',"q"' for line in plain]
+    cells = lambda name, lines: {x.fila_excel: x for x in sheets.scan_workbooks(spark, folder(**{name: lines})).where(
+        F.col("ruta").endswith(f"{name}.xlsx")).collect()}
+    a, b = cells("plano", plain), cells("citado", quoted)
+    assert set(a) == {5, 6, 7, 8, 9, 10, None} and set(b) == {5, 6, 7, 8, 9, 10, None}
+    for k in (5, 6, 7, 8, 9):
+        assert a[k].celdas + ["q"] == b[k].celdas and a[k].hoja == b[k].hoja
+    assert a[9].celdas == ["2026-08-15", "xT1", "9T9"] and a[10].rescatado == "12,13" and a[None].rescatado == ""
+
+
+def test_files_of_a_landing_grow_with_rows_and_not_with_loads(spark, folder, base):
+    assert run(spark, folder(**{f"b{k}": [f"LISTA DE PRODUCTOS,2,{k},n{k},1"] for k in range(30)}), base) == (30, 0, 0)
+    area = R.Area(spark, base)
+    assert area.landed("catalogo").select("id_carga").distinct().count() == 30
+    assert len(spark.read.parquet(area.path("catalogo")).inputFiles()) < 10
+
+
+def test_loads_of_a_later_run_stand_beside_earlier_ones(spark, folder, base):
+    path = folder(a=CATALOGUE, b=["LISTA DE PRODUCTOS,2,9,Nueve,1"])
+    assert run(spark, path, base) == (2, 0, 0)
+    before = picture(R.Area(spark, base))[2]["catalogo"]
+    assert run(spark, folder(c=["LISTA DE PRODUCTOS,2,5,Cinco,1"]), base) == (1, 2, 0)
+    after = picture(R.Area(spark, base))[2]["catalogo"]
+    assert len(after) == 4 and set(before) < set(after)
+
+
+def test_listing_and_naming_ask_the_driver_once(spark, folder, monkeypatch):
+    path = folder(**{f"b{k}": [f"x,{k}"] for k in range(12)}, vacio=[])
+    reader = spark.read.format("binaryFile").load(path)
+    assert sorted(p.rsplit("/", 1)[-1] for p in files.input_paths(reader)) == sorted(f"{n}.xlsx" for n in [*(f"b{k}" for k in range(12)), "vacio"])
+    monkeypatch.setattr(type(reader), "inputFiles", lambda self: pytest.fail("one call for each path"))
+    found = {x.nombre_archivo: x.tamanio_bytes for x in files.discover_files(spark, path).collect()}
+    assert len(found) == 13 and found["vacio.xlsx"] == 0 and found["b0.xlsx"] == 3
+
+
+def test_files_are_hashed_before_the_sort(spark, folder):
+    from conftest import plan_of
+    plan = plan_of(files.discover_files(spark, folder(a=CATALOGUE)))
+    assert plan.index("rangepartitioning") < plan.index("hashpartitioning(nombre_archivo")
